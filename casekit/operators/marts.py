@@ -68,6 +68,17 @@ def advocate_caseload(stg_advocates: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
+def reopen_rate(fact: DataFrame) -> DataFrame:
+    """F5 + A9: reopened share of closed cases per case type (NULL when none closed)."""
+    closed = count_where(F.col("status").isin(*CLOSED_STATUSES))
+    reopened = count_where(F.col("reopen_flag"))
+    return fact.groupBy("case_type").agg(
+        closed.alias("closed_cases"),
+        reopened.alias("reopened_cases"),
+        round2(pct(reopened, closed)).alias("reopen_rate_pct"),
+    )
+
+
 # Bottleneck analysis labels.
 MISSING_DOCS = "missing_docs_vs_resolution"
 HANDOFFS = "handoffs_vs_csat"

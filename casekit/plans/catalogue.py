@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casekit.operators import marts, reports
+from casekit.functions import derive
+from casekit.functions.exprs import text_to_int
+from casekit.functions.json import json_field_text, text_array
+from casekit.operators import eventlog, marts, reports
 from casekit.operators.timings import first_response_min, interaction_stats
 from casekit.plans import oracle
 from casekit.plans.pipeline import build_all
@@ -202,9 +206,269 @@ def core_oracle() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------------------
+# JSON, arrays, derived columns, event log, touch filters (E8–E12, E24–E34,
+# F5, F11, F12, M12, W1)
+# ---------------------------------------------------------------------------
+
+def _stg_cases(spark, sf_dir):
+    return models(spark, sf_dir)["stg_cases"]
+
+
+def _q_json_fields(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k_text = json_field_text("props", "k")
+    return ev.select(
+        "event_id",
+        k_text.alias("k_text"),
+        F.coalesce(text_to_int(k_text), F.lit(0)).alias("k"),
+        F.coalesce(json_field_text("props", "label"), F.lit("none")).alias("label"),
+    )
+
+
+def _q_json_arrays_as_text(spark, sf_dir):
+    raw = bindings.cases(spark, sf_dir)
+    return raw.select(
+        "id",
+        json_field_text("metadata_json", "barriers").alias("barriers_text"),
+        json_field_text("metadata_json", "support_flags").alias("support_flags_text"),
+        json_field_text("metadata_json", "submitted_documents").alias("submitted_documents_text"),
+    )
+
+
+def _q_json_build_parse(spark, sf_dir):
+    c = _stg_cases(spark, sf_dir)
+    doc = derive.metadata_document(
+        F.col("intake_source"), text_array("barriers_json"), F.col("handoff_count"),
+        F.col("complexity"), text_array("submitted_documents_json"),
+        text_array("support_flags_json"), F.col("missing_docs"),
+    )
+    with_doc = c.select(F.col("id").alias("case_id"), doc.alias("metadata_doc"))
+    parsed = derive.parse_document(F.col("metadata_doc"))
+    return with_doc.select(
+        "case_id", "metadata_doc",
+        parsed["handoff_count"].alias("rt_handoff_count"),
+        parsed["complexity"].alias("rt_complexity"),
+        parsed["missing_docs"].alias("rt_missing_docs"),
+        parsed["intake_source"].alias("rt_intake_source"),
+        parsed["barriers_json"].alias("rt_barriers_json"),
+    )
+
+
+def _q_array_clean_barriers(spark, sf_dir):
+    return _stg_cases(spark, sf_dir).select(
+        F.col("id").alias("case_id"), "barriers_json",
+        derive.array_text(derive.clean_barriers(text_array("barriers_json"))).alias("clean_barriers_json"),
+    )
+
+
+def _q_array_support_flags(spark, sf_dir):
+    return _stg_cases(spark, sf_dir).select(
+        F.col("id").alias("case_id"),
+        derive.array_text(derive.support_flags(text_array("barriers_json"))).alias("support_flags_json"),
+    )
+
+
+def _q_nps_bucket(spark, sf_dir):
+    fb = models(spark, sf_dir)["stg_feedback"]
+    return fb.select("id", "case_id", "csat_score", derive.nps_bucket("csat_score").alias("nps"))
+
+
+def _q_clamp_scores(spark, sf_dir):
+    p = models(spark, sf_dir)["stg_patients"]
+    return p.select("id", "risk_score", derive.clamp("risk_score", 0.0, 1.0).alias("risk_score_clamped"))
+
+
+def _q_derive_status(spark, sf_dir):
+    return _stg_cases(spark, sf_dir).select(
+        F.col("id").alias("case_id"), "status",
+        derive.derive_status("status", "resolved_at", "reopen_flag").alias("derived_status"),
+    )
+
+
+def _q_expected_days(spark, sf_dir):
+    return _stg_cases(spark, sf_dir).select(
+        F.col("id").alias("case_id"), "case_type", "handoff_count",
+        derive.expected_days("case_type", "handoff_count").alias("expected_days"),
+    )
+
+
+def _q_expected_csat(spark, sf_dir):
+    csat = derive.expected_csat("escalation_flag", "reopen_flag", "handoff_count")
+    return _stg_cases(spark, sf_dir).select(
+        F.col("id").alias("case_id"),
+        csat.alias("expected_csat"),
+        derive.nps_bucket(csat).alias("expected_nps"),
+    )
+
+
+def _q_cap_at_as_of(spark, sf_dir):
+    now = F.lit(bindings.AS_OF).cast("timestamp_ntz")
+    return _stg_cases(spark, sf_dir).select(
+        F.col("id").alias("case_id"), "resolved_at",
+        derive.cap_at("resolved_at", now).alias("resolved_at_capped"),
+    )
+
+
+def _q_feedback_eligible(spark, sf_dir):
+    return eventlog.feedback_eligible(bindings.cases(spark, sf_dir))
+
+
+def _q_touches(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return eventlog.touches_before_resolution(m["stg_interactions"], m["stg_cases"])
+
+
+def _q_reopen_rate(spark, sf_dir):
+    return marts.reopen_rate(models(spark, sf_dir)["fct_case_lifecycle"])
+
+
+def _q_event_log_unpivot(spark, sf_dir):
+    return eventlog.event_log(_stg_cases(spark, sf_dir)).select("case_id", "event_type", "occurred_at")
+
+
+def _q_event_log_ids(spark, sf_dir):
+    return eventlog.event_log(_stg_cases(spark, sf_dir))
+
+
+def derived_queries() -> dict[str, Query]:
+    return {
+        "json_fields": _q_json_fields,
+        "json_arrays_as_text": _q_json_arrays_as_text,
+        "json_build_parse": _q_json_build_parse,
+        "array_clean_barriers": _q_array_clean_barriers,
+        "array_support_flags": _q_array_support_flags,
+        "nps_bucket": _q_nps_bucket,
+        "clamp_scores": _q_clamp_scores,
+        "derive_status": _q_derive_status,
+        "expected_days": _q_expected_days,
+        "expected_csat": _q_expected_csat,
+        "cap_at_as_of": _q_cap_at_as_of,
+        "closed_case_feedback_eligible": _q_feedback_eligible,
+        "touches_before_resolution": _q_touches,
+        "reopen_rate": _q_reopen_rate,
+        "event_log_unpivot": _q_event_log_unpivot,
+        "event_log_ids": _q_event_log_ids,
+    }
+
+
+_EVENT_LOG = f"""
+SELECT case_id, event_type, occurred_at,
+       row_number() OVER (PARTITION BY case_id ORDER BY slot) AS seq
+FROM (
+    SELECT case_id, slot, event_type, occurred_at FROM (
+        SELECT id AS case_id, created_at AS t0, assigned_at AS t1,
+               COALESCE(first_response_at, assigned_at + INTERVAL 12 HOUR) AS t2,
+               CASE WHEN missing_docs THEN COALESCE(first_response_at, assigned_at + INTERVAL 12 HOUR)
+                                           + INTERVAL 2 HOUR END AS t3,
+               CASE WHEN missing_docs AND resolved_at IS NOT NULL THEN resolved_at - INTERVAL 1 DAY END AS t4,
+               resolved_at AS t5
+        FROM stg_cases
+    ) s,
+    LATERAL (VALUES (0, 'opened', t0), (1, 'assigned', t1), (2, 'first_response', t2),
+                    (3, 'docs_requested', t3), (4, 'docs_received', t4), (5, 'resolved', t5))
+        AS v(slot, event_type, occurred_at)
+    WHERE occurred_at IS NOT NULL
+)"""
+
+
+def derived_oracle() -> dict[str, str]:
+    q = oracle.q
+    arr = "CAST(json(barriers_json) AS VARCHAR[])"
+    raw_csat = (
+        "4.0E0 - CASE WHEN escalation_flag THEN 0.6E0 ELSE 0E0 END "
+        "- CASE WHEN reopen_flag THEN 0.8E0 ELSE 0E0 END - handoff_count * 0.15E0"
+    )
+    csat = f"CASE WHEN ({raw_csat}) IS NOT NULL THEN greatest(1E0, least(5E0, {raw_csat})) END"
+    return {
+        "json_fields": q(
+            "SELECT event_id, json_extract_string(props, '$.k') AS k_text, "
+            "COALESCE(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS k, "
+            "COALESCE(json_extract_string(props, '$.label'), 'none') AS label FROM events"
+        ),
+        "json_arrays_as_text": q(
+            "SELECT id, json_extract_string(metadata_json, '$.barriers') AS barriers_text, "
+            "json_extract_string(metadata_json, '$.support_flags') AS support_flags_text, "
+            "json_extract_string(metadata_json, '$.submitted_documents') AS submitted_documents_text "
+            "FROM raw_cases"
+        ),
+        "json_build_parse": q(
+            "SELECT case_id, metadata_doc, "
+            "COALESCE(CAST(json_extract_string(metadata_doc, '$.handoff_count') AS INTEGER), 0) AS rt_handoff_count, "
+            "TRIM(COALESCE(json_extract_string(metadata_doc, '$.complexity'), 'medium')) AS rt_complexity, "
+            "COALESCE(json_extract_string(metadata_doc, '$.missing_docs') = 'true', false) AS rt_missing_docs, "
+            "TRIM(COALESCE(json_extract_string(metadata_doc, '$.intake_source'), '')) AS rt_intake_source, "
+            "COALESCE(json_extract_string(metadata_doc, '$.barriers'), '[]') AS rt_barriers_json "
+            "FROM (SELECT id AS case_id, CAST(json_object("
+            "'intake_source', intake_source, 'barriers', json(barriers_json), "
+            "'handoff_count', handoff_count, 'complexity', complexity, "
+            "'submitted_documents', json(submitted_documents_json), "
+            "'support_flags', json(support_flags_json), 'missing_docs', missing_docs) AS VARCHAR) "
+            "AS metadata_doc FROM stg_cases)"
+        ),
+        "array_clean_barriers": q(
+            f"SELECT id AS case_id, barriers_json, CAST(to_json(CASE WHEN len({arr}) > 1 "
+            f"THEN list_filter({arr}, lambda x: x IS DISTINCT FROM 'none') ELSE {arr} END) AS VARCHAR) "
+            "AS clean_barriers_json FROM stg_cases"
+        ),
+        "array_support_flags": q(
+            f"SELECT id AS case_id, CAST(to_json(list_filter({arr}, "
+            "lambda x: x IN ('language', 'transportation'))) AS VARCHAR) AS support_flags_json FROM stg_cases"
+        ),
+        "nps_bucket": q(
+            "SELECT id, case_id, csat_score, CASE WHEN csat_score >= 4.5 THEN 'promoter' "
+            "WHEN csat_score >= 3.5 THEN 'passive' ELSE 'detractor' END AS nps FROM stg_feedback"
+        ),
+        "clamp_scores": q(
+            "SELECT id, risk_score, CASE WHEN risk_score IS NOT NULL "
+            "THEN greatest(0E0, least(1E0, risk_score)) END AS risk_score_clamped FROM stg_patients"
+        ),
+        "derive_status": q(
+            "SELECT id AS case_id, status, CASE WHEN resolved_at IS NOT NULL THEN "
+            "CASE WHEN reopen_flag THEN 'reopened' ELSE 'resolved' END ELSE status END "
+            "AS derived_status FROM stg_cases"
+        ),
+        "expected_days": q(
+            "SELECT case_id, case_type, handoff_count, CASE WHEN raw IS NOT NULL "
+            "THEN greatest(1E0, raw) END AS expected_days FROM ("
+            "SELECT id AS case_id, case_type, handoff_count, "
+            "CASE case_type WHEN 'prior_authorization' THEN 8E0 WHEN 'claim_denial' THEN 9E0 "
+            "WHEN 'billing_dispute' THEN 4E0 WHEN 'provider_search' THEN 5E0 "
+            "WHEN 'care_coordination' THEN 6E0 END + handoff_count * 0.5E0 AS raw FROM stg_cases)"
+        ),
+        "expected_csat": q(
+            f"SELECT id AS case_id, {csat} AS expected_csat, "
+            f"CASE WHEN {csat} >= 4.5 THEN 'promoter' WHEN {csat} >= 3.5 THEN 'passive' "
+            "ELSE 'detractor' END AS expected_nps FROM stg_cases"
+        ),
+        "cap_at_as_of": q(
+            "SELECT id AS case_id, resolved_at, CASE WHEN resolved_at IS NOT NULL "
+            f"THEN least(resolved_at, {oracle.AS_OF_TS}) END AS resolved_at_capped FROM stg_cases"
+        ),
+        "closed_case_feedback_eligible": q(
+            "SELECT id, status, resolved_at FROM raw_cases WHERE status IN ('resolved', 'reopened') "
+            "AND resolved_at IS NOT NULL AND TRIM(CAST(resolved_at AS VARCHAR)) <> ''"
+        ),
+        "touches_before_resolution": q(
+            "SELECT i.case_id, COUNT(*) AS touches_before_resolution FROM stg_interactions i "
+            "JOIN stg_cases c ON c.id = i.case_id "
+            "WHERE c.resolved_at IS NULL OR i.created_at < c.resolved_at GROUP BY i.case_id"
+        ),
+        "reopen_rate": q(
+            "SELECT case_type, COUNT(*) FILTER (WHERE status IN ('resolved', 'reopened')) AS closed_cases, "
+            "COUNT(*) FILTER (WHERE reopen_flag) AS reopened_cases, "
+            "ROUND(100.0 * COUNT(*) FILTER (WHERE reopen_flag) "
+            "/ NULLIF(COUNT(*) FILTER (WHERE status IN ('resolved', 'reopened')), 0), 2) AS reopen_rate_pct "
+            "FROM case_lifecycle GROUP BY case_type"
+        ),
+        "event_log_unpivot": q(f"SELECT case_id, event_type, occurred_at FROM ({_EVENT_LOG})"),
+        "event_log_ids": q(f"SELECT case_id, seq, event_type, occurred_at FROM ({_EVENT_LOG})"),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return core_queries()
+    return {**core_queries(), **derived_queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return core_oracle()
+    return {**core_oracle(), **derived_oracle()}
