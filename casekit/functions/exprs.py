@@ -118,5 +118,12 @@ def text_to_int(x: Column | str) -> Column:
 
 
 def fmt_number(x: Column | str, decimals: int = 1, missing: str = "—") -> Column:
-    """Number as text with fixed decimals, a dash for NULL."""
-    return F.coalesce(F.format_string(f"%.{decimals}f", _c(x)), F.lit(missing))
+    """Number as text with fixed decimals, a dash for NULL.
+
+    Python's ``f"{x:.1f}"`` rounds the exact binary value half-to-even;
+    ``format_number`` (DecimalFormat, HALF_EVEN) does the same, whereas
+    ``format_string('%.1f')`` rounds the shortest decimal text half-up
+    (-9.95 -> -10.0).  Grouping separators are removed.
+    """
+    text = F.regexp_replace(F.format_number(_c(x), decimals), ",", "")
+    return F.coalesce(text, F.lit(missing))

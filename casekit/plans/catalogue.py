@@ -17,8 +17,8 @@ from casekit.functions.json import json_field_text, text_array
 from casekit.operators import eventlog, marts, reports
 from casekit.operators.timings import first_response_min, interaction_stats
 from casekit.plans import oracle
-from casekit.plans.pipeline import build_all
-from casekit.sources import bindings
+from casekit.plans.pipeline import build_all, persist_layers, scratch_path
+from casekit.sources import bindings, files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -466,9 +466,81 @@ def derived_oracle() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------------------
+# Sources, sinks, catalog and the layered run
+# ---------------------------------------------------------------------------
+
+def _q_csv_round_trip(spark, sf_dir):
+    """Write the six raw inputs as CSV, read them back, rebuild the fact."""
+    folder = scratch_path(spark, "raw-csv")
+    files.write_raw_tables(bindings.raw_tables(spark, sf_dir), folder)
+    raw = files.read_raw_tables(spark, folder, "csv")
+    return build_all(spark, raw, as_of=bindings.AS_OF)["fct_case_lifecycle"]
+
+
+def _persisted(spark, sf_dir):
+    m = models(spark, sf_dir, materialize_fact=True)
+    return persist_layers(spark, m, prefix="casekit")
+
+
+def _q_table_round_trip(spark, sf_dir):
+    tables = _persisted(spark, sf_dir)
+    return spark.table(tables["mart_ops_kpis"])
+
+
+def _q_mart_ready(spark, sf_dir):
+    tables = _persisted(spark, sf_dir)
+    return files.readiness(spark, tables["mart_ops_kpis"])
+
+
+def _q_pipeline_all(spark, sf_dir):
+    m = models(spark, sf_dir, materialize_fact=True)
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("model"), "row_count"
+        )
+        for name, df in m.items()
+    ]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def source_queries() -> dict[str, Query]:
+    return {
+        "csv_round_trip": _q_csv_round_trip,
+        "table_round_trip": _q_table_round_trip,
+        "mart_ready": _q_mart_ready,
+        "pipeline_all": _q_pipeline_all,
+    }
+
+
+_MODEL_CTES = {
+    "stg_patients": "stg_patients", "stg_advocates": "stg_advocates", "stg_cases": "stg_cases",
+    "stg_interactions": "stg_interactions", "stg_case_events": "stg_case_events",
+    "stg_feedback": "stg_feedback", "int_case_timings": "case_timings",
+    "fct_case_lifecycle": "case_lifecycle", "mart_ops_kpis": "ops_kpis",
+    "mart_advocate_caseload": "advocate_caseload", "mart_bottlenecks": "bottlenecks",
+}
+
+
+def source_oracle() -> dict[str, str]:
+    q = oracle.q
+    counts = " UNION ALL ".join(
+        f"SELECT '{model}' AS model, COUNT(*) AS row_count FROM {cte}"
+        for model, cte in _MODEL_CTES.items()
+    )
+    return {
+        "csv_round_trip": q(f"SELECT {_FACT_COLS} FROM case_lifecycle"),
+        "table_round_trip": q("SELECT * FROM ops_kpis"),
+        "pipeline_all": q(counts),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**core_queries(), **derived_queries()}
+    return {**core_queries(), **derived_queries(), **source_queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**core_oracle(), **derived_oracle()}
+    return {**core_oracle(), **derived_oracle(), **source_oracle()}
