@@ -1,7 +1,8 @@
 """Column rules the reference's data simulator applies (E25–E34), as operators.
 
 Only the deterministic parts are kept (no random draws): they run as plain
-column expressions over real case rows.
+SQL expressions over real case rows.  Arguments are column names or SQL
+expression text; ``*_sql`` variants return text for composition.
 """
 
 from __future__ import annotations
@@ -9,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casekit import schemas
-from casekit.functions.json import metadata_columns, text_array
+from casekit.functions.json import METADATA_TEXT_DDL, metadata_columns_sql
 
 # Base resolution days per case type and the per-handoff increment.
 BASE_RESOLUTION_DAYS = {
@@ -36,102 +36,102 @@ NO_BARRIER = "none"
 SUPPORTED_BARRIERS = ["language", "transportation"]
 
 
-def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def nps_bucket(score: Column | str) -> Column:
+def nps_bucket_sql(score: str) -> str:
+    return (f"CASE WHEN {score} >= {NPS_PROMOTER}D THEN 'promoter' "
+            f"WHEN {score} >= {NPS_PASSIVE}D THEN 'passive' ELSE 'detractor' END")
+
+
+def nps_bucket(score: str) -> Column:
     """>= 4.5 promoter, >= 3.5 passive, else detractor."""
-    s = _c(score)
-    return (
-        F.when(s >= F.lit(NPS_PROMOTER), "promoter")
-        .when(s >= F.lit(NPS_PASSIVE), "passive")
-        .otherwise("detractor")
-    )
+    return F.expr(nps_bucket_sql(score))
+
 
+def clamp_sql(x: str, lo: float, hi: float) -> str:
+    return f"CASE WHEN ({x}) IS NOT NULL THEN greatest({lo}D, least({hi}D, {x})) END"
 
-def clamp(x: Column | str, lo: float, hi: float) -> Column:
+
+def clamp(x: str, lo: float, hi: float) -> Column:
     """X limited to [lo, hi]; NULL stays NULL (least/greatest alone skip NULL)."""
-    v = _c(x)
-    return F.when(v.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), v)))
+    return F.expr(clamp_sql(x, lo, hi))
 
 
-def derive_status(status: Column | str, resolved_at: Column | str, reopen_flag: Column | str) -> Column:
+def derive_status(status: str, resolved_at: str, reopen_flag: str) -> Column:
     """A resolution time means resolved (or reopened); otherwise the open status."""
-    return F.when(
-        _c(resolved_at).isNotNull(),
-        F.when(_c(reopen_flag), "reopened").otherwise("resolved"),
-    ).otherwise(_c(status))
+    return F.expr(
+        f"CASE WHEN {resolved_at} IS NOT NULL THEN "
+        f"CASE WHEN {reopen_flag} THEN 'reopened' ELSE 'resolved' END ELSE {status} END"
+    )
 
 
-def expected_days(case_type: Column | str, handoff_count: Column | str) -> Column:
+def expected_days(case_type: str, handoff_count: str) -> Column:
     """Base days of the case type + 0.5 per handoff, at least 1 (NULL for unknown types)."""
-    pairs = []
-    for k, v in BASE_RESOLUTION_DAYS.items():
-        pairs += [F.lit(k), F.lit(float(v))]
-    base = F.try_element_at(F.create_map(*pairs), _c(case_type))
-    raw = base + _c(handoff_count) * F.lit(DAYS_PER_HANDOFF)
-    return F.when(raw.isNotNull(), F.greatest(F.lit(MIN_EXPECTED_DAYS), raw))
+    pairs = ", ".join(f"'{k}', {float(v)}D" for k, v in BASE_RESOLUTION_DAYS.items())
+    raw = f"(try_element_at(map({pairs}), {case_type}) + {handoff_count} * {DAYS_PER_HANDOFF}D)"
+    return F.expr(f"CASE WHEN {raw} IS NOT NULL THEN greatest({MIN_EXPECTED_DAYS}D, {raw}) END")
+
 
+def expected_csat_sql(escalation_flag: str, reopen_flag: str, handoff_count: str) -> str:
+    raw = (f"({CSAT_BASE}D - CASE WHEN {escalation_flag} THEN {CSAT_ESCALATED}D ELSE 0D END"
+           f" - CASE WHEN {reopen_flag} THEN {CSAT_REOPENED}D ELSE 0D END"
+           f" - {handoff_count} * {CSAT_PER_HANDOFF}D)")
+    return clamp_sql(raw, CSAT_MIN, CSAT_MAX)
 
-def expected_csat(escalation_flag: Column | str, reopen_flag: Column | str,
-                  handoff_count: Column | str) -> Column:
+
+def expected_csat(escalation_flag: str, reopen_flag: str, handoff_count: str) -> Column:
     """4.0 - 0.6 if escalated - 0.8 if reopened - 0.15 per handoff, clamped to [1, 5]."""
-    raw = (
-        F.lit(CSAT_BASE)
-        - F.when(_c(escalation_flag), F.lit(CSAT_ESCALATED)).otherwise(F.lit(0.0))
-        - F.when(_c(reopen_flag), F.lit(CSAT_REOPENED)).otherwise(F.lit(0.0))
-        - _c(handoff_count) * F.lit(CSAT_PER_HANDOFF)
-    )
-    return clamp(raw, CSAT_MIN, CSAT_MAX)
+    return F.expr(expected_csat_sql(escalation_flag, reopen_flag, handoff_count))
 
 
-def cap_at(ts: Column | str, now: Column) -> Column:
+def cap_at(ts: str, now_sql: str) -> Column:
     """A timestamp no later than ``now`` (NULL stays NULL)."""
-    t = _c(ts)
-    return F.when(t.isNotNull(), F.least(t, now))
+    return F.expr(f"CASE WHEN {ts} IS NOT NULL THEN least({ts}, {now_sql}) END")
 
 
-def clean_barriers(barriers: Column) -> Column:
+def clean_barriers_sql(barriers: str) -> str:
+    return (f"CASE WHEN size({barriers}) > 1 "
+            f"THEN filter({barriers}, x -> NOT (x <=> '{NO_BARRIER}')) ELSE {barriers} END")
+
+
+def clean_barriers(barriers: str) -> Column:
     """Drop "none" when other barriers are listed (NULL items are kept)."""
-    kept = F.filter(barriers, lambda x: ~x.eqNullSafe(F.lit(NO_BARRIER)))
-    return F.when(F.size(barriers) > 1, kept).otherwise(barriers)
+    return F.expr(clean_barriers_sql(barriers))
+
 
+def support_flags_sql(barriers: str) -> str:
+    return f"filter({barriers}, x -> x IN ({_quoted(SUPPORTED_BARRIERS)}))"
 
-def support_flags(barriers: Column) -> Column:
+
+def support_flags(barriers: str) -> Column:
     """Barriers that need support (language, transportation), order kept."""
-    return F.filter(barriers, lambda x: x.isin(*SUPPORTED_BARRIERS))
+    return F.expr(support_flags_sql(barriers))
 
 
-def metadata_document(intake_source: Column, barriers: Column, handoff_count: Column,
-                      complexity: Column, submitted_documents: Column,
-                      support: Column, missing_docs: Column) -> Column:
-    """The case metadata JSON document from typed fields (NULL fields left out)."""
-    return F.to_json(
-        F.struct(
-            intake_source.alias("intake_source"),
-            barriers.alias("barriers"),
-            handoff_count.alias("handoff_count"),
-            complexity.alias("complexity"),
-            submitted_documents.alias("submitted_documents"),
-            support.alias("support_flags"),
-            missing_docs.alias("missing_docs"),
-        )
+def metadata_document_sql(intake_source: str, barriers: str, handoff_count: str,
+                          complexity: str, submitted_documents: str, support: str,
+                          missing_docs: str) -> str:
+    return (
+        "to_json(named_struct("
+        f"'intake_source', {intake_source}, 'barriers', {barriers}, "
+        f"'handoff_count', {handoff_count}, 'complexity', {complexity}, "
+        f"'submitted_documents', {submitted_documents}, 'support_flags', {support}, "
+        f"'missing_docs', {missing_docs}))"
     )
 
 
-def parse_document(doc: Column) -> dict[str, Column]:
-    """The document parsed back with staging's defaults."""
-    return metadata_columns(F.from_json(doc, schemas.METADATA_TEXT))
+def metadata_document(*args: str) -> Column:
+    """The case metadata JSON document from typed fields (NULL fields left out)."""
+    return F.expr(metadata_document_sql(*args))
 
 
-def array_text(arr: Column) -> Column:
-    """An array as compact JSON text (stable for comparison and display)."""
-    return F.to_json(arr)
+def parse_document_sql(doc: str) -> dict[str, str]:
+    """The document parsed back with staging's defaults (text per column)."""
+    return metadata_columns_sql(f"from_json({doc}, '{METADATA_TEXT_DDL}')")
 
 
-__all__ = [
-    "nps_bucket", "clamp", "derive_status", "expected_days", "expected_csat", "cap_at",
-    "clean_barriers", "support_flags", "metadata_document", "parse_document", "array_text",
-    "text_array",
-]
+def array_text(arr_sql: str) -> Column:
+    """An array as compact JSON text (stable for comparison and display)."""
+    return F.expr(f"to_json({arr_sql})")

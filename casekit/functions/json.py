@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casekit import schemas
-from casekit.functions.exprs import text_to_int
+from casekit.functions.exprs import text_to_int_sql
 
 # Defaults the reference's staging applies to absent fields.
 DEFAULT_HANDOFF_COUNT = 0
@@ -21,41 +20,48 @@ DEFAULT_MISSING_DOCS = False
 DEFAULT_INTAKE_SOURCE = ""
 DEFAULT_ARRAY_TEXT = "[]"
 
+# The metadata document read with every field as text.
+METADATA_TEXT_DDL = (
+    "intake_source STRING, barriers STRING, handoff_count STRING, complexity STRING, "
+    "submitted_documents STRING, support_flags STRING, missing_docs STRING"
+)
 
-def parse_metadata(text: Column | str) -> Column:
+
+def parse_metadata_sql(text: str) -> str:
     """metadata_json text -> struct of STRING fields (NULL for bad JSON)."""
-    col = F.col(text) if isinstance(text, str) else text
-    return F.from_json(col, schemas.METADATA_TEXT)
+    return f"from_json({text}, '{METADATA_TEXT_DDL}')"
+
 
+def parse_metadata(text: str) -> Column:
+    return F.expr(parse_metadata_sql(text))
 
-def metadata_columns(parsed: Column) -> dict[str, Column]:
-    """Typed, defaulted staging columns from the parsed struct."""
+
+def metadata_columns_sql(meta: str) -> dict[str, str]:
+    """Typed, defaulted staging columns from a parsed metadata struct column."""
     return {
-        "handoff_count": F.coalesce(
-            text_to_int(parsed["handoff_count"]), F.lit(DEFAULT_HANDOFF_COUNT)
-        ),
-        "complexity": F.trim(F.coalesce(parsed["complexity"], F.lit(DEFAULT_COMPLEXITY))),
-        "missing_docs": F.coalesce(
-            parsed["missing_docs"] == F.lit("true"), F.lit(DEFAULT_MISSING_DOCS)
-        ),
-        "intake_source": F.trim(
-            F.coalesce(parsed["intake_source"], F.lit(DEFAULT_INTAKE_SOURCE))
-        ),
-        "barriers_json": F.coalesce(parsed["barriers"], F.lit(DEFAULT_ARRAY_TEXT)),
-        "support_flags_json": F.coalesce(parsed["support_flags"], F.lit(DEFAULT_ARRAY_TEXT)),
-        "submitted_documents_json": F.coalesce(
-            parsed["submitted_documents"], F.lit(DEFAULT_ARRAY_TEXT)
-        ),
+        "handoff_count": f"coalesce({text_to_int_sql(f'{meta}.handoff_count')}, {DEFAULT_HANDOFF_COUNT})",
+        "complexity": f"trim(coalesce({meta}.complexity, '{DEFAULT_COMPLEXITY}'))",
+        "missing_docs": f"coalesce({meta}.missing_docs = 'true', {str(DEFAULT_MISSING_DOCS).lower()})",
+        "intake_source": f"trim(coalesce({meta}.intake_source, '{DEFAULT_INTAKE_SOURCE}'))",
+        "barriers_json": f"coalesce({meta}.barriers, '{DEFAULT_ARRAY_TEXT}')",
+        "support_flags_json": f"coalesce({meta}.support_flags, '{DEFAULT_ARRAY_TEXT}')",
+        "submitted_documents_json": f"coalesce({meta}.submitted_documents, '{DEFAULT_ARRAY_TEXT}')",
     }
 
 
-def json_field_text(text: Column | str, key: str) -> Column:
+def json_field_text_sql(text: str, key: str) -> str:
+    return f"get_json_object({text}, '$.{key}')"
+
+
+def json_field_text(text: str, key: str) -> Column:
     """One scalar or array by key, as text (json_extract_string)."""
-    col = F.col(text) if isinstance(text, str) else text
-    return F.get_json_object(col, f"$.{key}")
+    return F.expr(json_field_text_sql(text, key))
+
+
+def text_array_sql(text: str) -> str:
+    return f"from_json({text}, 'array<string>')"
 
 
-def text_array(text: Column | str) -> Column:
+def text_array(text: str) -> Column:
     """JSON array text (e.g. a *_json staging column) -> array<string>."""
-    col = F.col(text) if isinstance(text, str) else text
-    return F.from_json(col, "array<string>")
+    return F.expr(text_array_sql(text))

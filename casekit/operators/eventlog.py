@@ -9,10 +9,10 @@ a single narrow stage however many cases there are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casekit.operators.marts import CLOSED_STATUSES
+from casekit.operators.marts import IS_CLOSED
 
 # Event types in the order the simulator emits them, and the
 # fallback / offset rules for derived event times.
@@ -22,56 +22,40 @@ DOCS_REQUESTED_AFTER_HOURS = 2
 DOCS_RECEIVED_BEFORE_DAYS = 1
 
 
-def _hours(n: int) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(n))
-
-
-def event_times(cases: DataFrame) -> list[Column]:
+def event_times_sql() -> list[str]:
     """Times of the six events for a staged case row (NULL = event absent)."""
-    fr = F.coalesce(
-        F.col("first_response_at"),
-        F.col("assigned_at") + _hours(FIRST_RESPONSE_FALLBACK_HOURS),
-    )
-    missing = F.col("missing_docs")
-    resolved = F.col("resolved_at")
+    fr = (f"coalesce(first_response_at, assigned_at + "
+          f"make_dt_interval(0, {FIRST_RESPONSE_FALLBACK_HOURS}))")
     return [
-        F.col("created_at"),
-        F.col("assigned_at"),
+        "created_at",
+        "assigned_at",
         fr,
-        F.when(missing, fr + _hours(DOCS_REQUESTED_AFTER_HOURS)),
-        F.when(missing & resolved.isNotNull(),
-               resolved - F.make_dt_interval(F.lit(DOCS_RECEIVED_BEFORE_DAYS))),
-        resolved,
+        f"CASE WHEN missing_docs THEN {fr} + make_dt_interval(0, {DOCS_REQUESTED_AFTER_HOURS}) END",
+        "CASE WHEN missing_docs AND resolved_at IS NOT NULL "
+        f"THEN resolved_at - make_dt_interval({DOCS_RECEIVED_BEFORE_DAYS}) END",
+        "resolved_at",
     ]
 
 
 def event_log(stg_cases: DataFrame) -> DataFrame:
     """M12 + W1: (case_id, seq, event_type, occurred_at); (case_id, seq) is the event id."""
-    times = event_times(stg_cases)
-    present = [t.isNotNull().cast("int") for t in times]
+    times = event_times_sql()
+    present = [f"CAST(({t}) IS NOT NULL AS BIGINT)" for t in times]
     structs = []
     for i, (name, t) in enumerate(zip(EVENT_ORDER, times)):
-        seq = F.lit(1)
-        for p in present[:i]:
-            seq = seq + p
-        structs.append(
-            F.struct(F.lit(name).alias("event_type"), t.alias("occurred_at"),
-                     seq.cast("long").alias("seq"))
-        )
+        seq = " + ".join(["1L", *present[:i]])
+        structs.append(f"named_struct('event_type', '{name}', 'occurred_at', {t}, 'seq', {seq})")
     return (
-        stg_cases.select(F.col("id").alias("case_id"), F.inline(F.array(*structs)))
-        .filter(F.col("occurred_at").isNotNull())
+        stg_cases.selectExpr("id AS case_id", f"inline(array({', '.join(structs)}))")
+        .filter("occurred_at IS NOT NULL")
         .select("case_id", "seq", "event_type", "occurred_at")
     )
 
 
 def feedback_eligible(raw_cases: DataFrame) -> DataFrame:
     """closed cases with a usable resolution time (present and not blank)."""
-    r = F.col("resolved_at")
     return raw_cases.filter(
-        F.col("status").isin(*CLOSED_STATUSES)
-        & r.isNotNull()
-        & (F.trim(r.cast("string")) != F.lit(""))
+        f"{IS_CLOSED} AND resolved_at IS NOT NULL AND trim(CAST(resolved_at AS STRING)) <> ''"
     ).select("id", "status", "resolved_at")
 
 
@@ -83,11 +67,11 @@ def touches_before_resolution(stg_interactions: DataFrame, stg_cases: DataFrame)
     with a huge share of interactions is streamed through the sort-merge join
     against its single case row; AQE's skew handling splits that partition.
     """
-    c = stg_cases.select(F.col("id").alias("case_id"), "resolved_at")
+    c = stg_cases.selectExpr("id AS case_id", "resolved_at")
     i = stg_interactions.select("case_id", "created_at")
     return (
         i.join(c, "case_id", "inner")
-        .filter(F.col("resolved_at").isNull() | (F.col("created_at") < F.col("resolved_at")))
+        .filter("resolved_at IS NULL OR created_at < resolved_at")
         .groupBy("case_id")
-        .agg(F.count(F.lit(1)).alias("touches_before_resolution"))
+        .agg(F.expr("count(1) AS touches_before_resolution"))
     )

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casekit.functions.exprs import days_between, hour_boundaries
+from casekit.functions.exprs import days_between_sql, hour_boundaries_sql
 
 # The reference's SLA and staleness thresholds.
 SLA_DAYS = 7
@@ -28,54 +28,51 @@ FACT_COLUMNS = [
 ]
 
 
-def as_of_column(as_of: Column | str | dt.datetime | None) -> Column:
-    """Normalise a clock argument to a TIMESTAMP_NTZ literal column."""
+def as_of_sql(as_of: str | dt.datetime | None) -> str:
+    """A clock argument as a TIMESTAMP_NTZ SQL literal (default: the local now)."""
     if as_of is None:
-        return F.localtimestamp()
-    if isinstance(as_of, Column):
-        return as_of.cast("timestamp_ntz")
+        return "localtimestamp()"
     if isinstance(as_of, dt.datetime):
         as_of = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.lit(as_of).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ '{as_of}'"
 
 
-def sla_breach(resolved_at: Column, days_to_resolution: Column, created_at: Column,
-               now: Column, sla_days: int = SLA_DAYS) -> Column:
+def sla_breach_sql(now: str, sla_days: int = SLA_DAYS) -> str:
     """Resolved in more than ``sla_days`` calendar days, or open past them."""
-    return (resolved_at.isNotNull() & (days_to_resolution > F.lit(sla_days))) | (
-        resolved_at.isNull() & (days_between(created_at, now.cast("date")) > F.lit(sla_days))
+    return (
+        f"((resolved_at IS NOT NULL AND days_to_resolution > {sla_days})"
+        f" OR (resolved_at IS NULL AND {days_between_sql('created_at', now)} > {sla_days}))"
     )
 
 
-def stale(resolved_at: Column, last_touch: Column, created_at: Column, now: Column,
-          stale_hours: int = STALE_HOURS) -> Column:
+def stale_sql(now: str, stale_hours: int = STALE_HOURS) -> str:
     """Unresolved and more than ``stale_hours`` hour boundaries since the last touch
     (or since creation when there was no touch)."""
-    return resolved_at.isNull() & (
-        (last_touch.isNull() & (hour_boundaries(created_at, now) > F.lit(stale_hours)))
-        | (last_touch.isNotNull() & (hour_boundaries(last_touch, now) > F.lit(stale_hours)))
+    return (
+        "(resolved_at IS NULL AND ("
+        f"(last_interaction_at IS NULL AND {hour_boundaries_sql('created_at', now)} > {stale_hours})"
+        f" OR (last_interaction_at IS NOT NULL"
+        f" AND {hour_boundaries_sql('last_interaction_at', now)} > {stale_hours})))"
     )
 
 
 def case_lifecycle(
     timings: DataFrame,
     stg_feedback: DataFrame,
-    as_of: Column | str | dt.datetime | None = None,
+    as_of: str | dt.datetime | None = None,
     sla_days: int = SLA_DAYS,
     stale_hours: int = STALE_HOURS,
 ) -> DataFrame:
     """timings ⟕ feedback on case_id (may fan out, as in the reference) + flags."""
-    now = as_of_column(as_of)
+    now = as_of_sql(as_of)
     fb = stg_feedback.select("case_id", "csat_score", "nps_bucket")
     base = timings.join(fb, "case_id", "left")
-    return base.select(
+    return base.selectExpr(
         *FACT_COLUMNS[:8],
-        F.coalesce("first_response_at_event", "first_response_at_case").alias("first_response_at"),
+        "coalesce(first_response_at_event, first_response_at_case) AS first_response_at",
         *FACT_COLUMNS[9:22],
-        sla_breach(F.col("resolved_at"), F.col("days_to_resolution"), F.col("created_at"),
-                   now, sla_days).alias("sla_breach_flag"),
-        stale(F.col("resolved_at"), F.col("last_interaction_at"), F.col("created_at"),
-              now, stale_hours).alias("stale_case_flag"),
+        f"{sla_breach_sql(now, sla_days)} AS sla_breach_flag",
+        f"{stale_sql(now, stale_hours)} AS stale_case_flag",
     )
 
 
@@ -83,6 +80,6 @@ def feedback_duplicates(stg_feedback: DataFrame) -> DataFrame:
     """Cases with more than one feedback row (these fan out the fact)."""
     return (
         stg_feedback.groupBy("case_id")
-        .agg(F.count(F.lit(1)).alias("feedback_rows"))
-        .filter(F.col("feedback_rows") > 1)
+        .agg(F.expr("count(1) AS feedback_rows"))
+        .filter("feedback_rows > 1")
     )

@@ -10,37 +10,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casekit.functions.exprs import count_where, pct, ratio, round2
+from casekit.functions.exprs import count_where_sql, pct_sql, ratio_sql, round2_sql
 
 # Status domains used by the reference's marts and dashboard.
 CLOSED_STATUSES = ["resolved", "reopened"]
 OPEN_STATUSES = ["open", "in_progress", "pending_docs", "escalated"]
 
 
-def is_active(status: str = "status"):
-    """status NOT IN (resolved, reopened); NULL status is not active."""
-    return ~F.col(status).isin(*CLOSED_STATUSES)
+def _in_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+IS_ACTIVE = f"status NOT IN ({_in_list(CLOSED_STATUSES)})"    # NULL status: not active
+IS_CLOSED = f"status IN ({_in_list(CLOSED_STATUSES)})"
+IS_OPEN = f"status IN ({_in_list(OPEN_STATUSES)})"
+
+
+def _agg(*exprs: str):
+    return [F.expr(e) for e in exprs]
 
 
 def ops_kpis(fact: DataFrame) -> DataFrame:
     """M9: eleven KPIs per case type in one aggregation pass."""
-    total = F.count(F.lit(1))
-    active = count_where(is_active())
-    return fact.groupBy("case_type").agg(
-        total.alias("total_cases"),
-        active.alias("active_cases"),
-        active.alias("open_backlog"),
-        round2(F.avg("hours_to_first_response")).alias("avg_hours_to_first_response"),
-        round2(F.avg("days_to_resolution")).alias("avg_days_to_resolution"),
-        round2(pct(count_where(F.col("escalation_flag")), total)).alias("escalation_rate_pct"),
-        round2(
-            pct(count_where(F.col("reopen_flag")), count_where(F.col("status").isin(*CLOSED_STATUSES)))
-        ).alias("reopen_rate_pct"),
-        round2(pct(count_where(F.col("sla_breach_flag")), total)).alias("sla_breach_rate_pct"),
-        round2(F.avg("interaction_count")).alias("avg_interactions_per_case"),
-        round2(F.avg("csat_score")).alias("avg_csat"),
-        count_where(F.col("stale_case_flag")).alias("stale_cases_count"),
-    )
+    active = count_where_sql(IS_ACTIVE)
+    return fact.groupBy("case_type").agg(*_agg(
+        "count(1) AS total_cases",
+        f"{active} AS active_cases",
+        f"{active} AS open_backlog",
+        f"{round2_sql('avg(hours_to_first_response)')} AS avg_hours_to_first_response",
+        f"{round2_sql('avg(days_to_resolution)')} AS avg_days_to_resolution",
+        f"{round2_sql(pct_sql(count_where_sql('escalation_flag'), 'count(1)'))} AS escalation_rate_pct",
+        f"{round2_sql(pct_sql(count_where_sql('reopen_flag'), count_where_sql(IS_CLOSED)))} AS reopen_rate_pct",
+        f"{round2_sql(pct_sql(count_where_sql('sla_breach_flag'), 'count(1)'))} AS sla_breach_rate_pct",
+        f"{round2_sql('avg(interaction_count)')} AS avg_interactions_per_case",
+        f"{round2_sql('avg(csat_score)')} AS avg_csat",
+        f"{count_where_sql('stale_case_flag')} AS stale_cases_count",
+    ))
+
+
+def reopen_rate(fact: DataFrame) -> DataFrame:
+    """F5 + A9: reopened share of closed cases per case type (NULL when none closed)."""
+    closed, reopened = count_where_sql(IS_CLOSED), count_where_sql("reopen_flag")
+    return fact.groupBy("case_type").agg(*_agg(
+        f"{closed} AS closed_cases",
+        f"{reopened} AS reopened_cases",
+        f"{round2_sql(pct_sql(reopened, closed))} AS reopen_rate_pct",
+    ))
 
 
 def advocate_caseload(stg_advocates: DataFrame, fact: DataFrame) -> DataFrame:
@@ -48,34 +63,24 @@ def advocate_caseload(stg_advocates: DataFrame, fact: DataFrame) -> DataFrame:
 
     The fact is aggregated by advocate *before* the join: the reference's
     advocates ⟕ fact would shuffle every fact row to the advocate's reducer
-    (and a left outer join cannot broadcast the fact).  Pre-aggregation ships
-    one partial count per advocate per task; the join is then dimension-sized
-    and AQE may broadcast the aggregate once it has measured it.  Grouping by
-    the five advocate columns afterwards keeps the reference's result when the
-    dimension has repeated rows.
+    (one reducer per hot advocate, and a left outer join cannot broadcast the
+    fact).  Pre-aggregation ships one partial count per advocate per task;
+    the join is then dimension-sized and AQE may broadcast the aggregate once
+    it has measured it.  Grouping by the five advocate columns afterwards
+    keeps the reference's result when the dimension has repeated rows.
     """
     per_advocate = fact.groupBy("advocate_id").agg(
-        count_where(is_active() & F.col("case_id").isNotNull()).alias("active")
+        F.expr(f"{count_where_sql(f'{IS_ACTIVE} AND case_id IS NOT NULL')} AS active")
     )
-    a = stg_advocates.select(
-        F.col("id").alias("advocate_id"), "name", "team", "specialty", "capacity"
-    )
-    joined = a.join(per_advocate, "advocate_id", "left")
-    active = F.coalesce(F.sum("active"), F.lit(0).cast("long"))
-    return joined.groupBy("advocate_id", "name", "team", "specialty", "capacity").agg(
-        active.alias("active_cases"),
-        round2(ratio(active, F.col("capacity"))).alias("utilization_ratio"),
-    )
-
-
-def reopen_rate(fact: DataFrame) -> DataFrame:
-    """F5 + A9: reopened share of closed cases per case type (NULL when none closed)."""
-    closed = count_where(F.col("status").isin(*CLOSED_STATUSES))
-    reopened = count_where(F.col("reopen_flag"))
-    return fact.groupBy("case_type").agg(
-        closed.alias("closed_cases"),
-        reopened.alias("reopened_cases"),
-        round2(pct(reopened, closed)).alias("reopen_rate_pct"),
+    a = stg_advocates.selectExpr("id AS advocate_id", "name", "team", "specialty", "capacity")
+    active = "coalesce(sum(active), 0L)"
+    return (
+        a.join(per_advocate, "advocate_id", "left")
+        .groupBy("advocate_id", "name", "team", "specialty", "capacity")
+        .agg(*_agg(
+            f"{active} AS active_cases",
+            f"{round2_sql(ratio_sql(active, 'capacity'))} AS utilization_ratio",
+        ))
     )
 
 
@@ -84,12 +89,10 @@ MISSING_DOCS = "missing_docs_vs_resolution"
 HANDOFFS = "handoffs_vs_csat"
 CASE_TYPE = "case_type_vs_sla_breach"
 
-
-def handoff_bucket(col: str = "handoff_count"):
-    c = F.col(col)
-    return (
-        F.when(c <= 1, "0-1_handoffs").when(c == 2, "2_handoffs").otherwise("3+_handoffs")
-    )
+HANDOFF_BUCKET = (
+    "CASE WHEN handoff_count <= 1 THEN '0-1_handoffs' "
+    "WHEN handoff_count = 2 THEN '2_handoffs' ELSE '3+_handoffs' END"
+)
 
 
 def _bottleneck_rows(fact: DataFrame) -> DataFrame:
@@ -101,57 +104,38 @@ def _bottleneck_rows(fact: DataFrame) -> DataFrame:
     missing-docs analysis groups by the boolean itself (a NULL flag is its
     own group, labelled like false), so the key is the flag's text.
     """
-    tags = F.array(
-        F.struct(
-            F.lit(MISSING_DOCS).alias("analysis_type"),
-            F.col("missing_docs").cast("string").alias("group_key"),
-            F.col("resolved_at").isNotNull().alias("keep"),
-        ),
-        F.struct(
-            F.lit(HANDOFFS).alias("analysis_type"),
-            handoff_bucket().alias("group_key"),
-            F.col("csat_score").isNotNull().alias("keep"),
-        ),
-        F.struct(
-            F.lit(CASE_TYPE).alias("analysis_type"),
-            F.col("case_type").alias("group_key"),
-            F.lit(True).alias("keep"),
-        ),
+    tags = (
+        "inline(array("
+        f"named_struct('analysis_type', '{MISSING_DOCS}', 'group_key', CAST(missing_docs AS STRING),"
+        " 'keep', resolved_at IS NOT NULL),"
+        f"named_struct('analysis_type', '{HANDOFFS}', 'group_key', {HANDOFF_BUCKET},"
+        " 'keep', csat_score IS NOT NULL),"
+        f"named_struct('analysis_type', '{CASE_TYPE}', 'group_key', case_type, 'keep', true)))"
     )
     return (
-        fact.select("days_to_resolution", "csat_score", "sla_breach_flag", F.inline(tags))
+        fact.selectExpr("days_to_resolution", "csat_score", "sla_breach_flag", tags)
         .filter("keep")
         .drop("keep")
     )
 
 
-def _bottleneck_segment():
-    key = F.col("group_key")
-    return (
-        F.when(
-            F.col("analysis_type") == MISSING_DOCS,
-            F.when(key == "true", "missing_docs").otherwise("docs_complete"),
-        ).otherwise(key)
-    )
-
-
 def bottlenecks(fact: DataFrame) -> DataFrame:
     """The three bottleneck analyses in one six-column table (UNION ALL)."""
-    total = F.count(F.lit(1))
-    agg = _bottleneck_rows(fact).groupBy("analysis_type", "group_key").agg(
-        total.alias("case_count"),
-        F.avg("days_to_resolution").alias("_days"),
-        F.avg("csat_score").alias("_csat"),
-        pct(count_where(F.col("sla_breach_flag")), total).alias("_sla"),
-    )
-    is_case_type = F.col("analysis_type") == CASE_TYPE
-    return agg.select(
+    agg = _bottleneck_rows(fact).groupBy("analysis_type", "group_key").agg(*_agg(
+        "count(1) AS case_count",
+        "avg(days_to_resolution) AS _days",
+        "avg(csat_score) AS _csat",
+        f"{pct_sql(count_where_sql('sla_breach_flag'), 'count(1)')} AS _sla",
+    ))
+    return agg.selectExpr(
         "analysis_type",
-        _bottleneck_segment().alias("segment"),
+        f"CASE WHEN analysis_type = '{MISSING_DOCS}' THEN "
+        "CASE WHEN group_key = 'true' THEN 'missing_docs' ELSE 'docs_complete' END "
+        "ELSE group_key END AS segment",
         "case_count",
-        round2("_days").alias("avg_days_to_resolution"),
-        F.when(~is_case_type, round2("_csat")).cast("double").alias("avg_csat"),
-        F.when(is_case_type, round2("_sla")).cast("double").alias("sla_breach_pct"),
+        f"{round2_sql('_days')} AS avg_days_to_resolution",
+        f"CAST(CASE WHEN analysis_type <> '{CASE_TYPE}' THEN {round2_sql('_csat')} END AS DOUBLE) AS avg_csat",
+        f"CAST(CASE WHEN analysis_type = '{CASE_TYPE}' THEN {round2_sql('_sla')} END AS DOUBLE) AS sla_breach_pct",
     )
 
 

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casekit.functions.exprs import count_where, fmt_number, pct
-from casekit.operators.marts import OPEN_STATUSES
+from casekit.functions.exprs import count_where_sql, fmt_number_sql, pct_sql
+from casekit.operators.marts import IS_OPEN
 
 # The urgency order of the "open cases by urgency" chart.
 URGENCY_ORDER = ["high", "medium", "low"]
@@ -23,29 +23,29 @@ STALE_LIST_COLUMNS = ["case_id", "case_type", "urgency", "status", "created_at",
 OVER_CAPACITY_RATIO = 1.0
 
 
-def _is_open():
-    return F.col("status").isin(*OPEN_STATUSES)
+def _agg(*exprs: str):
+    return [F.expr(e) for e in exprs]
 
 
 def exec_headline(fact: DataFrame) -> DataFrame:
     """One row of headline numbers (unrounded, as the page computes them)."""
-    return fact.agg(
-        count_where(_is_open()).alias("active_cases"),
-        F.avg("days_to_resolution").alias("avg_days_to_resolution"),
-        pct(count_where(F.col("sla_breach_flag")), F.count(F.lit(1))).alias("sla_breach_rate_pct"),
-        F.avg("csat_score").alias("avg_csat"),
-        count_where(F.col("stale_case_flag")).alias("stale_cases"),
-    )
+    return fact.agg(*_agg(
+        f"{count_where_sql(IS_OPEN)} AS active_cases",
+        "avg(days_to_resolution) AS avg_days_to_resolution",
+        f"{pct_sql(count_where_sql('sla_breach_flag'), 'count(1)')} AS sla_breach_rate_pct",
+        "avg(csat_score) AS avg_csat",
+        f"{count_where_sql('stale_case_flag')} AS stale_cases",
+    ))
 
 
 def metric_text(headline: DataFrame) -> DataFrame:
     """The headline tiles as text (fixed decimals, a dash for NULL)."""
-    return headline.select(
-        F.col("active_cases").cast("string").alias("active_cases_text"),
-        fmt_number("avg_days_to_resolution", 1).alias("avg_days_text"),
-        fmt_number("sla_breach_rate_pct", 1).alias("sla_breach_rate_text"),
-        fmt_number("avg_csat", 2).alias("avg_csat_text"),
-        F.col("stale_cases").cast("string").alias("stale_cases_text"),
+    return headline.selectExpr(
+        "CAST(active_cases AS STRING) AS active_cases_text",
+        f"{fmt_number_sql('avg_days_to_resolution', 1)} AS avg_days_text",
+        f"{fmt_number_sql('sla_breach_rate_pct', 1)} AS sla_breach_rate_text",
+        f"{fmt_number_sql('avg_csat', 2)} AS avg_csat_text",
+        "CAST(stale_cases AS STRING) AS stale_cases_text",
     )
 
 
@@ -58,19 +58,20 @@ def open_by_urgency(spark: SparkSession, fact: DataFrame) -> DataFrame:
     """Open cases per urgency in the fixed order high, medium, low; zero-filled.
 
     Counts are filtered to the three-value domain before the join, so the
-    joined side has at most three rows whatever the data size.
+    broadcast side has at most three rows whatever the data size.
     """
     domain = spark.createDataFrame(
         [(u, i) for i, u in enumerate(URGENCY_ORDER)], "urgency string, position int"
     )
+    in_domain = ", ".join(f"'{u}'" for u in URGENCY_ORDER)
     counts = (
-        fact.filter(_is_open() & F.col("urgency").isin(*URGENCY_ORDER))
+        fact.filter(f"{IS_OPEN} AND urgency IN ({in_domain})")
         .groupBy("urgency")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) AS n"))
     )
     return (
         domain.join(F.broadcast(counts), "urgency", "left")
-        .select("urgency", F.coalesce("n", F.lit(0).cast("long")).alias("open_cases"), "position")
+        .selectExpr("urgency", "coalesce(n, 0L) AS open_cases", "position")
         .orderBy("position")
     )
 
@@ -78,7 +79,7 @@ def open_by_urgency(spark: SparkSession, fact: DataFrame) -> DataFrame:
 def stale_cases(fact: DataFrame, rows: int = STALE_LIST_ROWS) -> DataFrame:
     """The stale-case list, first ``rows`` by case id (a top-k, not a sort)."""
     return (
-        fact.filter(F.col("stale_case_flag"))
+        fact.filter("stale_case_flag")
         .select(*STALE_LIST_COLUMNS)
         .orderBy("case_id")
         .limit(rows)
@@ -87,7 +88,7 @@ def stale_cases(fact: DataFrame, rows: int = STALE_LIST_ROWS) -> DataFrame:
 
 def over_capacity(caseload: DataFrame) -> DataFrame:
     """Advocates whose utilisation exceeds 1.0 (NULL ratio drops out)."""
-    return caseload.filter(F.col("utilization_ratio") > F.lit(OVER_CAPACITY_RATIO))
+    return caseload.filter(f"utilization_ratio > {OVER_CAPACITY_RATIO}D")
 
 
 def over_capacity_names(caseload: DataFrame) -> DataFrame:
@@ -97,29 +98,23 @@ def over_capacity_names(caseload: DataFrame) -> DataFrame:
     team so that no single group gathers the whole staff list.  Names are
     sorted so the text is stable.
     """
-    return (
-        over_capacity(caseload)
-        .groupBy("team")
-        .agg(
-            F.count(F.lit(1)).alias("advocates_over_capacity"),
-            F.array_join(F.sort_array(F.collect_list(F.col("name").cast("string"))), ", ")
-            .alias("names"),
-        )
-    )
+    return over_capacity(caseload).groupBy("team").agg(*_agg(
+        "count(1) AS advocates_over_capacity",
+        "array_join(sort_array(collect_list(CAST(name AS STRING))), ', ') AS names",
+    ))
 
 
 def escalation_distribution(fact: DataFrame) -> DataFrame:
     """Escalated count, non-null count and rate per case type."""
-    escalated = count_where(F.col("escalation_flag"))
-    flagged = F.count("escalation_flag")
+    escalated, flagged = count_where_sql("escalation_flag"), "count(escalation_flag)"
     return (
-        fact.filter(F.col("case_type").isNotNull())
+        fact.filter("case_type IS NOT NULL")
         .groupBy("case_type")
-        .agg(
-            escalated.alias("escalated_cases"),
-            flagged.alias("case_count"),
-            pct(escalated, flagged).alias("escalation_rate_pct"),
-        )
+        .agg(*_agg(
+            f"{escalated} AS escalated_cases",
+            f"{flagged} AS case_count",
+            f"{pct_sql(escalated, flagged)} AS escalation_rate_pct",
+        ))
         .orderBy("case_type")
     )
 
@@ -127,12 +122,9 @@ def escalation_distribution(fact: DataFrame) -> DataFrame:
 def interaction_load(fact: DataFrame) -> DataFrame:
     """Mean touches and case count per case type."""
     return (
-        fact.filter(F.col("case_type").isNotNull())
+        fact.filter("case_type IS NOT NULL")
         .groupBy("case_type")
-        .agg(
-            F.avg("interaction_count").alias("avg_interactions"),
-            F.count("case_id").alias("cases"),
-        )
+        .agg(*_agg("avg(interaction_count) AS avg_interactions", "count(case_id) AS cases"))
         .orderBy("case_type")
     )
 
@@ -140,12 +132,10 @@ def interaction_load(fact: DataFrame) -> DataFrame:
 def missing_docs_vs_resolution(fact: DataFrame) -> DataFrame:
     """Resolution days by missing-docs flag (resolved cases only)."""
     return (
-        fact.filter(F.col("resolved_at").isNotNull() & F.col("missing_docs").isNotNull())
+        fact.filter("resolved_at IS NOT NULL AND missing_docs IS NOT NULL")
         .groupBy("missing_docs")
-        .agg(
-            F.avg("days_to_resolution").alias("avg_days_to_resolution"),
-            F.count("days_to_resolution").alias("case_count"),
-        )
+        .agg(*_agg("avg(days_to_resolution) AS avg_days_to_resolution",
+                   "count(days_to_resolution) AS case_count"))
         .orderBy("missing_docs")
     )
 
@@ -153,9 +143,9 @@ def missing_docs_vs_resolution(fact: DataFrame) -> DataFrame:
 def handoffs_vs_csat(fact: DataFrame) -> DataFrame:
     """CSAT by exact handoff count (rated cases only)."""
     return (
-        fact.filter(F.col("csat_score").isNotNull() & F.col("handoff_count").isNotNull())
+        fact.filter("csat_score IS NOT NULL AND handoff_count IS NOT NULL")
         .groupBy("handoff_count")
-        .agg(F.avg("csat_score").alias("avg_csat"), F.count("case_id").alias("case_count"))
+        .agg(*_agg("avg(csat_score) AS avg_csat", "count(case_id) AS case_count"))
         .orderBy("handoff_count")
     )
 
@@ -163,12 +153,10 @@ def handoffs_vs_csat(fact: DataFrame) -> DataFrame:
 def escalation_vs_sla(fact: DataFrame) -> DataFrame:
     """SLA-breach rate (0..1) and case count by escalation flag."""
     return (
-        fact.filter(F.col("escalation_flag").isNotNull())
+        fact.filter("escalation_flag IS NOT NULL")
         .groupBy("escalation_flag")
-        .agg(
-            F.avg(F.col("sla_breach_flag").cast("int")).alias("sla_breach_rate"),
-            F.count("case_id").alias("case_count"),
-        )
+        .agg(*_agg("avg(CAST(sla_breach_flag AS INT)) AS sla_breach_rate",
+                   "count(case_id) AS case_count"))
         .orderBy("escalation_flag")
     )
 
@@ -176,9 +164,9 @@ def escalation_vs_sla(fact: DataFrame) -> DataFrame:
 def case_type_delay(fact: DataFrame) -> DataFrame:
     """Mean resolution days per case type."""
     return (
-        fact.filter(F.col("days_to_resolution").isNotNull() & F.col("case_type").isNotNull())
+        fact.filter("days_to_resolution IS NOT NULL AND case_type IS NOT NULL")
         .groupBy("case_type")
-        .agg(F.avg("days_to_resolution").alias("avg_days_to_resolution"))
+        .agg(F.expr("avg(days_to_resolution) AS avg_days_to_resolution"))
         .orderBy("case_type")
     )
 
@@ -191,11 +179,11 @@ def advocate_comparison(fact: DataFrame, stg_advocates: DataFrame) -> DataFrame:
     sort-merge from their measured sizes.
     """
     per_advocate = (
-        fact.filter(F.col("days_to_resolution").isNotNull())
+        fact.filter("days_to_resolution IS NOT NULL")
         .groupBy("advocate_id")
-        .agg(F.avg("days_to_resolution").alias("avg_days"))
+        .agg(F.expr("avg(days_to_resolution) AS avg_days"))
     )
-    a = stg_advocates.select(F.col("id").alias("advocate_id"), "name", "team")
+    a = stg_advocates.selectExpr("id AS advocate_id", "name", "team")
     return per_advocate.join(a, "advocate_id", "inner").select(
         "advocate_id", "name", "team", "avg_days"
     )

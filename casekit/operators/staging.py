@@ -7,10 +7,9 @@ whole-stage-codegen span and prunes the scan to the columns a consumer uses.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from casekit.functions.exprs import blank_to_null_ts, int_flag
-from casekit.functions.json import metadata_columns, parse_metadata
+from casekit.functions.exprs import blank_to_null_ts_sql, int_flag_sql
+from casekit.functions.json import metadata_columns_sql, parse_metadata_sql
 
 
 def _dtype(df: DataFrame, name: str) -> str:
@@ -18,89 +17,91 @@ def _dtype(df: DataFrame, name: str) -> str:
 
 
 def stg_patients(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "id",
-        F.trim("insurance_type").alias("insurance_type"),
-        F.trim("preferred_channel").alias("preferred_channel"),
-        F.trim("state").alias("state"),
-        F.col("risk_score").cast("double").alias("risk_score"),
-        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+        "trim(insurance_type) AS insurance_type",
+        "trim(preferred_channel) AS preferred_channel",
+        "trim(state) AS state",
+        "CAST(risk_score AS DOUBLE) AS risk_score",
+        "CAST(created_at AS TIMESTAMP_NTZ) AS created_at",
     )
 
 
 def stg_advocates(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "id",
-        F.trim("name").alias("name"),
-        F.trim("specialty").alias("specialty"),
-        F.trim("team").alias("team"),
-        F.col("capacity").cast("int").alias("capacity"),
-        F.col("hire_date").cast("date").alias("hire_date"),
+        "trim(name) AS name",
+        "trim(specialty) AS specialty",
+        "trim(team) AS team",
+        "CAST(capacity AS INT) AS capacity",
+        "CAST(hire_date AS DATE) AS hire_date",
     )
 
 
 def stg_cases(raw: DataFrame) -> DataFrame:
     """Typed cases plus the seven metadata fields, parsed once per row."""
-    parsed = parse_metadata("metadata_json")
-    meta = metadata_columns(parsed)
-    return raw.select(
+    meta = metadata_columns_sql("_meta")
+    parsed = raw.selectExpr("*", f"{parse_metadata_sql('metadata_json')} AS _meta")
+    return parsed.selectExpr(
         "id",
         "patient_id",
         "advocate_id",
-        F.trim("case_type").alias("case_type"),
-        F.trim("urgency").alias("urgency"),
-        F.trim("status").alias("status"),
-        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
-        F.col("assigned_at").cast("timestamp_ntz").alias("assigned_at"),
-        blank_to_null_ts("first_response_at", _dtype(raw, "first_response_at")).alias(
-            "first_response_at"
-        ),
-        blank_to_null_ts("resolved_at", _dtype(raw, "resolved_at")).alias("resolved_at"),
-        int_flag("escalation_flag").alias("escalation_flag"),
-        int_flag("reopen_flag").alias("reopen_flag"),
+        "trim(case_type) AS case_type",
+        "trim(urgency) AS urgency",
+        "trim(status) AS status",
+        "CAST(created_at AS TIMESTAMP_NTZ) AS created_at",
+        "CAST(assigned_at AS TIMESTAMP_NTZ) AS assigned_at",
+        f"{blank_to_null_ts_sql('first_response_at', _dtype(raw, 'first_response_at'))} AS first_response_at",
+        f"{blank_to_null_ts_sql('resolved_at', _dtype(raw, 'resolved_at'))} AS resolved_at",
+        f"{int_flag_sql('escalation_flag')} AS escalation_flag",
+        f"{int_flag_sql('reopen_flag')} AS reopen_flag",
         "metadata_json",
-        *[col.alias(name) for name, col in meta.items()],
+        *[f"{sql} AS {name}" for name, sql in meta.items()],
     )
 
 
 def stg_interactions(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "id",
         "case_id",
-        F.trim("type").alias("type"),
-        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
-        F.col("duration_minutes").cast("double").alias("duration_minutes"),
+        "trim(type) AS type",
+        "CAST(created_at AS TIMESTAMP_NTZ) AS created_at",
+        "CAST(duration_minutes AS DOUBLE) AS duration_minutes",
         "advocate_id",
     )
 
 
 def stg_case_events(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "id",
         "case_id",
-        F.trim("event_type").alias("event_type"),
-        F.col("occurred_at").cast("timestamp_ntz").alias("occurred_at"),
+        "trim(event_type) AS event_type",
+        "CAST(occurred_at AS TIMESTAMP_NTZ) AS occurred_at",
     )
 
 
 def stg_feedback(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "id",
         "case_id",
-        F.col("csat_score").cast("double").alias("csat_score"),
-        F.trim("nps_bucket").alias("nps_bucket"),
-        F.trim("feedback_text").alias("feedback_text"),
-        F.col("submitted_at").cast("timestamp_ntz").alias("submitted_at"),
+        "CAST(csat_score AS DOUBLE) AS csat_score",
+        "trim(nps_bucket) AS nps_bucket",
+        "trim(feedback_text) AS feedback_text",
+        "CAST(submitted_at AS TIMESTAMP_NTZ) AS submitted_at",
     )
 
 
+# Staging model name -> (builder, raw table it reads).
+STAGING = {
+    "stg_patients": (stg_patients, "patients"),
+    "stg_advocates": (stg_advocates, "advocates"),
+    "stg_cases": (stg_cases, "cases"),
+    "stg_interactions": (stg_interactions, "interactions"),
+    "stg_case_events": (stg_case_events, "case_events"),
+    "stg_feedback": (stg_feedback, "patient_feedback"),
+}
+
+
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Raw namespace -> staging namespace (lazy; nothing runs here)."""
-    return {
-        "stg_patients": stg_patients(raw["patients"]),
-        "stg_advocates": stg_advocates(raw["advocates"]),
-        "stg_cases": stg_cases(raw["cases"]),
-        "stg_interactions": stg_interactions(raw["interactions"]),
-        "stg_case_events": stg_case_events(raw["case_events"]),
-        "stg_feedback": stg_feedback(raw["patient_feedback"]),
-    }
+    return {name: fn(raw[table]) for name, (fn, table) in STAGING.items()}

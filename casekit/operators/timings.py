@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casekit.functions.exprs import days_between, hours_between
+from casekit.functions.exprs import days_between_sql, hours_between_sql
 
 FIRST_RESPONSE_EVENT = "first_response"
 
@@ -28,20 +28,20 @@ TIMINGS_COLUMNS = [
 
 
 def first_response_min(stg_case_events: DataFrame) -> DataFrame:
-    """A1: earliest first_response event per case (filter pushed to the scan)."""
+    """A1: earliest first_response event per case."""
     return (
         stg_case_events.filter(F.col("event_type") == FIRST_RESPONSE_EVENT)
         .groupBy("case_id")
-        .agg(F.min("occurred_at").alias("first_response_at"))
+        .agg(F.expr("min(occurred_at) AS first_response_at"))
     )
 
 
 def interaction_stats(stg_interactions: DataFrame) -> DataFrame:
     """A2: touches, last touch and mean duration per case."""
     return stg_interactions.groupBy("case_id").agg(
-        F.count(F.lit(1)).alias("interaction_count"),
-        F.max("created_at").alias("last_interaction_at"),
-        F.avg("duration_minutes").alias("avg_duration_minutes"),
+        F.expr("count(1) AS interaction_count"),
+        F.expr("max(created_at) AS last_interaction_at"),
+        F.expr("avg(duration_minutes) AS avg_duration_minutes"),
     )
 
 
@@ -52,23 +52,20 @@ def case_timings(
         "first_response_at", "first_response_at_event"
     )
     stats = interaction_stats(stg_interactions)
-    c = stg_cases.select(
-        F.col("id").alias("case_id"),
-        "patient_id", "advocate_id", "case_type", "urgency", "status",
-        "created_at", "assigned_at",
-        F.col("first_response_at").alias("first_response_at_case"),
-        "resolved_at", "escalation_flag", "reopen_flag",
-        "handoff_count", "complexity", "missing_docs",
+    c = stg_cases.selectExpr(
+        "id AS case_id", "patient_id", "advocate_id", "case_type", "urgency", "status",
+        "created_at", "assigned_at", "first_response_at AS first_response_at_case",
+        "resolved_at", "escalation_flag", "reopen_flag", "handoff_count", "complexity",
+        "missing_docs",
     )
     joined = c.join(fr, "case_id", "left").join(stats, "case_id", "left")
-    first_response = F.coalesce(F.col("first_response_at_event"), F.col("first_response_at_case"))
-    return joined.select(
+    first_response = "coalesce(first_response_at_event, first_response_at_case)"
+    return joined.selectExpr(
         *TIMINGS_COLUMNS[:16],
-        hours_between(F.col("created_at"), first_response).alias("hours_to_first_response"),
-        F.when(
-            F.col("resolved_at").isNotNull(), days_between("created_at", "resolved_at")
-        ).alias("days_to_resolution"),
-        F.coalesce(F.col("interaction_count"), F.lit(0).cast("long")).alias("interaction_count"),
+        f"{hours_between_sql('created_at', first_response)} AS hours_to_first_response",
+        f"CASE WHEN resolved_at IS NOT NULL THEN {days_between_sql('created_at', 'resolved_at')} END"
+        " AS days_to_resolution",
+        "coalesce(interaction_count, 0L) AS interaction_count",
         "last_interaction_at",
-        F.col("avg_duration_minutes").alias("avg_interaction_duration_minutes"),
+        "avg_duration_minutes AS avg_interaction_duration_minutes",
     )

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casekit.functions import derive
-from casekit.functions.exprs import text_to_int
-from casekit.functions.json import json_field_text, text_array
+from casekit.functions.exprs import text_to_int_sql
+from casekit.functions.json import json_field_text_sql, text_array_sql
 from casekit.operators import eventlog, marts, reports
 from casekit.operators.timings import first_response_min, interaction_stats
 from casekit.plans import oracle
@@ -216,67 +216,63 @@ def _stg_cases(spark, sf_dir):
 
 
 def _q_json_fields(spark, sf_dir):
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    k_text = json_field_text("props", "k")
-    return ev.select(
+    ev = bindings.read_table(spark, sf_dir, "events")
+    k_text = json_field_text_sql("props", "k")
+    return ev.selectExpr(
         "event_id",
-        k_text.alias("k_text"),
-        F.coalesce(text_to_int(k_text), F.lit(0)).alias("k"),
-        F.coalesce(json_field_text("props", "label"), F.lit("none")).alias("label"),
+        f"{k_text} AS k_text",
+        f"coalesce({text_to_int_sql(k_text)}, 0) AS k",
+        f"coalesce({json_field_text_sql('props', 'label')}, 'none') AS label",
     )
 
 
 def _q_json_arrays_as_text(spark, sf_dir):
-    raw = bindings.cases(spark, sf_dir)
-    return raw.select(
+    return bindings.cases(spark, sf_dir).selectExpr(
         "id",
-        json_field_text("metadata_json", "barriers").alias("barriers_text"),
-        json_field_text("metadata_json", "support_flags").alias("support_flags_text"),
-        json_field_text("metadata_json", "submitted_documents").alias("submitted_documents_text"),
+        f"{json_field_text_sql('metadata_json', 'barriers')} AS barriers_text",
+        f"{json_field_text_sql('metadata_json', 'support_flags')} AS support_flags_text",
+        f"{json_field_text_sql('metadata_json', 'submitted_documents')} AS submitted_documents_text",
     )
 
 
 def _q_json_build_parse(spark, sf_dir):
-    c = _stg_cases(spark, sf_dir)
-    doc = derive.metadata_document(
-        F.col("intake_source"), text_array("barriers_json"), F.col("handoff_count"),
-        F.col("complexity"), text_array("submitted_documents_json"),
-        text_array("support_flags_json"), F.col("missing_docs"),
+    doc = derive.metadata_document_sql(
+        "intake_source", text_array_sql("barriers_json"), "handoff_count", "complexity",
+        text_array_sql("submitted_documents_json"), text_array_sql("support_flags_json"),
+        "missing_docs",
     )
-    with_doc = c.select(F.col("id").alias("case_id"), doc.alias("metadata_doc"))
-    parsed = derive.parse_document(F.col("metadata_doc"))
-    return with_doc.select(
+    with_doc = _stg_cases(spark, sf_dir).selectExpr("id AS case_id", f"{doc} AS metadata_doc")
+    parsed = derive.parse_document_sql("metadata_doc")
+    return with_doc.selectExpr(
         "case_id", "metadata_doc",
-        parsed["handoff_count"].alias("rt_handoff_count"),
-        parsed["complexity"].alias("rt_complexity"),
-        parsed["missing_docs"].alias("rt_missing_docs"),
-        parsed["intake_source"].alias("rt_intake_source"),
-        parsed["barriers_json"].alias("rt_barriers_json"),
+        f"{parsed['handoff_count']} AS rt_handoff_count",
+        f"{parsed['complexity']} AS rt_complexity",
+        f"{parsed['missing_docs']} AS rt_missing_docs",
+        f"{parsed['intake_source']} AS rt_intake_source",
+        f"{parsed['barriers_json']} AS rt_barriers_json",
     )
 
 
 def _q_array_clean_barriers(spark, sf_dir):
-    return _stg_cases(spark, sf_dir).select(
-        F.col("id").alias("case_id"), "barriers_json",
-        derive.array_text(derive.clean_barriers(text_array("barriers_json"))).alias("clean_barriers_json"),
-    )
+    cleaned = derive.clean_barriers_sql(text_array_sql("barriers_json"))
+    return _stg_cases(spark, sf_dir).selectExpr(
+        "id AS case_id", "barriers_json", f"to_json({cleaned}) AS clean_barriers_json")
 
 
 def _q_array_support_flags(spark, sf_dir):
-    return _stg_cases(spark, sf_dir).select(
-        F.col("id").alias("case_id"),
-        derive.array_text(derive.support_flags(text_array("barriers_json"))).alias("support_flags_json"),
-    )
+    flags = derive.support_flags_sql(text_array_sql("barriers_json"))
+    return _stg_cases(spark, sf_dir).selectExpr("id AS case_id", f"to_json({flags}) AS support_flags_json")
 
 
 def _q_nps_bucket(spark, sf_dir):
     fb = models(spark, sf_dir)["stg_feedback"]
-    return fb.select("id", "case_id", "csat_score", derive.nps_bucket("csat_score").alias("nps"))
+    return fb.selectExpr("id", "case_id", "csat_score", f"{derive.nps_bucket_sql('csat_score')} AS nps")
 
 
 def _q_clamp_scores(spark, sf_dir):
     p = models(spark, sf_dir)["stg_patients"]
-    return p.select("id", "risk_score", derive.clamp("risk_score", 0.0, 1.0).alias("risk_score_clamped"))
+    return p.selectExpr("id", "risk_score",
+                        f"{derive.clamp_sql('risk_score', 0.0, 1.0)} AS risk_score_clamped")
 
 
 def _q_derive_status(spark, sf_dir):
@@ -294,19 +290,15 @@ def _q_expected_days(spark, sf_dir):
 
 
 def _q_expected_csat(spark, sf_dir):
-    csat = derive.expected_csat("escalation_flag", "reopen_flag", "handoff_count")
-    return _stg_cases(spark, sf_dir).select(
-        F.col("id").alias("case_id"),
-        csat.alias("expected_csat"),
-        derive.nps_bucket(csat).alias("expected_nps"),
-    )
+    csat = derive.expected_csat_sql("escalation_flag", "reopen_flag", "handoff_count")
+    return _stg_cases(spark, sf_dir).selectExpr(
+        "id AS case_id", f"{csat} AS expected_csat", f"{derive.nps_bucket_sql(csat)} AS expected_nps")
 
 
 def _q_cap_at_as_of(spark, sf_dir):
-    now = F.lit(bindings.AS_OF).cast("timestamp_ntz")
     return _stg_cases(spark, sf_dir).select(
         F.col("id").alias("case_id"), "resolved_at",
-        derive.cap_at("resolved_at", now).alias("resolved_at_capped"),
+        derive.cap_at("resolved_at", bindings.as_of_sql()).alias("resolved_at_capped"),
     )
 
 
@@ -496,9 +488,7 @@ def _q_mart_ready(spark, sf_dir):
 def _q_pipeline_all(spark, sf_dir):
     m = models(spark, sf_dir, materialize_fact=True)
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("model"), "row_count"
-        )
+        df.agg(F.expr("count(1) AS row_count")).selectExpr(f"'{name}' AS model", "row_count")
         for name, df in m.items()
     ]
     out = counts[0]

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from casekit.operators import marts, staging
 from casekit.operators.lifecycle import SLA_DAYS, STALE_HOURS, case_lifecycle
@@ -40,29 +41,65 @@ def materialize(spark: SparkSession, df: DataFrame, name: str = "table") -> Data
     return spark.read.parquet(path)
 
 
+class Models(Mapping):
+    """Every model of every layer by name, each built on first access.
+
+    Building a DataFrame is driver-side work (plan construction and analysis),
+    so a query pays only for the models it reads.  Data is never cached here:
+    each entry is a lazy plan, except the fact when ``materialize_fact`` is set.
+    """
+
+    NAMES = [n for layer in LAYERS.values() for n in layer]
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of, sla_days: int,
+                 stale_hours: int, materialize_fact: bool) -> None:
+        self._spark, self._raw, self._as_of = spark, raw, as_of
+        self._sla_days, self._stale_hours = sla_days, stale_hours
+        self._materialize_fact = materialize_fact
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    def _build(self, name: str) -> DataFrame:
+        if name in staging.STAGING:
+            fn, table = staging.STAGING[name]
+            return fn(self._raw[table])
+        if name == "int_case_timings":
+            return case_timings(self["stg_cases"], self["stg_case_events"], self["stg_interactions"])
+        if name == "fct_case_lifecycle":
+            fact = case_lifecycle(self["int_case_timings"], self["stg_feedback"], self._as_of,
+                                  self._sla_days, self._stale_hours)
+            if self._materialize_fact:
+                fact = materialize(self._spark, fact, "fct_case_lifecycle")
+            return fact
+        if name == "mart_ops_kpis":
+            return marts.ops_kpis(self["fct_case_lifecycle"])
+        if name == "mart_advocate_caseload":
+            return marts.advocate_caseload(self["stg_advocates"], self["fct_case_lifecycle"])
+        if name == "mart_bottlenecks":
+            return marts.bottlenecks(self["fct_case_lifecycle"])
+        raise KeyError(name)
+
+
 def build_all(
     spark: SparkSession,
     raw: dict[str, DataFrame],
-    as_of: Column | str | dt.datetime | None = None,
+    as_of: str | dt.datetime | None = None,
     sla_days: int = SLA_DAYS,
     stale_hours: int = STALE_HOURS,
     materialize_fact: bool = False,
-) -> dict[str, DataFrame]:
-    """Every model of every layer, keyed by model name."""
-    models: dict[str, DataFrame] = dict(staging.stage_all(raw))
-    models["int_case_timings"] = case_timings(
-        models["stg_cases"], models["stg_case_events"], models["stg_interactions"]
-    )
-    fact = case_lifecycle(
-        models["int_case_timings"], models["stg_feedback"], as_of, sla_days, stale_hours
-    )
-    if materialize_fact:
-        fact = materialize(spark, fact, "fct_case_lifecycle")
-    models["fct_case_lifecycle"] = fact
-    models["mart_ops_kpis"] = marts.ops_kpis(fact)
-    models["mart_advocate_caseload"] = marts.advocate_caseload(models["stg_advocates"], fact)
-    models["mart_bottlenecks"] = marts.bottlenecks(fact)
-    return models
+) -> Models:
+    """Every model of every layer, keyed by model name (built lazily)."""
+    return Models(spark, raw, as_of, sla_days, stale_hours, materialize_fact)
 
 
 def persist_layers(
@@ -83,7 +120,7 @@ def persist_layers(
         db = f"{prefix}_{layer}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}/{db}.db'")
         for name in names:
-            if name in models:
+            if name in models.keys():
                 table = f"{db}.{name}"
                 models[name].write.mode("overwrite").format("parquet").saveAsTable(table)
                 written[name] = table

@@ -29,6 +29,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even when the split needs an extra shuffle after
+    # the join (e.g. join on case_id followed by an aggregate on case_id).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Runtime-checked broadcast bound: AQE only turns a join into a broadcast
     # join when the *measured* shuffle output of a side is below this size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
@@ -37,6 +40,14 @@ SCALE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Static settings: only take effect when the session is built.
+STATIC_CONF = {
+    # PySpark 4 records the Python call site of every Column function for
+    # error messages (several JVM round trips + a stack walk per call).  Plan
+    # construction of a model chain makes thousands of such calls.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (idempotent)."""
@@ -66,7 +77,7 @@ def get_session(
             .config("spark.driver.memory", os.environ.get("CASEKIT_DRIVER_MEMORY", "16g"))
         )
     builder = builder.config("spark.ui.enabled", "false")
-    for key, value in {**SEMANTIC_CONF, **SCALE_CONF}.items():
+    for key, value in {**STATIC_CONF, **SEMANTIC_CONF, **SCALE_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

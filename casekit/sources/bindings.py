@@ -9,8 +9,9 @@ run inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values used by the bindings.
 CHANNELS = ["phone", "email", "chat", "portal"]           # by c_custkey % 4
@@ -24,162 +25,176 @@ META_COMPLEXITY = "high"
 AS_OF = "1998-06-15 12:30:00"
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared schemas of the test tables read here: no footer inference pass
+# (at scale, inference would open files on the driver before planning).
+TABLE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table by name, with its declared schema when known."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
-def _minus_days(base: str, days: Column) -> Column:
-    return F.date_sub(F.lit(base).cast("date"), days.cast("int"))
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    channel = (
-        F.when(k % 4 == 0, CHANNELS[0])
-        .when(k % 4 == 1, CHANNELS[1])
-        .when(k % 4 == 2, CHANNELS[2])
-        .otherwise(CHANNELS[3])
-    )
-    return c.select(
-        k.alias("id"),
-        F.col("c_mktsegment").alias("insurance_type"),
-        channel.alias("preferred_channel"),
-        F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state"),
-        (F.col("c_acctbal") / F.lit(10000.0)).alias("risk_score"),
-        _minus_days(PATIENT_EPOCH, k % 700).cast("timestamp_ntz").alias("created_at"),
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "c_mktsegment AS insurance_type",
+        f"CASE c_custkey % 4 WHEN 0 THEN '{CHANNELS[0]}' WHEN 1 THEN '{CHANNELS[1]}' "
+        f"WHEN 2 THEN '{CHANNELS[2]}' ELSE '{CHANNELS[3]}' END AS preferred_channel",
+        "concat('S', CAST(c_nationkey AS STRING)) AS state",
+        "c_acctbal / 10000D AS risk_score",
+        f"CAST(date_sub(DATE '{PATIENT_EPOCH}', CAST(c_custkey % 700 AS INT)) AS TIMESTAMP_NTZ) AS created_at",
     )
 
 
 def advocates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    return c.select(
-        k.alias("id"),
-        F.concat(F.lit(" "), F.col("c_name")).alias("name"),
-        F.col("c_mktsegment").alias("specialty"),
-        F.concat(F.lit("team_"), (F.col("c_nationkey") % 4).cast("string")).alias("team"),
-        F.floor(F.abs(F.col("c_acctbal")) / F.lit(1000.0)).cast("int").alias("capacity"),
-        _minus_days(PATIENT_EPOCH, k % 1000).alias("hire_date"),
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "concat(' ', c_name) AS name",
+        "c_mktsegment AS specialty",
+        "concat('team_', CAST(c_nationkey % 4 AS STRING)) AS team",
+        "CAST(floor(abs(c_acctbal) / 1000D) AS INT) AS capacity",
+        f"date_sub(DATE '{PATIENT_EPOCH}', CAST(c_custkey % 1000 AS INT)) AS hire_date",
     )
 
 
-def _metadata_json(k: Column) -> Column:
-    doc = F.struct(
-        (k % 5).alias("handoff_count"),
-        ((k % 3) == 0).alias("missing_docs"),
-        F.when((k % 7) != 0, F.lit(META_COMPLEXITY)).alias("complexity"),
-        F.lit(META_INTAKE_SOURCE).alias("intake_source"),
-        F.array(*[F.lit(x) for x in META_BARRIERS]).alias("barriers"),
-        F.array(*[F.lit(x) for x in META_SUPPORT_FLAGS]).alias("support_flags"),
-        F.array().cast("array<string>").alias("submitted_documents"),
+def _metadata_json_sql(k: str) -> str:
+    """The metadata document as compact JSON text (key order as listed in FIXTURES).
+
+    Built by concatenation, which gives the same text as ``to_json`` of the
+    struct at a fraction of the per-row cost; the complexity key is left out
+    when k % 7 = 0 and the whole document is NULL when k % 11 = 0.
+    """
+    barriers = ",".join(f'"{b}"' for b in META_BARRIERS)
+    flags = ",".join(f'"{b}"' for b in META_SUPPORT_FLAGS)
+    return (
+        f"CASE WHEN {k} % 11 <> 0 THEN concat("
+        f"'{{\"handoff_count\":', CAST({k} % 5 AS STRING), "
+        f"',\"missing_docs\":', CASE WHEN {k} % 3 = 0 THEN 'true' ELSE 'false' END, "
+        f"CASE WHEN {k} % 7 <> 0 THEN ',\"complexity\":\"{META_COMPLEXITY}\"' ELSE '' END, "
+        f"',\"intake_source\":\"{META_INTAKE_SOURCE}\"', "
+        f"',\"barriers\":[{barriers}]', "
+        f"',\"support_flags\":[{flags}]', "
+        f"',\"submitted_documents\":[]}}') END"
     )
-    # to_json drops NULL fields, so complexity is left out when k % 7 = 0.
-    return F.when((k % 11) != 0, F.to_json(doc))
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    st = F.col("o_orderstatus")
+    k = "o_orderkey"
     status = (
-        F.when(st == "F", F.when(k % 12 == 0, "reopened").otherwise("resolved"))
-        .when(st == "P", F.when(k % 2 == 0, "pending_docs").otherwise("in_progress"))
-        .when(st == "O", F.when(k % 5 == 0, "escalated").otherwise("open"))
-    )
-    urgency = F.when(k % 3 == 0, "high").when(k % 3 == 1, "medium").otherwise("low")
-    created = (
-        F.col("o_orderdate")
-        + F.make_dt_interval(F.lit(0), (k % 24).cast("int"), (k % 60).cast("int"))
+        f"CASE o_orderstatus "
+        f"WHEN 'F' THEN CASE WHEN {k} % 12 = 0 THEN 'reopened' ELSE 'resolved' END "
+        f"WHEN 'P' THEN CASE WHEN {k} % 2 = 0 THEN 'pending_docs' ELSE 'in_progress' END "
+        f"WHEN 'O' THEN CASE WHEN {k} % 5 = 0 THEN 'escalated' ELSE 'open' END END"
     )
-    assigned = created + F.make_dt_interval(F.lit(0), (k % 4 + 1).cast("int"))
-    first_response = F.when(
-        st == "F",
-        created + F.make_dt_interval(F.lit(0), (k % 48 + 1).cast("int"), F.lit(0), F.lit(0.25).cast("decimal(18,6)")),
-    )
-    resolved = F.when(
-        st == "F",
-        F.col("o_orderdate") + F.make_dt_interval(((k * 7) % 20 + 1).cast("int")),
-    )
-    return o.select(
-        k.alias("id"),
-        F.col("o_custkey").alias("patient_id"),
-        F.col("o_custkey").alias("advocate_id"),
-        F.col("o_orderpriority").alias("case_type"),
-        urgency.alias("urgency"),
-        status.alias("status"),
-        created.alias("created_at"),
-        assigned.alias("assigned_at"),
-        first_response.alias("first_response_at"),
-        resolved.alias("resolved_at"),
-        F.when(k % 4 == 0, 1).otherwise(0).alias("escalation_flag"),
-        F.when(status == "reopened", 1).otherwise(0).alias("reopen_flag"),
-        _metadata_json(k).alias("metadata_json"),
+    created = (f"o_orderdate + make_dt_interval(0, CAST({k} % 24 AS INT), "
+               f"CAST({k} % 60 AS INT), 0)")
+    o = read_table(spark, sf_dir, "orders").selectExpr(
+        "*", f"{status} AS _status", f"{created} AS _created")
+    return o.selectExpr(
+        f"{k} AS id",
+        "o_custkey AS patient_id",
+        "o_custkey AS advocate_id",
+        "o_orderpriority AS case_type",
+        f"CASE {k} % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS urgency",
+        "_status AS status",
+        "_created AS created_at",
+        f"_created + make_dt_interval(0, CAST({k} % 4 + 1 AS INT)) AS assigned_at",
+        f"CASE WHEN o_orderstatus = 'F' THEN _created + make_dt_interval(0, CAST({k} % 48 + 1 AS INT), 0, 0.25) END AS first_response_at",
+        f"CASE WHEN o_orderstatus = 'F' THEN o_orderdate + make_dt_interval(CAST(({k} * 7) % 20 + 1 AS INT)) END AS resolved_at",
+        f"CASE WHEN {k} % 4 = 0 THEN 1 ELSE 0 END AS escalation_flag",
+        "CASE WHEN _status = 'reopened' THEN 1 ELSE 0 END AS reopen_flag",
+        f"{_metadata_json_sql(k)} AS metadata_json",
     )
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem")
-    rf = F.col("l_returnflag")
-    return li.select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
-        F.col("l_orderkey").alias("case_id"),
-        F.when(rf == "R", "call").when(rf == "A", "email").otherwise("doc_request").alias("type"),
-        F.col("l_shipdate").alias("created_at"),
-        F.col("l_quantity").alias("duration_minutes"),
-        F.col("l_suppkey").alias("advocate_id"),
+    return read_table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 100 + l_linenumber AS id",
+        "l_orderkey AS case_id",
+        "CASE l_returnflag WHEN 'R' THEN 'call' WHEN 'A' THEN 'email' ELSE 'doc_request' END AS type",
+        "l_shipdate AS created_at",
+        "l_quantity AS duration_minutes",
+        "l_suppkey AS advocate_id",
     )
 
 
 def case_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events")
-    et = F.col("event_type")
-    mapped = (
-        F.when(et == "signup", "opened")
-        .when(et == "view", "assigned")
-        .when(et == "click", "first_response")
-        .when(et == "error", "escalated")
-        .otherwise("resolved")
-    )
-    return ev.select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").alias("case_id"),
-        mapped.alias("event_type"),
-        F.col("ts").alias("occurred_at"),
+    return read_table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id",
+        "user_id AS case_id",
+        "CASE event_type WHEN 'signup' THEN 'opened' WHEN 'view' THEN 'assigned' "
+        "WHEN 'click' THEN 'first_response' WHEN 'error' THEN 'escalated' ELSE 'resolved' END "
+        "AS event_type",
+        "ts AS occurred_at",
     )
 
 
 def patient_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lb = _read(spark, sf_dir, "labels")
-    d = F.col("doc_id")
-    raw_score = (
-        F.lit(1.0) + F.lit(2.0) * F.col("quality") + (d % 5) * F.lit(0.5) - F.col("toxic")
+    lb = read_table(spark, sf_dir, "labels").selectExpr(
+        "doc_id",
+        "least(5D, greatest(1D, 1D + 2D * quality + (doc_id % 5) * 0.5D - toxic)) AS csat",
     )
-    csat = F.least(F.lit(5.0), F.greatest(F.lit(1.0), raw_score))
-    nps = F.when(csat >= 4.5, "promoter").when(csat >= 3.5, "passive").otherwise("detractor")
-    return lb.select(
-        d.alias("id"),
-        d.alias("case_id"),
-        csat.alias("csat_score"),
-        nps.alias("nps_bucket"),
-        F.when(d % 2 == 0, F.lit("")).otherwise(F.lit(" ok ")).alias("feedback_text"),
-        F.date_add(F.lit(FEEDBACK_EPOCH).cast("date"), (d % 90).cast("int"))
-        .cast("timestamp_ntz")
-        .alias("submitted_at"),
+    return lb.selectExpr(
+        "doc_id AS id",
+        "doc_id AS case_id",
+        "csat AS csat_score",
+        "CASE WHEN csat >= 4.5D THEN 'promoter' WHEN csat >= 3.5D THEN 'passive' "
+        "ELSE 'detractor' END AS nps_bucket",
+        "CASE WHEN doc_id % 2 = 0 THEN '' ELSE ' ok ' END AS feedback_text",
+        f"CAST(date_add(DATE '{FEEDBACK_EPOCH}', CAST(doc_id % 90 AS INT)) AS TIMESTAMP_NTZ) "
+        "AS submitted_at",
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All six raw inputs, keyed like the reference's raw namespace."""
-    return {
-        "patients": patients(spark, sf_dir),
-        "advocates": advocates(spark, sf_dir),
-        "cases": cases(spark, sf_dir),
-        "interactions": interactions(spark, sf_dir),
-        "case_events": case_events(spark, sf_dir),
-        "patient_feedback": patient_feedback(spark, sf_dir),
-    }
+BINDINGS = {
+    "patients": patients,
+    "advocates": advocates,
+    "cases": cases,
+    "interactions": interactions,
+    "case_events": case_events,
+    "patient_feedback": patient_feedback,
+}
+
+
+class RawTables(Mapping):
+    """The six raw inputs, keyed like the reference's raw namespace; each
+    binding is built on first access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BINDINGS[name](self._spark, self._sf_dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(BINDINGS)
+
+    def __len__(self) -> int:
+        return len(BINDINGS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """All six raw inputs (lazy mapping)."""
+    return RawTables(spark, sf_dir)
 
 
-def as_of_literal() -> Column:
-    return F.lit(AS_OF).cast("timestamp_ntz")
+def as_of_sql() -> str:
+    return f"TIMESTAMP_NTZ '{AS_OF}'"

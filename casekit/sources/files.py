@@ -73,7 +73,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_raw_tables(raw: dict[str, DataFrame], folder: str) -> None:
     """S6 + S13: replace every raw CSV of the registry under ``folder``."""
     for table, filename in RAW_FILES.items():
-        if table in raw:
+        if table in raw.keys():
             write_csv(raw[table], f"{folder}/{filename}")
 
 

@@ -30,7 +30,7 @@ def test_kpi_totals_sum_to_fact_rows(m):
 def test_caseload_active_matches_fact(m):
     fact = m["fct_case_lifecycle"]
     adv_ids = m["stg_advocates"].select(F.col("id").alias("advocate_id"))
-    expected = fact.filter(marts.is_active()).join(adv_ids, "advocate_id", "left_semi").count()
+    expected = fact.filter(marts.IS_ACTIVE).join(adv_ids, "advocate_id", "left_semi").count()
     got = m["mart_advocate_caseload"].agg(F.sum("active_cases")).first()[0]
     assert got == expected
 
