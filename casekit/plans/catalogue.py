@@ -19,6 +19,7 @@ from casekit.operators.timings import first_response_min, interaction_stats
 from casekit.plans import oracle
 from casekit.plans.pipeline import build_all, persist_layers, scratch_path
 from casekit.sources import bindings, files
+from casekit.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -499,6 +500,8 @@ def _q_pipeline_all(spark, sf_dir):
 
 def source_queries() -> dict[str, Query]:
     return {
+        "stream_first_response": incremental.stream_first_response,
+        "stream_interaction_stats": incremental.stream_interaction_stats,
         "csv_round_trip": _q_csv_round_trip,
         "table_round_trip": _q_table_round_trip,
         "mart_ready": _q_mart_ready,
@@ -522,6 +525,8 @@ def source_oracle() -> dict[str, str]:
         for model, cte in _MODEL_CTES.items()
     )
     return {
+        "stream_first_response": q("SELECT * FROM first_response_min"),
+        "stream_interaction_stats": q("SELECT * FROM interaction_stats"),
         "csv_round_trip": q(f"SELECT {_FACT_COLS} FROM case_lifecycle"),
         "table_round_trip": q("SELECT * FROM ops_kpis"),
         "pipeline_all": q(counts),

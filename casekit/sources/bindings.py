@@ -41,6 +41,15 @@ TABLE_SCHEMAS = {
 }
 
 
+def read_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None):
+    """A test table as a streaming file source (new files are picked up as they land)."""
+    reader = spark.readStream.schema(TABLE_SCHEMAS[name]).option("basePath", sf_dir)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    # A one-character class turns the file name into a glob under basePath.
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table by name, with its declared schema when known."""
     reader = spark.read
@@ -124,7 +133,12 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").selectExpr(
+    return interactions_from(read_table(spark, sf_dir, "lineitem"))
+
+
+def interactions_from(lineitem: DataFrame) -> DataFrame:
+    """The interactions binding over a lineitem DataFrame (batch or streaming)."""
+    return lineitem.selectExpr(
         "l_orderkey * 100 + l_linenumber AS id",
         "l_orderkey AS case_id",
         "CASE l_returnflag WHEN 'R' THEN 'call' WHEN 'A' THEN 'email' ELSE 'doc_request' END AS type",
@@ -135,7 +149,12 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def case_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events").selectExpr(
+    return case_events_from(read_table(spark, sf_dir, "events"))
+
+
+def case_events_from(events: DataFrame) -> DataFrame:
+    """The case_events binding over an events DataFrame (batch or streaming)."""
+    return events.selectExpr(
         "event_id AS id",
         "user_id AS case_id",
         "CASE event_type WHEN 'signup' THEN 'opened' WHEN 'view' THEN 'assigned' "

@@ -1 +1 @@
-
+"""Incremental (streaming) versions of the case-touch aggregates."""
