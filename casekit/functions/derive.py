@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from casekit.functions.json import METADATA_TEXT_DDL, metadata_columns_sql
+from casekit.functions.json import json_fields_sql, metadata_columns_sql
 
 # Base resolution days per case type and the per-handoff increment.
 BASE_RESOLUTION_DAYS = {
@@ -127,9 +127,13 @@ def metadata_document(*args: str) -> Column:
     return F.expr(metadata_document_sql(*args))
 
 
-def parse_document_sql(doc: str) -> dict[str, str]:
-    """The document parsed back with staging's defaults (text per column)."""
-    return metadata_columns_sql(f"from_json({doc}, '{METADATA_TEXT_DDL}')")
+def parse_document(df, doc: str, keep: list[str]):
+    """The document in column ``doc`` parsed back with staging's defaults.
+
+    Returns ``df`` reduced to ``keep`` + the seven typed metadata columns.
+    """
+    parsed = df.selectExpr(*keep, json_fields_sql(doc, "_d_"))
+    return parsed.selectExpr(*keep, *[f"{sql} AS {name}" for name, sql in metadata_columns_sql("_d_").items()])
 
 
 def array_text(arr_sql: str) -> Column:

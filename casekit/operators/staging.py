@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from casekit.functions.exprs import blank_to_null_ts_sql, int_flag_sql
-from casekit.functions.json import metadata_columns_sql, parse_metadata_sql
+from casekit.functions.json import json_fields_sql, metadata_columns_sql
 
 
 def _dtype(df: DataFrame, name: str) -> str:
@@ -40,8 +40,8 @@ def stg_advocates(raw: DataFrame) -> DataFrame:
 
 def stg_cases(raw: DataFrame) -> DataFrame:
     """Typed cases plus the seven metadata fields, parsed once per row."""
-    meta = metadata_columns_sql("_meta")
-    parsed = raw.selectExpr("*", f"{parse_metadata_sql('metadata_json')} AS _meta")
+    meta = metadata_columns_sql("_m_")
+    parsed = raw.selectExpr("*", json_fields_sql("metadata_json", "_m_"))
     return parsed.selectExpr(
         "id",
         "patient_id",

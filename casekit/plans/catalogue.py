@@ -243,14 +243,14 @@ def _q_json_build_parse(spark, sf_dir):
         "missing_docs",
     )
     with_doc = _stg_cases(spark, sf_dir).selectExpr("id AS case_id", f"{doc} AS metadata_doc")
-    parsed = derive.parse_document_sql("metadata_doc")
-    return with_doc.selectExpr(
+    parsed = derive.parse_document(with_doc, "metadata_doc", ["case_id", "metadata_doc"])
+    return parsed.selectExpr(
         "case_id", "metadata_doc",
-        f"{parsed['handoff_count']} AS rt_handoff_count",
-        f"{parsed['complexity']} AS rt_complexity",
-        f"{parsed['missing_docs']} AS rt_missing_docs",
-        f"{parsed['intake_source']} AS rt_intake_source",
-        f"{parsed['barriers_json']} AS rt_barriers_json",
+        "handoff_count AS rt_handoff_count",
+        "complexity AS rt_complexity",
+        "missing_docs AS rt_missing_docs",
+        "intake_source AS rt_intake_source",
+        "barriers_json AS rt_barriers_json",
     )
 
 

@@ -81,15 +81,3 @@ RAW = {
     "case_events": CASE_EVENTS,
     "patient_feedback": PATIENT_FEEDBACK,
 }
-
-# The JSON document inside cases.metadata_json.  Every field is read as
-# STRING first (numbers, "3", 3.0 and "true" must all survive), then cast.
-METADATA_TEXT = T.StructType([
-    T.StructField("intake_source", T.StringType()),
-    T.StructField("barriers", T.StringType()),
-    T.StructField("handoff_count", T.StringType()),
-    T.StructField("complexity", T.StringType()),
-    T.StructField("submitted_documents", T.StringType()),
-    T.StructField("support_flags", T.StringType()),
-    T.StructField("missing_docs", T.StringType()),
-])
