@@ -139,6 +139,30 @@ def bottlenecks(fact: DataFrame) -> DataFrame:
     )
 
 
+_BRANCHES = {
+    # analysis -> (row filter, grouping expression, segment label of the group key)
+    MISSING_DOCS: ("resolved_at IS NOT NULL", "missing_docs",
+                   "CASE WHEN missing_docs THEN 'missing_docs' ELSE 'docs_complete' END"),
+    HANDOFFS: ("csat_score IS NOT NULL", f"{HANDOFF_BUCKET} AS segment", "segment"),
+    CASE_TYPE: ("true", "case_type", "case_type"),
+}
+
+
 def bottleneck_branch(fact: DataFrame, analysis_type: str) -> DataFrame:
-    """One analysis of M11 on its own (M11a/b/c)."""
-    return bottlenecks(fact).filter(F.col("analysis_type") == analysis_type)
+    """One analysis of M11 on its own (M11a/b/c): filter, group, aggregate once."""
+    where, key, segment = _BRANCHES[analysis_type]
+    is_case_type = analysis_type == CASE_TYPE
+    agg = fact.filter(where).groupBy(F.expr(key)).agg(*_agg(
+        "count(1) AS case_count",
+        "avg(days_to_resolution) AS _days",
+        "avg(csat_score) AS _csat",
+        f"{pct_sql(count_where_sql('sla_breach_flag'), 'count(1)')} AS _sla",
+    ))
+    return agg.selectExpr(
+        f"'{analysis_type}' AS analysis_type",
+        f"{segment} AS segment",
+        "case_count",
+        f"{round2_sql('_days')} AS avg_days_to_resolution",
+        ("CAST(NULL AS DOUBLE)" if is_case_type else round2_sql("_csat")) + " AS avg_csat",
+        (round2_sql("_sla") if is_case_type else "CAST(NULL AS DOUBLE)") + " AS sla_breach_pct",
+    )

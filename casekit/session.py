@@ -49,9 +49,26 @@ STATIC_CONF = {
 }
 
 
+# Adaptive execution switches every query relies on; thresholds and sizes
+# stay whatever the session was built with.
+ADAPTIVE_CONF = {
+    k: SCALE_CONF[k]
+    for k in (
+        "spark.sql.adaptive.enabled",
+        "spark.sql.adaptive.skewJoin.enabled",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    )
+}
+
+
 def apply_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session (idempotent)."""
-    for key, value in {**SEMANTIC_CONF, **SCALE_CONF}.items():
+    """Apply the settings results depend on to an existing session (idempotent).
+
+    Semantic settings are always applied; of the scale settings only the
+    adaptive-execution switches are, so a session's own broadcast thresholds
+    and partition sizes are left alone.
+    """
+    for key, value in {**SEMANTIC_CONF, **ADAPTIVE_CONF}.items():
         spark.conf.set(key, value)
     return spark
 

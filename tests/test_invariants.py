@@ -55,3 +55,12 @@ def test_branch_coverage_matches_fixture_notes(m):
     assert unres.filter("stale_case_flag AND last_interaction_at IS NOT NULL").count() == 1226
     assert unres.filter("stale_case_flag AND last_interaction_at IS NULL").count() == 96
     assert fact.filter("interaction_count = 0").count() == 257
+
+
+def test_single_pass_bottlenecks_equal_the_three_branches(m):
+    fact = m["fct_case_lifecycle"]
+    one_pass = sorted(tuple(r) for r in marts.bottlenecks(fact).collect())
+    branches = []
+    for a in (marts.MISSING_DOCS, marts.HANDOFFS, marts.CASE_TYPE):
+        branches += [tuple(r) for r in marts.bottleneck_branch(fact, a).collect()]
+    assert one_pass == sorted(branches)
