@@ -472,8 +472,7 @@ def _q_csv_round_trip(spark, sf_dir):
 
 
 def _persisted(spark, sf_dir):
-    m = models(spark, sf_dir, materialize_fact=True)
-    return persist_layers(spark, m, prefix="casekit")
+    return persist_layers(spark, models(spark, sf_dir), prefix="casekit")
 
 
 def _q_table_round_trip(spark, sf_dir):

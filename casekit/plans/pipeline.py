@@ -66,6 +66,14 @@ class Models(Mapping):
     def __iter__(self):
         return iter(self.NAMES)
 
+    def use(self, name: str, df: DataFrame) -> None:
+        """Serve ``name`` from ``df`` (e.g. its stored table) from now on.
+
+        Models built later read the stored copy instead of recomputing it;
+        models already built keep the plan they were built with.
+        """
+        self._built[name] = df
+
     def __len__(self) -> int:
         return len(self.NAMES)
 
@@ -111,7 +119,9 @@ def persist_layers(
     """Full refresh of every model as a catalog table, one database per layer.
 
     Databases are created if missing, under ``location`` (default: the shared
-    checkpoint folder) so no machine-local warehouse is used.  Returns model
+    checkpoint folder) so no machine-local warehouse is used.  Layers are
+    written in order and each written table replaces its model for the
+    layers after it, like the reference's staged tables.  Returns model
     name -> qualified table name.
     """
     base = location or scratch_path(spark, "warehouse")
@@ -124,4 +134,8 @@ def persist_layers(
                 table = f"{db}.{name}"
                 models[name].write.mode("overwrite").format("parquet").saveAsTable(table)
                 written[name] = table
+                if isinstance(models, Models):
+                    # Later layers read this stored table: each model is
+                    # computed once and lineage is cut at every layer.
+                    models.use(name, spark.table(table))
     return written

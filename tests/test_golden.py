@@ -181,3 +181,16 @@ def test_table_helpers(spark, models):
                                  T.StructType([T.StructField("case_type", T.StringType())]))
     assert empty.count() == 0 and empty.columns == ["case_type"]
     assert spark.table(tables["mart_ops_kpis"]).count() == 3
+
+
+def test_persisted_layers_read_the_previous_layer(spark):
+    """A full refresh stores every model; marts are computed from the stored fact."""
+    from casekit.plans.pipeline import persist_layers
+
+    m = build_all(spark, fx.raw_frames(spark), as_of=fx.AS_OF)
+    tables = persist_layers(spark, m, prefix="layered")
+    assert len(tables) == 11
+    plan = m["mart_ops_kpis"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "fct_case_lifecycle" in plan or "layered_marts" in plan
+    got = {r.case_type: r.total_cases for r in spark.table(tables["mart_ops_kpis"]).collect()}
+    assert got == {"billing_dispute": 1, "claim_denial": 2, "prior_authorization": 2}
