@@ -59,3 +59,26 @@ def test_no_python_udf_in_plans(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "PythonUDF" not in plan
+
+
+def test_bucketed_staging_makes_the_fact_shuffle_free(spark, no_broadcast):
+    """Stored, bucketed staging tables co-locate every case_id join."""
+    from casekit.plans.catalogue import models as build_models
+    from casekit.plans.pipeline import build_all, persist_layers
+
+    m = build_models(spark, SF)
+    staged = {k: m[k] for k in ["stg_cases", "stg_case_events", "stg_interactions", "stg_feedback"]}
+    tables = persist_layers(spark, staged, prefix="bucketed", buckets=8)
+    no_broadcast()
+    stored = {k: spark.table(t) for k, t in tables.items()}
+    from casekit.operators.lifecycle import case_lifecycle
+    from casekit.operators.timings import case_timings
+
+    fact = case_lifecycle(case_timings(stored["stg_cases"], stored["stg_case_events"],
+                                       stored["stg_interactions"]), stored["stg_feedback"],
+                          "1998-06-15 12:30:00")
+    plan = _plan(fact)
+    assert "Exchange" not in plan, plan
+    direct = m["fct_case_lifecycle"]
+    assert fact.count() == direct.count()
+    assert fact.exceptAll(direct).count() == 0 and direct.exceptAll(fact).count() == 0
