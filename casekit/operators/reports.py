@@ -60,9 +60,9 @@ def open_by_urgency(spark: SparkSession, fact: DataFrame) -> DataFrame:
     Counts are filtered to the three-value domain before the join, so the
     broadcast side has at most three rows whatever the data size.
     """
-    domain = spark.createDataFrame(
-        [(u, i) for i, u in enumerate(URGENCY_ORDER)], "urgency string, position int"
-    )
+    rows = ", ".join(f"named_struct('urgency', '{u}', 'position', {i})"
+                     for i, u in enumerate(URGENCY_ORDER))
+    domain = spark.range(1).selectExpr(f"inline(array({rows}))")
     in_domain = ", ".join(f"'{u}'" for u in URGENCY_ORDER)
     counts = (
         fact.filter(f"{IS_OPEN} AND urgency IN ({in_domain})")
