@@ -194,3 +194,19 @@ def test_persisted_layers_read_the_previous_layer(spark):
     assert "fct_case_lifecycle" in plan or "layered_marts" in plan
     got = {r.case_type: r.total_cases for r in spark.table(tables["mart_ops_kpis"]).collect()}
     assert got == {"billing_dispute": 1, "claim_denial": 2, "prior_authorization": 2}
+
+
+def test_thresholds_are_parameters(spark):
+    """SLA days and stale hours are parameters with the reference's defaults (7, 48)."""
+    m = build_all(spark, fx.raw_frames(spark), as_of=fx.AS_OF, sla_days=8, stale_hours=47)
+    got = {r.case_id: (r.sla_breach_flag, r.stale_case_flag) for r in m["fct_case_lifecycle"].collect()}
+    assert got[1] == (False, False)      # 8 days is no longer a breach
+    assert got[3] == (False, True)       # 8 calendar days open: not > 8
+    assert got[5] == (False, True)       # exactly 48 boundaries > 47
+
+
+def test_default_clock_is_now(spark):
+    """Without as_of the flags use the current time (all five cases are old by now)."""
+    m = build_all(spark, fx.raw_frames(spark))
+    got = {r.case_id: (r.sla_breach_flag, r.stale_case_flag) for r in m["fct_case_lifecycle"].collect()}
+    assert got[3] == (True, True) and got[4] == (True, True) and got[5] == (True, True)
