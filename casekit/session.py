@@ -121,8 +121,9 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session.  Only when it is unset (local tests) is a fresh
-    scratch folder registered with ``setCheckpointDir``.  Lineage is cut with
+    Read from the session.  Only when it is unset and the master is local
+    (tests) is a fresh scratch folder registered with ``setCheckpointDir``;
+    on a cluster an unset folder is an error, never a machine-local path.  Lineage is cut with
     ``checkpoint()`` or a table written there, never with ``localCheckpoint``.
     """
     sc = spark.sparkContext
@@ -134,6 +135,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError(
+            "set spark.checkpoint.dir to a folder shared by all executors "
+            "(materialised tables and streaming checkpoints are written there)"
+        )
     path = tempfile.mkdtemp(prefix="casekit-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
