@@ -84,6 +84,19 @@ def table_or_empty(spark: SparkSession, table: str, schema: T.StructType) -> Dat
     return spark.createDataFrame([], schema)
 
 
+def query_or_empty(spark: SparkSession, sql: str, schema: T.StructType) -> DataFrame:
+    """An ad-hoc SQL query, or an empty DataFrame with ``schema`` when a
+    table it reads does not exist (any other error is raised)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.sql(sql)
+    except AnalysisException as exc:
+        if exc.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def mart_ready(spark: SparkSession, table: str) -> bool:
     """S12 + O4: the mart exists and a one-row read succeeds."""
     if not spark.catalog.tableExists(table):

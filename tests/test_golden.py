@@ -180,6 +180,15 @@ def test_table_helpers(spark, models):
     empty = files.table_or_empty(spark, "golden_marts.no_such_mart",
                                  T.StructType([T.StructField("case_type", T.StringType())]))
     assert empty.count() == 0 and empty.columns == ["case_type"]
+    schema = T.StructType([T.StructField("case_type", T.StringType())])
+    q_missing = files.query_or_empty(spark, "SELECT case_type FROM golden_marts.nope", schema)
+    assert q_missing.count() == 0 and q_missing.columns == ["case_type"]
+    q_ok = files.query_or_empty(spark, f"SELECT case_type FROM {tables['mart_ops_kpis']}", schema)
+    assert q_ok.count() == 3
+    import pytest as _pytest
+    from pyspark.errors import AnalysisException
+    with _pytest.raises(AnalysisException):
+        files.query_or_empty(spark, f"SELECT no_such_column FROM {tables['mart_ops_kpis']}", schema)
     assert spark.table(tables["mart_ops_kpis"]).count() == 3
 
 
