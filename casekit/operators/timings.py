@@ -27,12 +27,12 @@ TIMINGS_COLUMNS = [
 ]
 
 
-def first_response_min(stg_case_events: DataFrame) -> DataFrame:
+def first_response_min(stg_case_events: DataFrame, name: str = "first_response_at") -> DataFrame:
     """A1: earliest first_response event per case."""
     return (
         stg_case_events.filter(F.col("event_type") == FIRST_RESPONSE_EVENT)
         .groupBy("case_id")
-        .agg(F.expr("min(occurred_at) AS first_response_at"))
+        .agg(F.expr(f"min(occurred_at) AS {name}"))
     )
 
 
@@ -48,9 +48,7 @@ def interaction_stats(stg_interactions: DataFrame) -> DataFrame:
 def case_timings(
     stg_cases: DataFrame, stg_case_events: DataFrame, stg_interactions: DataFrame
 ) -> DataFrame:
-    fr = first_response_min(stg_case_events).withColumnRenamed(
-        "first_response_at", "first_response_at_event"
-    )
+    fr = first_response_min(stg_case_events, "first_response_at_event")
     stats = interaction_stats(stg_interactions)
     c = stg_cases.selectExpr(
         "id AS case_id", "patient_id", "advocate_id", "case_type", "urgency", "status",

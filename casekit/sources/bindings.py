@@ -111,23 +111,21 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"WHEN 'P' THEN CASE WHEN {k} % 2 = 0 THEN 'pending_docs' ELSE 'in_progress' END "
         f"WHEN 'O' THEN CASE WHEN {k} % 5 = 0 THEN 'escalated' ELSE 'open' END END"
     )
-    created = (f"o_orderdate + make_dt_interval(0, CAST({k} % 24 AS INT), "
-               f"CAST({k} % 60 AS INT), 0)")
-    o = read_table(spark, sf_dir, "orders").selectExpr(
-        "*", f"{status} AS _status", f"{created} AS _created")
-    return o.selectExpr(
+    created = (f"(o_orderdate + make_dt_interval(0, CAST({k} % 24 AS INT), "
+               f"CAST({k} % 60 AS INT), 0))")
+    return read_table(spark, sf_dir, "orders").selectExpr(
         f"{k} AS id",
         "o_custkey AS patient_id",
         "o_custkey AS advocate_id",
         "o_orderpriority AS case_type",
         f"CASE {k} % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS urgency",
-        "_status AS status",
-        "_created AS created_at",
-        f"_created + make_dt_interval(0, CAST({k} % 4 + 1 AS INT)) AS assigned_at",
-        f"CASE WHEN o_orderstatus = 'F' THEN _created + make_dt_interval(0, CAST({k} % 48 + 1 AS INT), 0, 0.25) END AS first_response_at",
+        f"{status} AS status",
+        f"{created} AS created_at",
+        f"{created} + make_dt_interval(0, CAST({k} % 4 + 1 AS INT)) AS assigned_at",
+        f"CASE WHEN o_orderstatus = 'F' THEN {created} + make_dt_interval(0, CAST({k} % 48 + 1 AS INT), 0, 0.25) END AS first_response_at",
         f"CASE WHEN o_orderstatus = 'F' THEN o_orderdate + make_dt_interval(CAST(({k} * 7) % 20 + 1 AS INT)) END AS resolved_at",
         f"CASE WHEN {k} % 4 = 0 THEN 1 ELSE 0 END AS escalation_flag",
-        "CASE WHEN _status = 'reopened' THEN 1 ELSE 0 END AS reopen_flag",
+        f"CASE WHEN {status} = 'reopened' THEN 1 ELSE 0 END AS reopen_flag",
         f"{_metadata_json_sql(k)} AS metadata_json",
     )
 
@@ -165,15 +163,12 @@ def case_events_from(events: DataFrame) -> DataFrame:
 
 
 def patient_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lb = read_table(spark, sf_dir, "labels").selectExpr(
-        "doc_id",
-        "least(5D, greatest(1D, 1D + 2D * quality + (doc_id % 5) * 0.5D - toxic)) AS csat",
-    )
-    return lb.selectExpr(
+    csat = "least(5D, greatest(1D, 1D + 2D * quality + (doc_id % 5) * 0.5D - toxic))"
+    return read_table(spark, sf_dir, "labels").selectExpr(
         "doc_id AS id",
         "doc_id AS case_id",
-        "csat AS csat_score",
-        "CASE WHEN csat >= 4.5D THEN 'promoter' WHEN csat >= 3.5D THEN 'passive' "
+        f"{csat} AS csat_score",
+        f"CASE WHEN {csat} >= 4.5D THEN 'promoter' WHEN {csat} >= 3.5D THEN 'passive' "
         "ELSE 'detractor' END AS nps_bucket",
         "CASE WHEN doc_id % 2 = 0 THEN '' ELSE ' ok ' END AS feedback_text",
         f"CAST(date_add(DATE '{FEEDBACK_EPOCH}', CAST(doc_id % 90 AS INT)) AS TIMESTAMP_NTZ) "
