@@ -17,8 +17,11 @@ response, A2 interaction stats) are maintained incrementally:
   never has to fit in a state store, and ``compact`` folds many batches into
   one snapshot.
 
-Averages are kept as (sum, count) and divided on read; with several batches
-their last bits can differ from a single-pass average.
+Late data needs no watermark: the aggregates are over a case's whole
+history (no window ever closes), and min / max / sum / count are
+associative, so an event arriving in any later batch folds into the same
+result.  Averages are kept as (sum, count) and divided on read; with several
+batches their last bits can differ from a single-pass average.
 """
 
 from __future__ import annotations
