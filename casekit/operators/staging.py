@@ -7,6 +7,7 @@ whole-stage-codegen span and prunes the scan to the columns a consumer uses.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from casekit.functions.exprs import blank_to_null_ts_sql, int_flag_sql
 from casekit.functions.json import json_fields_sql, metadata_columns_sql
@@ -60,6 +61,19 @@ def stg_cases(raw: DataFrame) -> DataFrame:
     )
 
 
+def metadata_rejects(raw_cases: DataFrame) -> DataFrame:
+    """Documents present but not a JSON object (they take the defaults).
+
+    The reference fails the whole load on such a cell; here the row keeps
+    its defaults and this count reports how many there were.
+    """
+    return raw_cases.agg(
+        F.expr("count(metadata_json) AS documents"),
+        F.expr("count_if(metadata_json IS NOT NULL AND json_object_keys(metadata_json) IS NULL)"
+               " AS rejected"),
+    )
+
+
 def stg_interactions(raw: DataFrame) -> DataFrame:
     return raw.selectExpr(
         "id",

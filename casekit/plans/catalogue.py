@@ -15,6 +15,8 @@ from casekit.functions import derive
 from casekit.functions.exprs import text_to_int_sql
 from casekit.functions.json import json_field_text_sql, text_array_sql
 from casekit.operators import eventlog, marts, reports
+from casekit.operators.lifecycle import feedback_duplicates
+from casekit.operators.staging import metadata_rejects
 from casekit.operators.timings import first_response_min, interaction_stats
 from casekit.plans import oracle
 from casekit.plans.pipeline import build_all, persist_layers, scratch_path
@@ -324,8 +326,18 @@ def _q_event_log_ids(spark, sf_dir):
     return eventlog.event_log(_stg_cases(spark, sf_dir))
 
 
+def _q_feedback_duplicates(spark, sf_dir):
+    return feedback_duplicates(models(spark, sf_dir)["stg_feedback"])
+
+
+def _q_metadata_rejects(spark, sf_dir):
+    return metadata_rejects(bindings.cases(spark, sf_dir))
+
+
 def derived_queries() -> dict[str, Query]:
     return {
+        "feedback_duplicates": _q_feedback_duplicates,
+        "metadata_rejects": _q_metadata_rejects,
         "json_fields": _q_json_fields,
         "json_arrays_as_text": _q_json_arrays_as_text,
         "json_build_parse": _q_json_build_parse,
@@ -374,6 +386,15 @@ def derived_oracle() -> dict[str, str]:
     )
     csat = f"CASE WHEN ({raw_csat}) IS NOT NULL THEN greatest(1E0, least(5E0, {raw_csat})) END"
     return {
+        "feedback_duplicates": q(
+            "SELECT case_id, COUNT(*) AS feedback_rows FROM stg_feedback "
+            "GROUP BY case_id HAVING COUNT(*) > 1"
+        ),
+        "metadata_rejects": q(
+            "SELECT COUNT(metadata_json) AS documents, COUNT(*) FILTER (WHERE metadata_json IS NOT NULL "
+            "AND (NOT json_valid(metadata_json) OR json_type(metadata_json) <> 'OBJECT')) AS rejected "
+            "FROM raw_cases"
+        ),
         "json_fields": q(
             "SELECT event_id, json_extract_string(props, '$.k') AS k_text, "
             "COALESCE(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS k, "

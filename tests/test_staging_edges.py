@@ -57,3 +57,14 @@ def test_blank_csv_cells_are_null(spark, tmp_path):
     assert cases[3].first_response_at is None and cases[3].resolved_at is None
     assert cases[5].metadata_json is None
     assert cases[1].metadata_json.startswith('{"handoff_count": 3')
+
+
+def test_metadata_rejects_counts_non_objects(spark):
+    from casekit.operators.staging import metadata_rejects
+
+    raw = spark.createDataFrame([
+        _case(1, '{"a": 1}'), _case(2, "not json"), _case(3, ""), _case(4, "[1, 2]"),
+        _case(5, None), _case(6, '{"handoff_count": 2}'),
+    ], schemas.CASES)
+    r = metadata_rejects(raw).collect()[0]
+    assert (r.documents, r.rejected) == (5, 3)
