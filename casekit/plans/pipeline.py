@@ -153,3 +153,14 @@ def persist_layers(
                     # computed once and lineage is cut at every layer.
                     models.use(name, spark.table(table))
     return written
+
+
+def load_layers(spark: SparkSession, prefix: str = "casekit") -> dict[str, DataFrame]:
+    """The stored models of a previous full refresh, by model name."""
+    out: dict[str, DataFrame] = {}
+    for layer, names in LAYERS.items():
+        for name in names:
+            table = f"{prefix}_{layer}.{name}"
+            if spark.catalog.tableExists(table):
+                out[name] = spark.table(table)
+    return out

@@ -219,3 +219,18 @@ def test_default_clock_is_now(spark):
     m = build_all(spark, fx.raw_frames(spark))
     got = {r.case_id: (r.sla_breach_flag, r.stale_case_flag) for r in m["fct_case_lifecycle"].collect()}
     assert got[3] == (True, True) and got[4] == (True, True) and got[5] == (True, True)
+
+
+def test_command_line_run_and_report(spark, tmp_path, capsys):
+    """`python -m casekit run` stores the layers; `report` reads them back."""
+    from casekit.__main__ import main, report
+
+    fx.write_csv_files(str(tmp_path))
+    assert main(["run", "--raw", str(tmp_path), "--as-of", fx.AS_OF, "--prefix", "cli"], spark) == 0
+    out = capsys.readouterr().out
+    assert "mart_ops_kpis\tcli_marts.mart_ops_kpis" in out
+    h = report(spark, "exec_headline", "cli").collect()[0]
+    assert (h.active_cases, h.avg_days_to_resolution, h.stale_cases) == (3, 7.5, 2)
+    u = report(spark, "open_by_urgency", "cli").collect()
+    assert [(r.urgency, r.open_cases) for r in u] == [("high", 1), ("medium", 1), ("low", 1)]
+    assert main(["report", "kpi_table", "--prefix", "cli"], spark) == 0
