@@ -234,3 +234,16 @@ def test_command_line_run_and_report(spark, tmp_path, capsys):
     u = report(spark, "open_by_urgency", "cli").collect()
     assert [(r.urgency, r.open_cases) for r in u] == [("high", 1), ("medium", 1), ("low", 1)]
     assert main(["report", "kpi_table", "--prefix", "cli"], spark) == 0
+
+
+def test_command_line_reads_parquet_raw(spark, tmp_path):
+    from casekit.__main__ import main, report
+    from casekit.sources.files import RAW_FILES
+
+    for table, df in fx.raw_frames(spark).items():
+        df.write.parquet(str(tmp_path / f"{table}.parquet"))
+    assert set(RAW_FILES) == set(fx.raw_frames(spark))
+    assert main(["run", "--raw", str(tmp_path), "--format", "parquet", "--as-of", fx.AS_OF,
+                 "--prefix", "cliparquet", "--buckets", "4"], spark) == 0
+    kpis = {r.case_type: r.total_cases for r in report(spark, "kpi_table", "cliparquet").collect()}
+    assert kpis == {"billing_dispute": 1, "claim_denial": 2, "prior_authorization": 2}
