@@ -48,8 +48,24 @@ def interaction_stats(stg_interactions: DataFrame) -> DataFrame:
 def case_timings(
     stg_cases: DataFrame, stg_case_events: DataFrame, stg_interactions: DataFrame
 ) -> DataFrame:
-    fr = first_response_min(stg_case_events, "first_response_at_event")
-    stats = interaction_stats(stg_interactions)
+    return timings_from_aggregates(
+        stg_cases,
+        first_response_min(stg_case_events, "first_response_at_event"),
+        interaction_stats(stg_interactions),
+    )
+
+
+def timings_from_aggregates(stg_cases: DataFrame, first_response: DataFrame,
+                            stats: DataFrame) -> DataFrame:
+    """M7 from already-aggregated event tables (one row per case each).
+
+    ``first_response``: (case_id, first_response_at_event); ``stats``:
+    (case_id, interaction_count, last_interaction_at, avg_duration_minutes).
+    The batch model passes fresh aggregates; the streaming path passes the
+    merged incremental partials, so the fact can be refreshed without
+    rescanning the event history.
+    """
+    fr = first_response
     c = stg_cases.selectExpr(
         "id AS case_id", "patient_id", "advocate_id", "case_type", "urgency", "status",
         "created_at", "assigned_at", "first_response_at AS first_response_at_case",

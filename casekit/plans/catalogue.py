@@ -522,6 +522,7 @@ def source_queries() -> dict[str, Query]:
     return {
         "stream_first_response": incremental.stream_first_response,
         "stream_interaction_stats": incremental.stream_interaction_stats,
+        "stream_case_timings": incremental.stream_case_timings,
         "csv_round_trip": _q_csv_round_trip,
         "table_round_trip": _q_table_round_trip,
         "mart_ready": _q_mart_ready,
@@ -547,6 +548,7 @@ def source_oracle() -> dict[str, str]:
     return {
         "stream_first_response": q("SELECT * FROM first_response_min"),
         "stream_interaction_stats": q("SELECT * FROM interaction_stats"),
+        "stream_case_timings": q("SELECT * FROM case_timings"),
         "csv_round_trip": q(f"SELECT {_FACT_COLS} FROM case_lifecycle"),
         "table_round_trip": q("SELECT * FROM ops_kpis"),
         "pipeline_all": q(counts),

@@ -105,6 +105,18 @@ def compact(spark: SparkSession, table_path: str, reduce) -> str:
     return out
 
 
+def stream_case_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 over incrementally maintained aggregates: both event streams are run
+    to the end of their input, then the cases join the merged partials."""
+    from casekit.operators.staging import stg_cases as stage_cases
+    from casekit.operators.timings import timings_from_aggregates
+
+    fr = stream_first_response(spark, sf_dir).withColumnRenamed(
+        "first_response_at", "first_response_at_event")
+    stats = stream_interaction_stats(spark, sf_dir)
+    return timings_from_aggregates(stage_cases(bindings.cases(spark, sf_dir)), fr, stats)
+
+
 def stream_first_response(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the event stream to the end of its input and read the merged A1."""
     table = scratch_path(spark, "stream-first-response")

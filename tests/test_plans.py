@@ -54,7 +54,7 @@ def test_scans_are_pruned(spark):
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - {
     "csv_round_trip", "table_round_trip", "mart_ready", "pipeline_all",
-    "stream_first_response", "stream_interaction_stats"}))
+    "stream_first_response", "stream_interaction_stats", "stream_case_timings"}))
 def test_no_python_udf_in_plans(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
