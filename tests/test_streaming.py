@@ -64,3 +64,32 @@ def test_replayed_batch_is_idempotent(spark):
     incremental.run_partials(events(), incremental._partial_first_response, table, ck).awaitTermination()
     assert _rows(incremental.first_response_current(spark, table)) == first
     assert isinstance(first[0][1], dt.datetime)
+
+
+def test_new_files_are_processed_incrementally(spark):
+    """A file landing after the first run is the only input of the second run."""
+    from pyspark.sql import functions as F
+
+    events = bindings.read_table(spark, SF, "events")
+    src = scratch_path(spark, "landing")
+    first_half = events.filter("event_id % 2 = 0")
+    second_half = events.filter("event_id % 2 = 1")
+    first_half.coalesce(1).write.parquet(f"{src}/events.parquet")
+    table = scratch_path(spark, "t-incremental")
+    ck = f"{table}/_ck"
+
+    def run():
+        stream = stg_case_events(bindings.case_events_from(bindings.read_stream(spark, src, "events")))
+        incremental.run_partials(stream, incremental._partial_first_response, table, ck).awaitTermination()
+
+    run()
+    assert spark.read.parquet(table).select("batch_id").distinct().count() == 1
+    after_first = _rows(incremental.first_response_current(spark, table))
+    assert after_first == _rows(first_response_min(stg_case_events(bindings.case_events_from(first_half))))
+
+    second_half.coalesce(1).write.mode("append").parquet(f"{src}/events.parquet")
+    run()
+    batches = spark.read.parquet(table).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(batches) == 2
+    exp = first_response_min(stg_case_events(bindings.case_events(spark, SF)))
+    assert _rows(incremental.first_response_current(spark, table)) == _rows(exp)
