@@ -73,3 +73,13 @@ def test_text_to_int_is_lenient(spark):
     df = spark.createDataFrame([("3",), ("3.0",), ("3.7",), (" 4 ",), ("x",), (None,)], "t string")
     got = [r.v for r in df.select(text_to_int("t").alias("v")).collect()]
     assert got == [3, 3, 4, 4, None, None]
+
+
+def test_text_to_int_matches_duckdb_cast(spark):
+    """Numeric text -> INTEGER like the reference's CAST, ties away from zero."""
+    vals = ["0.5", "1.5", "2.5", "-0.5", "-1.5", "-2.5", "3.7", "-3.7", "3", " 4 ", "1e2",
+            "2.4999999999", "007", "+5", "3.0"]
+    got = [r.v for r in spark.createDataFrame([(v,) for v in vals], "t string")
+           .select(text_to_int("t").alias("v")).collect()]
+    exp = [duckdb.execute("SELECT CAST(? AS INTEGER)", [v]).fetchall()[0][0] for v in vals]
+    assert got == exp
