@@ -68,3 +68,15 @@ def test_metadata_rejects_counts_non_objects(spark):
     ], schemas.CASES)
     r = metadata_rejects(raw).collect()[0]
     assert (r.documents, r.rejected) == (5, 3)
+
+
+def test_blank_and_padded_timestamps(spark):
+    """Blank or whitespace-only text is NULL; 'T' and fractions parse."""
+    t = dt.datetime(2024, 1, 1)
+    rows = [
+        (1, 1, 1, "x", "low", "open", t, t, "   ", "", 0, 0, None),
+        (2, 2, 1, "x", "low", "resolved", t, t, "2024-01-01T12:00:00.250000", "2024-01-03 08:00:00", 0, 0, None),
+    ]
+    got = {r.id: (r.first_response_at, r.resolved_at) for r in stg_cases(spark.createDataFrame(rows, schemas.CASES)).collect()}
+    assert got[1] == (None, None)
+    assert got[2] == (dt.datetime(2024, 1, 1, 12, 0, 0, 250000), dt.datetime(2024, 1, 3, 8, 0))
