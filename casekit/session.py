@@ -32,10 +32,12 @@ SCALE_CONF = {
     # Split a hot join key even when the split needs an extra shuffle after
     # the join (e.g. join on case_id followed by an aggregate on case_id).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Runtime-checked broadcast bound: AQE only turns a join into a broadcast
-    # join when the *measured* shuffle output of a side is below this size.
+    # Broadcasts only from measured sizes: no static broadcast from file-size
+    # estimates (a compressed Parquet side can be many times larger in memory);
+    # AQE turns a join into a broadcast join when the *measured* shuffle output
+    # of a side is below 32 MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
 }

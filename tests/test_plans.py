@@ -18,9 +18,10 @@ def _plan(df) -> str:
 @pytest.fixture()
 def no_broadcast(spark):
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
     yield lambda: [spark.conf.set(k, "-1") for k in keys]
-    for k in keys:
-        spark.conf.set(k, "32MB")
+    for k, v in old.items():
+        spark.conf.set(k, v)
 
 
 def test_fact_shuffles_each_input_once_on_case_id(spark, no_broadcast):
