@@ -6,7 +6,8 @@ aggregates run partial-then-final, so a hot case (one key holding a large
 share of events or interactions) collapses to one row per map task before the
 shuffle.  All three inputs are hash-partitioned on ``case_id``; the two
 aggregates' exchanges are reused by the joins, and the cases side is shuffled
-once for both joins (four exchanges in total with broadcasts off).
+once for both joins: three exchanges with broadcasts off (the fact's feedback
+join adds a fourth, on the same key).
 """
 
 from __future__ import annotations
