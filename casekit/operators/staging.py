@@ -1,7 +1,8 @@
 """Staging models M1–M6: typed, trimmed copies of the raw inputs.
 
-Each model is a single projection, so Catalyst folds it into the scan's
-whole-stage-codegen span and prunes the scan to the columns a consumer uses.
+Each model is a projection (``stg_cases`` adds one ``json_tuple`` per row),
+so Catalyst folds it into the scan stage and prunes the scan, and the JSON
+fields, to the columns a consumer uses.
 """
 
 from __future__ import annotations
