@@ -247,3 +247,13 @@ def test_command_line_reads_parquet_raw(spark, tmp_path):
                  "--prefix", "cliparquet", "--buckets", "4"], spark) == 0
     kpis = {r.case_type: r.total_cases for r in report(spark, "kpi_table", "cliparquet").collect()}
     assert kpis == {"billing_dispute": 1, "claim_denial": 2, "prior_authorization": 2}
+
+
+def test_report_without_stored_layers_says_so(spark):
+    import pytest as _pytest
+
+    from casekit.__main__ import REPORTS, report
+
+    assert len(REPORTS) >= 15                      # D1–D15 (+ metric text, reopen rate)
+    with _pytest.raises(SystemExit, match="run the pipeline first"):
+        report(spark, "kpi_table", "never_built")
