@@ -239,9 +239,11 @@ def _q_json_arrays_as_text(spark, sf_dir):
 
 
 def _q_json_build_parse(spark, sf_dir):
+    # The array fields are JSON text already: embed them verbatim as VARIANT
+    # values (a text that is not JSON becomes NULL and its key is left out).
     doc = derive.metadata_document_sql(
-        "intake_source", text_array_sql("barriers_json"), "handoff_count", "complexity",
-        text_array_sql("submitted_documents_json"), text_array_sql("support_flags_json"),
+        "intake_source", "try_parse_json(barriers_json)", "handoff_count", "complexity",
+        "try_parse_json(submitted_documents_json)", "try_parse_json(support_flags_json)",
         "missing_docs",
     )
     with_doc = _stg_cases(spark, sf_dir).selectExpr("id AS case_id", f"{doc} AS metadata_doc")
