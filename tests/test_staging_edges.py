@@ -80,3 +80,19 @@ def test_blank_and_padded_timestamps(spark):
     got = {r.id: (r.first_response_at, r.resolved_at) for r in stg_cases(spark.createDataFrame(rows, schemas.CASES)).collect()}
     assert got[1] == (None, None)
     assert got[2] == (dt.datetime(2024, 1, 1, 12, 0, 0, 250000), dt.datetime(2024, 1, 3, 8, 0))
+
+
+def test_rebuilt_document_skips_non_json_array_text(spark):
+    """Array fields are embedded verbatim; a bare string value leaves its key out."""
+    from casekit.functions import derive
+
+    raw = spark.createDataFrame([
+        _case(1, '{"barriers": ["a", 1], "handoff_count": 2}'),
+        _case(2, '{"barriers": "just text"}'),
+    ], schemas.CASES)
+    doc = derive.metadata_document_sql(
+        "intake_source", "try_parse_json(barriers_json)", "handoff_count", "complexity",
+        "try_parse_json(submitted_documents_json)", "try_parse_json(support_flags_json)", "missing_docs")
+    got = {r.id: r.d for r in stg_cases(raw).selectExpr("id", f"{doc} AS d").collect()}
+    assert '"barriers":["a",1]' in got[1]
+    assert '"barriers"' not in got[2] and '"handoff_count":0' in got[2]
