@@ -77,47 +77,64 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so it has an inverse mod 2**64
 _INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    np.multiply.accumulate(out, out=out)
-    return out
+_CHUNK = 1 << 17  # bytes hashed at once: the work arrays stay in cache
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i mod 2**64 for i < n."""
+    size = max(n, _CHUNK)
+    if size not in _powers:
+        _powers.clear()
+        pair = []
+        for base in (_BASE, _INVERSE):
+            x = np.full(size, base, dtype=np.uint64)
+            x[0] = 1
+            pair.append(np.multiply.accumulate(x, out=x))
+        _powers[size] = (pair[0], pair[1])
+    return _powers[size]
 
 
 class Words:
     """Words of many texts, hashed without a Python loop over words.
 
-    ``buffer`` holds the lower-cased bytes of all texts, ``start``/``end`` the
-    byte bounds of each word, ``hash`` its 64-bit hash and ``first`` (length
-    n_texts + 1) the index of each text's first word.
+    ``buffer`` holds the lower-cased (A-Z only) bytes of all texts,
+    ``start``/``end`` the byte bounds of each word, ``hash`` its 64-bit hash
+    and ``first`` (length n_texts + 1) the index of each text's first word.
     """
 
     def __init__(self, texts: list[bytes], separators: bytes) -> None:
-        table = np.arange(256, dtype=np.uint8)
-        table[ord("A"):ord("Z") + 1] += 32
+        lower = np.arange(256, dtype=np.uint8)
+        lower[ord("A"):ord("Z") + 1] += 32
         is_sep = np.zeros(256, dtype=bool)
         is_sep[np.frombuffer(separators, dtype=np.uint8)] = True
-        # Each text ends in a separator, so no word spans two texts.
+        # Separators around every text, so no word spans two texts.
         sep = separators[:1]
-        raw = sep + sep.join(texts) + sep
-        buf = table[np.frombuffer(raw, dtype=np.uint8)]
+        buf = lower[np.frombuffer(sep + sep.join(texts) + sep, dtype=np.uint8)]
         gap = is_sep[buf]
-        self.buffer = buf
         edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
-        self.start, self.end = edge[0::2], edge[1::2]
-        lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+        self.buffer, self.start, self.end = buf, edge[0::2], edge[1::2]
         bounds = np.zeros(len(texts) + 1, dtype=np.int64)
-        np.cumsum(lengths, out=bounds[1:])
-        self.first = np.searchsorted(self.start, bounds + 1 if len(texts) else bounds)
-        # Prefix sums of code(byte) * base**position; a word's hash is its part
-        # of the sum moved back to position 0.
-        total = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_CODE[buf] * _powers(_BASE, len(buf)), out=total[1:])
-        back = _powers(_INVERSE, len(buf))
-        h = (total[self.end] - total[self.start]) * back[self.start]
-        h += (self.end - self.start).astype(np.uint64)
-        self.hash = _splitmix(h)
+        np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)), out=bounds[1:])
+        self.first = np.searchsorted(self.start, bounds)
+        self.hash = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        """Polynomial hash of each word: its part of the chunk's prefix sums
+        of code(byte) * base**position, moved back to position 0."""
+        out = np.empty(len(self.start), dtype=np.uint64)
+        lo = 0
+        while lo < len(out):
+            base = self.start[lo]
+            hi = max(lo + 1, int(np.searchsorted(self.end, base + _CHUNK, "right")))
+            part = self.buffer[base:self.end[hi - 1]]
+            up, back = _power_table(len(part))
+            total = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE_CODE[part] * up[:len(part)], out=total[1:])
+            s, e = self.start[lo:hi] - base, self.end[lo:hi] - base
+            out[lo:hi] = (total[e] - total[s]) * back[s] + (e - s).astype(np.uint64)
+            lo = hi
+        return _splitmix(out)
 
     def word(self, i: int) -> bytes:
         return self.buffer[self.start[i]:self.end[i]].tobytes()

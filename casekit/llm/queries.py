@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from casekit.llm import mixing, sharding, topk
+from casekit.llm import decontaminate, mixing, sharding, topk, warc
 
 
 def queries() -> dict:
     return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
         "op3_exact_topk": topk.op3_exact_topk,
         "op7_mixing": mixing.op7_mixing,
+        "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
     }
 
@@ -16,6 +18,8 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     """Operators SQL can express; the others have brute-force tests."""
     return {
+        "op1_decontaminate": decontaminate.ORACLE,
         "op3_exact_topk": topk.ORACLE,
         "op7_mixing": mixing.ORACLE,
+        "op9_warc": warc.ORACLE,
     }
