@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from casekit.llm import decontaminate, mixing, sharding, topk, warc
+from casekit.llm import decontaminate, mixing, sharding, tokens, topk, warc
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op3_exact_topk": topk.op3_exact_topk,
+        "op4_token_shards": tokens.op4_token_shards,
         "op7_mixing": mixing.op7_mixing,
         "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
