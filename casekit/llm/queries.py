@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casekit.llm import decontaminate, mixing, sharding, tokens, topk, warc
+from casekit.llm import decontaminate, langid, mixing, sharding, tokens, topk, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_exact_topk": topk.op3_exact_topk,
         "op4_token_shards": tokens.op4_token_shards,
         "op7_mixing": mixing.op7_mixing,
+        "op8_language_id": langid.op8_language_id,
         "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
     }
