@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casekit.llm import decontaminate, langid, mixing, sharding, tokens, topk, warc
+from casekit.llm import decontaminate, langid, mixing, quality, sharding, tokens, topk, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op3_exact_topk": topk.op3_exact_topk,
         "op4_token_shards": tokens.op4_token_shards,
+        "op6_quality": quality.op6_quality,
         "op7_mixing": mixing.op7_mixing,
         "op8_language_id": langid.op8_language_id,
         "op9_warc": warc.op9_warc,
