@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from casekit.llm import decontaminate, langid, mixing, quality, sharding, tokens, topk, warc
+from casekit.llm import decontaminate, langid, mixing, neardup, quality, sharding, tokens, topk, warc
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op2_near_duplicates": neardup.op2_near_duplicates,
         "op3_exact_topk": topk.op3_exact_topk,
         "op4_token_shards": tokens.op4_token_shards,
         "op6_quality": quality.op6_quality,
@@ -22,6 +23,7 @@ def oracle_sql() -> dict[str, str]:
     """Operators SQL can express; the others have brute-force tests."""
     return {
         "op1_decontaminate": decontaminate.ORACLE,
+        "op2_near_duplicates": neardup.ORACLE,
         "op3_exact_topk": topk.ORACLE,
         "op7_mixing": mixing.ORACLE,
         "op9_warc": warc.ORACLE,
