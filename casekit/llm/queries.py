@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casekit.llm import decontaminate, langid, mixing, neardup, quality, sharding, tokens, topk, warc
+from casekit.llm import decontaminate, langid, lm, mixing, neardup, quality, sharding, tokens, topk, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_near_duplicates": neardup.op2_near_duplicates,
         "op3_exact_topk": topk.op3_exact_topk,
         "op4_token_shards": tokens.op4_token_shards,
+        "op5_lm_scores": lm.op5_lm_scores,
         "op6_quality": quality.op6_quality,
         "op7_mixing": mixing.op7_mixing,
         "op8_language_id": langid.op8_language_id,
