@@ -1,26 +1,28 @@
 """Command line: the layered run and the report datasets.
 
-    python -m casekit run --raw /shared/raw --format csv --as-of "2024-03-01 12:30:00"
-    python -m casekit report exec_headline
+    python -m casekit run --raw /shared/raw --location /shared/layers --as-of "2024-03-01 12:30:00"
+    python -m casekit report exec_headline --location /shared/layers
     # on a cluster:
-    spark-submit --py-files casekit.zip casekit/__main__.py run --raw /shared/raw
+    spark-submit --py-files casekit.zip casekit/__main__.py run --raw ... --location ...
 
 ``run`` reads the six raw tables (CSV extracts or Parquet), builds every
-layer and stores each model as a table (one database per layer, each layer
+layer and stores each model (one folder per layer and model, each layer
 reading the stored previous one); ``--buckets N`` stores the case-keyed
-staging tables bucketed by case id.  ``report`` shows a report dataset
-computed from the stored fact and marts.
+staging tables bucketed by case id.  ``report`` reads the stored fact and
+marts by location, in any later process, and gives every row of a report
+dataset: as CSV on standard output, or as files under ``--output``.
 """
 
 from __future__ import annotations
 
 import argparse
+import csv
 import sys
 
 from pyspark.sql import SparkSession
 
 from casekit.operators import marts, reports
-from casekit.plans.pipeline import build_all, load_layers, persist_layers
+from casekit.plans.pipeline import StoredLayers, build_all, persist_layers
 from casekit.session import apply_conf, get_session
 from casekit.sources import files
 
@@ -34,7 +36,6 @@ REPORTS = {
     "open_by_urgency": lambda s, m: reports.open_by_urgency(s, m["fct_case_lifecycle"]),
     "stale_cases": lambda s, m: reports.stale_cases(m["fct_case_lifecycle"]),
     "over_capacity": lambda s, m: reports.over_capacity(m["mart_advocate_caseload"]),
-    "over_capacity_names": lambda s, m: reports.over_capacity_names(m["mart_advocate_caseload"]),
     "escalation_distribution": lambda s, m: reports.escalation_distribution(m["fct_case_lifecycle"]),
     "interaction_load": lambda s, m: reports.interaction_load(m["fct_case_lifecycle"]),
     "missing_docs_vs_resolution": lambda s, m: reports.missing_docs_vs_resolution(m["fct_case_lifecycle"]),
@@ -46,19 +47,18 @@ REPORTS = {
 }
 
 
-def run(spark: SparkSession, raw_dir: str, fmt: str = "csv", as_of: str | None = None,
-        prefix: str = "casekit", location: str | None = None,
-        buckets: int | None = None) -> dict[str, str]:
-    """Full refresh: raw files -> every layer stored as tables."""
-    raw = files.read_raw_tables(spark, raw_dir, fmt)
+def run(spark: SparkSession, raw_dir: str, location: str, fmt: str = "csv", as_of: str | None = None,
+        prefix: str = "casekit", buckets: int | None = None, multi_line: bool = False) -> dict[str, int]:
+    """Full refresh: raw files -> every layer stored under ``location``; rows per model."""
+    raw = files.read_raw_tables(spark, raw_dir, fmt, multi_line=multi_line)
     return persist_layers(spark, build_all(spark, raw, as_of=as_of), prefix, location, buckets)
 
 
-def report(spark: SparkSession, name: str, prefix: str = "casekit"):
-    """A report dataset from the stored layers of the last ``run``."""
-    stored = load_layers(spark, prefix)
+def report(spark: SparkSession, name: str, location: str, prefix: str = "casekit"):
+    """A report dataset from the layers a ``run`` (of any process) stored."""
+    stored = StoredLayers(spark, location, prefix)
     if "fct_case_lifecycle" not in stored:
-        raise SystemExit(f"no stored fact under {prefix}_marts: run the pipeline first")
+        raise SystemExit(f"no stored fact under {location}: run the pipeline first")
     return REPORTS[name](spark, stored)
 
 
@@ -67,24 +67,33 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run", help="ingest raw tables and store every layer")
     r.add_argument("--raw", required=True, help="folder with the six raw CSV/Parquet tables")
+    r.add_argument("--location", required=True, help="shared folder the layers are stored in")
     r.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    r.add_argument("--multi-line", action="store_true", help="CSV cells may hold line breaks")
     r.add_argument("--as-of", default=None, help="pinned clock (zone-less), default: now")
     r.add_argument("--prefix", default="casekit")
-    r.add_argument("--location", default=None, help="database folder (default: checkpoint dir)")
     r.add_argument("--buckets", type=int, default=None)
-    p = sub.add_parser("report", help="show a report dataset")
+    p = sub.add_parser("report", help="print or write a report dataset, every row of it")
     p.add_argument("name", choices=sorted(REPORTS))
+    p.add_argument("--location", required=True, help="folder given to run")
     p.add_argument("--prefix", default="casekit")
-    p.add_argument("--rows", type=int, default=50)
+    p.add_argument("--output", default=None, help="write CSV files there instead of printing")
     args = ap.parse_args(argv)
 
     spark = apply_conf(spark) if spark is not None else get_session()
     if args.cmd == "run":
-        tables = run(spark, args.raw, args.format, args.as_of, args.prefix, args.location, args.buckets)
-        for name, table in tables.items():
-            print(f"{name}\t{table}")
+        rows = run(spark, args.raw, args.location, args.format, args.as_of, args.prefix, args.buckets,
+                   args.multi_line)
+        for name, n in rows.items():
+            print(f"{name}\t{n}")
     else:
-        report(spark, args.name, args.prefix).show(args.rows, truncate=False)
+        df = report(spark, args.name, args.location, args.prefix)
+        if args.output:
+            files.write_csv(df, args.output)
+        else:
+            out = csv.writer(sys.stdout)
+            out.writerow(df.columns)
+            out.writerows(df.toLocalIterator())  # a partition at a time
     return 0
 
 

@@ -45,20 +45,10 @@ def nps_bucket_sql(score: str) -> str:
             f"WHEN {score} >= {NPS_PASSIVE}D THEN 'passive' ELSE 'detractor' END")
 
 
-def nps_bucket(score: str) -> Column:
-    """>= 4.5 promoter, >= 3.5 passive, else detractor."""
-    return F.expr(nps_bucket_sql(score))
-
-
 def clamp_sql(x: str, lo: float, hi: float) -> str:
     return f"CASE WHEN ({x}) IS NOT NULL THEN greatest({lo}D, least({hi}D, {x})) END"
 
 
-def clamp(x: str, lo: float, hi: float) -> Column:
-    """X limited to [lo, hi]; NULL stays NULL (least/greatest alone skip NULL)."""
-    return F.expr(clamp_sql(x, lo, hi))
-
-
 def derive_status(status: str, resolved_at: str, reopen_flag: str) -> Column:
     """A resolution time means resolved (or reopened); otherwise the open status."""
     return F.expr(
@@ -96,20 +86,10 @@ def clean_barriers_sql(barriers: str) -> str:
             f"THEN filter({barriers}, x -> NOT (x <=> '{NO_BARRIER}')) ELSE {barriers} END")
 
 
-def clean_barriers(barriers: str) -> Column:
-    """Drop "none" when other barriers are listed (NULL items are kept)."""
-    return F.expr(clean_barriers_sql(barriers))
-
-
 def support_flags_sql(barriers: str) -> str:
     return f"filter({barriers}, x -> x IN ({_quoted(SUPPORTED_BARRIERS)}))"
 
 
-def support_flags(barriers: str) -> Column:
-    """Barriers that need support (language, transportation), order kept."""
-    return F.expr(support_flags_sql(barriers))
-
-
 def metadata_document_sql(intake_source: str, barriers: str, handoff_count: str,
                           complexity: str, submitted_documents: str, support: str,
                           missing_docs: str) -> str:
@@ -122,11 +102,6 @@ def metadata_document_sql(intake_source: str, barriers: str, handoff_count: str,
     )
 
 
-def metadata_document(*args: str) -> Column:
-    """The case metadata JSON document from typed fields (NULL fields left out)."""
-    return F.expr(metadata_document_sql(*args))
-
-
 def parse_document(df, doc: str, keep: list[str]):
     """The document in column ``doc`` parsed back with staging's defaults.
 
@@ -134,8 +109,3 @@ def parse_document(df, doc: str, keep: list[str]):
     """
     parsed = df.selectExpr(*keep, json_fields_sql(doc, "_d_"))
     return parsed.selectExpr(*keep, *[f"{sql} AS {name}" for name, sql in metadata_columns_sql("_d_").items()])
-
-
-def array_text(arr_sql: str) -> Column:
-    """An array as compact JSON text (stable for comparison and display)."""
-    return F.expr(f"to_json({arr_sql})")

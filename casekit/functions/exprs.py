@@ -95,29 +95,14 @@ def count_where_sql(pred: str) -> str:
     return f"count_if({pred})"
 
 
-def count_where(pred: str) -> Column:
-    """COUNT(*) FILTER (WHERE pred): rows where ``pred`` is true (BIGINT)."""
-    return F.expr(count_where_sql(pred))
-
-
 def pct_sql(numerator: str, denominator: str) -> str:
     return f"(100D * ({numerator}) / nullif({denominator}, 0))"
 
 
-def pct(numerator: str, denominator: str) -> Column:
-    """100.0 * numerator / NULLIF(denominator, 0) as DOUBLE."""
-    return F.expr(pct_sql(numerator, denominator))
-
-
 def ratio_sql(numerator: str, denominator: str) -> str:
     return f"(({numerator}) * 1D / nullif({denominator}, 0))"
 
 
-def ratio(numerator: str, denominator: str) -> Column:
-    """numerator * 1.0 / NULLIF(denominator, 0) as DOUBLE."""
-    return F.expr(ratio_sql(numerator, denominator))
-
-
 def blank_to_null_ts_sql(x: str, dtype: str = "string") -> str:
     if dtype in ("timestamp_ntz", "timestamp"):
         return f"CAST({x} AS TIMESTAMP_NTZ)"
@@ -125,24 +110,10 @@ def blank_to_null_ts_sql(x: str, dtype: str = "string") -> str:
             f"ELSE CAST({x} AS TIMESTAMP_NTZ) END")
 
 
-def blank_to_null_ts(x: str, dtype: str = "string") -> Column:
-    """CASE WHEN TRIM(CAST(x AS VARCHAR)) = '' THEN NULL ELSE CAST(x AS TIMESTAMP).
-
-    When the input column is already a timestamp the blank test cannot fire,
-    so the guard (a per-row string conversion) is skipped.
-    """
-    return F.expr(blank_to_null_ts_sql(x, dtype))
-
-
 def int_flag_sql(x: str) -> str:
     return f"(CAST({x} AS INT) = 1)"
 
 
-def int_flag(x: str) -> Column:
-    """CAST(x AS INTEGER) = 1 -> BOOLEAN (NULL stays NULL)."""
-    return F.expr(int_flag_sql(x))
-
-
 def text_to_int_sql(x: str) -> str:
     return f"try_cast(round(try_cast(trim({x}) AS DOUBLE), 0) AS INT)"
 

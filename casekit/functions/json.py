@@ -11,9 +11,6 @@ returns for these fields at about half the per-row cost.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from casekit.functions.exprs import text_to_int_sql
 
 # Defaults the reference's staging applies to absent fields.
@@ -52,15 +49,5 @@ def json_field_text_sql(text: str, key: str) -> str:
     return f"get_json_object({text}, '$.{key}')"
 
 
-def json_field_text(text: str, key: str) -> Column:
-    """One scalar or array by key, as text (json_extract_string)."""
-    return F.expr(json_field_text_sql(text, key))
-
-
 def text_array_sql(text: str) -> str:
     return f"from_json({text}, 'array<string>')"
-
-
-def text_array(text: str) -> Column:
-    """JSON array text (e.g. a *_json staging column) -> array<string>."""
-    return F.expr(text_array_sql(text))

@@ -91,19 +91,6 @@ def over_capacity(caseload: DataFrame) -> DataFrame:
     return caseload.filter(f"utilization_ratio > {OVER_CAPACITY_RATIO}D")
 
 
-def over_capacity_names(caseload: DataFrame) -> DataFrame:
-    """D8 warning text: over-capacity names joined with ', ', one text per team.
-
-    The page builds one string of every name; here the text is split by
-    team so that no single group gathers the whole staff list.  Names are
-    sorted so the text is stable.
-    """
-    return over_capacity(caseload).groupBy("team").agg(*_agg(
-        "count(1) AS advocates_over_capacity",
-        "array_join(sort_array(collect_list(CAST(name AS STRING))), ', ') AS names",
-    ))
-
-
 def escalation_distribution(fact: DataFrame) -> DataFrame:
     """Escalated count, non-null count and rate per case type."""
     escalated, flagged = count_where_sql("escalation_flag"), "count(escalation_flag)"

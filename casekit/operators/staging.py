@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casekit.functions.exprs import blank_to_null_ts_sql, int_flag_sql
+from casekit.functions.exprs import blank_to_null_ts_sql, int_flag_sql, text_to_int_sql
 from casekit.functions.json import json_fields_sql, metadata_columns_sql
 
 
@@ -62,19 +62,39 @@ def stg_cases(raw: DataFrame) -> DataFrame:
     )
 
 
+_BAD_DOCUMENT = "metadata_json IS NOT NULL AND json_object_keys(metadata_json) IS NULL"
+_BAD_HANDOFF = f"_m_handoff_count IS NOT NULL AND {text_to_int_sql('_m_handoff_count')} IS NULL"
+_BAD_MISSING_DOCS = "_m_missing_docs NOT IN ('true', 'false')"
+
+
 def metadata_rejects(raw_cases: DataFrame) -> DataFrame:
-    """Documents present but not a JSON object (they take the defaults).
+    """Documents that are no JSON object and fields that are not of
+    their type.
 
-    The reference fails the whole load on such a cell; here the row keeps
-    its defaults and this count reports how many there were.
+    The reference fails the whole load on such a cell; here the row takes the
+    defaults and these counts report how many did.
     """
-    return raw_cases.agg(
+    parsed = raw_cases.selectExpr("metadata_json", json_fields_sql("metadata_json", "_m_"))
+    return parsed.agg(
         F.expr("count(metadata_json) AS documents"),
-        F.expr("count_if(metadata_json IS NOT NULL AND json_object_keys(metadata_json) IS NULL)"
-               " AS rejected"),
+        F.expr(f"count_if({_BAD_DOCUMENT}) AS rejected"),
+        F.expr(f"count_if({_BAD_HANDOFF}) AS bad_handoff_count"),
+        F.expr(f"count_if({_BAD_MISSING_DOCS}) AS bad_missing_docs"),
     )
 
 
+def metadata_reject_rows(raw_cases: DataFrame) -> DataFrame:
+    """The rejects themselves: (case_id, field, value)."""
+    parsed = raw_cases.selectExpr("id", "metadata_json", json_fields_sql("metadata_json", "_m_"))
+    return parsed.selectExpr(
+        "id AS case_id",
+        "inline(array("
+        f"named_struct('field', 'document', 'value', metadata_json, 'bad', {_BAD_DOCUMENT}), "
+        f"named_struct('field', 'handoff_count', 'value', _m_handoff_count, 'bad', {_BAD_HANDOFF}), "
+        f"named_struct('field', 'missing_docs', 'value', _m_missing_docs, 'bad', {_BAD_MISSING_DOCS})))",
+    ).where("bad").drop("bad")
+
+
 def stg_interactions(raw: DataFrame) -> DataFrame:
     return raw.selectExpr(
         "id",
@@ -115,8 +135,3 @@ STAGING = {
     "stg_case_events": (stg_case_events, "case_events"),
     "stg_feedback": (stg_feedback, "patient_feedback"),
 }
-
-
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Raw namespace -> staging namespace (lazy; nothing runs here)."""
-    return {name: fn(raw[table]) for name, (fn, table) in STAGING.items()}

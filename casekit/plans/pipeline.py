@@ -13,12 +13,14 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from casekit.operators import marts, staging
 from casekit.operators.lifecycle import SLA_DAYS, STALE_HOURS, case_lifecycle
 from casekit.operators.timings import case_timings
 from casekit.session import checkpoint_dir
+from casekit.sources import files
 
 # Layer names (the reference's namespaces) and their models.
 LAYERS = {
@@ -115,52 +117,81 @@ CASE_KEYED = {"stg_cases": "id", "stg_case_events": "case_id",
               "stg_interactions": "case_id", "stg_feedback": "case_id"}
 
 
+def layer_path(location: str, prefix: str, name: str) -> str:
+    """Folder of a stored model; readable without any catalog."""
+    layer = next(n for n, names in LAYERS.items() if name in names)
+    return f"{location.rstrip('/')}/{prefix}_{layer}.db/{name}"
+
+
 def persist_layers(
     spark: SparkSession,
-    models: dict[str, DataFrame],
-    prefix: str = "casekit",
-    location: str | None = None,
+    models: Mapping[str, DataFrame],
+    prefix: str,
+    location: str,
     buckets: int | None = None,
-) -> dict[str, str]:
-    """Full refresh of every model as a catalog table, one database per layer.
-
-    Databases are created if missing, under ``location`` (default: the shared
-    checkpoint folder) so no machine-local warehouse is used.  Layers are
-    written in order and each written table replaces its model for the
-    layers after it, like the reference's staged tables.  Returns model
-    name -> qualified table name.
-
-    With ``buckets`` the four case-keyed staging tables are bucketed (and
-    sorted) by the case id into that many buckets, so the timings and fact
-    joins that read them are co-located: no exchange on either side.
+    names: list[str] | None = None,
+    register: bool = True,
+) -> dict[str, int]:
+    """Full refresh of the models under ``location``; rows per model.
+
+    Each model is one Parquet folder per layer (``layer_path``), so any later
+    process finds it by location.  Layers are written in order and each stored
+    model replaces its plan for the layers after it, like the reference's
+    staged tables; rows are counted while they are written.  With ``register``
+    the folders are also tables of the databases ``<prefix>_<layer>``.
+
+    With ``buckets`` (needs ``register``) the four case-keyed staging tables
+    are bucketed and sorted by the case id into that many buckets, so the
+    timings and fact joins that read them are co-located: no exchange.
     """
-    base = location or scratch_path(spark, "warehouse")
-    written: dict[str, str] = {}
-    for layer, names in LAYERS.items():
+    rows: dict[str, int] = {}
+    for layer, members in LAYERS.items():
         db = f"{prefix}_{layer}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}/{db}.db'")
-        for name in names:
-            if name in models.keys():
-                table = f"{db}.{name}"
-                writer = models[name].write.mode("overwrite").format("parquet")
-                if buckets and name in CASE_KEYED:
-                    key = CASE_KEYED[name]
-                    writer = writer.bucketBy(buckets, key).sortBy(key)
-                writer.saveAsTable(table)
-                written[name] = table
-                if isinstance(models, Models):
-                    # Later layers read this stored table: each model is
-                    # computed once and lineage is cut at every layer.
-                    models.use(name, spark.table(table))
-    return written
-
-
-def load_layers(spark: SparkSession, prefix: str = "casekit") -> dict[str, DataFrame]:
-    """The stored models of a previous full refresh, by model name."""
-    out: dict[str, DataFrame] = {}
-    for layer, names in LAYERS.items():
-        for name in names:
-            table = f"{prefix}_{layer}.{name}"
-            if spark.catalog.tableExists(table):
-                out[name] = spark.table(table)
-    return out
+        if register:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} "
+                      f"LOCATION '{location.rstrip('/')}/_catalog/{db}'")
+        for name in members:
+            if name not in models.keys() or (names and name not in names):
+                continue
+            path = layer_path(location, prefix, name)
+            counted = Observation()
+            df = models[name].observe(counted, F.count(F.lit(1)).alias("n"))
+            writer = df.write.mode("overwrite").format("parquet").option("path", path)
+            if buckets and register and name in CASE_KEYED:
+                writer = writer.bucketBy(buckets, CASE_KEYED[name]).sortBy(CASE_KEYED[name])
+            if register:
+                writer.saveAsTable(f"{db}.{name}")
+            else:
+                writer.save()
+            rows[name] = counted.get["n"]
+            if isinstance(models, Models):
+                # Later layers read the stored rows: each model is computed
+                # once and lineage is cut at every layer.
+                models.use(name, spark.table(f"{db}.{name}") if register
+                           else spark.read.schema(df.schema).parquet(path))
+    return rows
+
+
+class StoredLayers(Mapping):
+    """The models a full refresh stored, by name, read by location.
+
+    Folders are looked up on access, so it works in any process and a report
+    opens only the models it reads.
+    """
+
+    def __init__(self, spark: SparkSession, location: str, prefix: str = "casekit") -> None:
+        self._spark, self._location, self._prefix = spark, location, prefix
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = None
+        if name in Models.NAMES:
+            df = files.read_or_none(self._spark, layer_path(self._location, self._prefix, name))
+        if df is None:
+            raise KeyError(name)
+        return df
+
+    def __iter__(self):
+        return (n for n in Models.NAMES if n in self)
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)

@@ -38,6 +38,9 @@ SCALE_CONF = {
     # of a side is below 32 MB.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Where every measured partition of a side is below this, join by hash
+    # instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -75,19 +78,6 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions_for(shuffled_bytes: int, target_bytes: int = 128 << 20,
-                           minimum: int = 200) -> int:
-    """Initial shuffle partition count for ``shuffled_bytes`` of shuffle input.
-
-    Sized so each reducer gets about ``target_bytes`` before AQE coalesces
-    small partitions (and splits skewed ones).  For the case pipeline the
-    shuffled bytes are the projected case columns plus the per-case partial
-    aggregates of events and interactions, roughly a fifth of the raw input.
-    E.g. 100 TB of input -> ~20 TB shuffled -> ~160k partitions.
-    """
-    return max(minimum, -(-shuffled_bytes // target_bytes))
-
-
 def get_session(
     master: str | None = None,
     app_name: str = "casekit",

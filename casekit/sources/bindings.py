@@ -18,8 +18,9 @@ CHANNELS = ["phone", "email", "chat", "portal"]           # by c_custkey % 4
 PATIENT_EPOCH = "2000-01-01"                              # created_at / hire_date base
 FEEDBACK_EPOCH = "1998-01-01"                             # submitted_at base
 META_INTAKE_SOURCE = "phone"
-META_BARRIERS = ["language", "none"]
-META_SUPPORT_FLAGS = ["language"]
+META_BARRIERS = ["language", "transportation", "cost", "health_literacy", "none"]
+META_SUPPORT_FLAGS = ["", '"language"', '"transportation"', '"language","transportation"']  # by k % 4
+META_SUBMITTED = "id_card"
 META_COMPLEXITY = "high"
 # Pinned clock for the bound tables.
 AS_OF = "1998-06-15 12:30:00"
@@ -83,23 +84,29 @@ def advocates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metadata_json_sql(k: str) -> str:
-    """The metadata document as compact JSON text (key order as listed in FIXTURES).
+    """The metadata document as compact JSON text (FIXTURES.md §2).
 
     Built by concatenation, which gives the same text as ``to_json`` of the
-    struct at a fraction of the per-row cost; the complexity key is left out
-    when k % 7 = 0 and the whole document is NULL when k % 11 = 0.
+    struct at a fraction of the per-row cost.  Some documents are absent,
+    truncated or no object, and some fields hold what they should not, so the
+    defaults and the reject counts of staging have work.
     """
-    barriers = ",".join(f'"{b}"' for b in META_BARRIERS)
-    flags = ",".join(f'"{b}"' for b in META_SUPPORT_FLAGS)
+    domain = ", ".join(f"'{b}'" for b in META_BARRIERS)
+    barriers = (f"array_join(transform(sequence(0, CAST({k} % 3 AS INT)), i -> concat('\"', "
+                f"element_at(array({domain}), CAST(1 + ({k} div 3 + 2 * i) % 5 AS INT)), '\"')), ',')")
+    flags = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(META_SUPPORT_FLAGS))
     return (
-        f"CASE WHEN {k} % 11 <> 0 THEN concat("
-        f"'{{\"handoff_count\":', CAST({k} % 5 AS STRING), "
-        f"',\"missing_docs\":', CASE WHEN {k} % 3 = 0 THEN 'true' ELSE 'false' END, "
+        f"CASE WHEN {k} % 11 = 0 THEN NULL "
+        f"WHEN {k} % 97 = 0 THEN '{{\"handoff_count\":' "
+        f"WHEN {k} % 101 = 0 THEN '[1,2]' ELSE concat("
+        f"'{{\"handoff_count\":', CASE WHEN {k} % 17 = 0 THEN '\"many\"' WHEN {k} % 19 = 0 THEN '\"2\"' "
+        f"WHEN {k} % 23 = 0 THEN '99999999999' ELSE CAST({k} % 5 AS STRING) END, "
+        f"',\"missing_docs\":', CASE WHEN {k} % 29 = 0 THEN '\"maybe\"' WHEN {k} % 3 = 0 THEN 'true' ELSE 'false' END, "
         f"CASE WHEN {k} % 7 <> 0 THEN ',\"complexity\":\"{META_COMPLEXITY}\"' ELSE '' END, "
         f"',\"intake_source\":\"{META_INTAKE_SOURCE}\"', "
-        f"',\"barriers\":[{barriers}]', "
-        f"',\"support_flags\":[{flags}]', "
-        f"',\"submitted_documents\":[]}}') END"
+        f"',\"barriers\":[', CASE WHEN {k} % 13 = 0 THEN '\"none\"' ELSE {barriers} END, "
+        f"'],\"support_flags\":[', CASE {k} % 4 {flags} END, "
+        f"'],\"submitted_documents\":[', CASE WHEN {k} % 3 = 1 THEN '\"{META_SUBMITTED}\"' ELSE '' END, ']}}') END"
     )
 
 
@@ -163,9 +170,12 @@ def case_events_from(events: DataFrame) -> DataFrame:
 
 
 def patient_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    csat = "least(5D, greatest(1D, 1D + 2D * quality + (doc_id % 5) * 0.5D - toxic))"
-    return read_table(spark, sf_dir, "labels").selectExpr(
-        "doc_id AS id",
+    """One row per label; every tenth case answered twice (the fact fans out)."""
+    csat = "least(5D, greatest(1D, 1D + 2D * quality + (doc_id % 5) * 0.5D - toxic - n * 0.5D))"
+    labels = read_table(spark, sf_dir, "labels").selectExpr(
+        "*", "explode(sequence(0, if(doc_id % 10 = 0, 1, 0))) AS n")
+    return labels.selectExpr(
+        "doc_id + n * 1000000000L AS id",
         "doc_id AS case_id",
         f"{csat} AS csat_score",
         f"CASE WHEN {csat} >= 4.5D THEN 'promoter' WHEN {csat} >= 3.5D THEN 'passive' "

@@ -24,11 +24,20 @@ RAW_FILES = {
     "patient_feedback": "patient_feedback.csv",
 }
 
-CSV_READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+CORRUPT = "__corrupt_record"
+CSV_READ_OPTIONS = {
+    "header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    # Every file's header must be the first one's, and a row is judged by all
+    # its cells whatever columns a query needs.
+    "enforceSchema": "false", "columnPruning": "false",
+}
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "dateFormat": "yyyy-MM-dd",
 }
@@ -43,22 +52,73 @@ def text_timestamps(schema: T.StructType) -> T.StructType:
     ])
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw CSV (header, quoted JSON, empty = NULL, CRLF or LF)."""
-    reader = spark.read.schema(text_timestamps(schemas.RAW[table]))
-    for k, v in CSV_READ_OPTIONS.items():
-        reader = reader.option(k, v)
-    return reader.csv(path)
-
-
-def read_raw_tables(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """Every raw table of the registry from ``folder`` (CSV or Parquet)."""
+def _csv_text(spark: SparkSession, path: str, table: str, multi_line: bool) -> DataFrame:
+    """The CSV's cells as text under its own header names, plus ``CORRUPT``."""
+    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
+    names = reader.csv(path).columns  # reads one header line
+    missing = [f.name for f in schemas.RAW[table].fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    return reader.schema(schema).csv(path)
+
+
+def _cell(name: str, kind: str, strict: bool) -> str:
+    if kind == "string":
+        return f"`{name}`"
+    cast = f"try_cast(trim(`{name}`) AS {kind})"
+    if not strict:
+        return cast
+    return (f"CASE WHEN `{name}` IS NOT NULL AND {cast} IS NULL THEN CAST(raise_error(concat("
+            f"'bad {name}: ', `{name}`)) AS {kind}) ELSE {cast} END")
+
+
+def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False,
+                 strict: bool = True) -> DataFrame:
+    """One raw CSV (header, quoted JSON, empty = NULL, CRLF or LF).
+
+    Columns are taken by header name, in any order; columns the table does not
+    know are ignored.  ``strict`` (the default) fails the load at the first
+    broken row or cell that is not of its type; otherwise such rows are left
+    out and such cells are NULL, and ``csv_rejects`` counts both.
+
+    ``multi_line`` allows line breaks inside quoted cells.  Files are then not
+    split, so each is read by one task: use it only where extracts have them,
+    and keep files small.
+    """
+    text = _csv_text(spark, path, table, multi_line)
+    if strict:
+        keep = f"CASE WHEN {CORRUPT} IS NOT NULL THEN raise_error(concat('broken row: ', {CORRUPT})) IS NULL ELSE true END"
+    else:
+        keep = f"{CORRUPT} IS NULL"
+    return text.where(keep).selectExpr(*[
+        f"{_cell(f.name, f.dataType.simpleString(), strict)} AS `{f.name}`"
+        for f in text_timestamps(schemas.RAW[table]).fields])
+
+
+def csv_rejects(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """One row: rows of the CSV, broken rows, and cells that are not of their type."""
+    bad = " + ".join(
+        f"count_if({CORRUPT} IS NULL AND `{f.name}` IS NOT NULL AND {_cell(f.name, f.dataType.simpleString(), False)} IS NULL)"
+        for f in text_timestamps(schemas.RAW[table]).fields if not isinstance(f.dataType, T.StringType))
+    return _csv_text(spark, path, table, multi_line).selectExpr(
+        f"'{table}' AS raw_table", "count(1) AS row_count", f"count({CORRUPT}) AS broken_rows", f"{bad} AS bad_cells")
+
+
+def read_raw_tables(spark: SparkSession, folder: str, fmt: str = "csv", multi_line: bool = False,
+                    strict: bool = True) -> dict[str, DataFrame]:
+    """Every raw table of the registry from ``folder`` (CSV or Parquet).
+
+    Parquet columns are cast to the declared types, whatever the files have.
+    """
     out = {}
     for table, filename in RAW_FILES.items():
         if fmt == "csv":
-            out[table] = read_raw_csv(spark, f"{folder}/{filename}", table)
+            out[table] = read_raw_csv(spark, f"{folder}/{filename}", table, multi_line, strict)
         else:
-            out[table] = spark.read.parquet(f"{folder}/{table}.parquet")
+            out[table] = spark.read.parquet(f"{folder}/{table}.parquet").selectExpr(*[
+                f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in schemas.RAW[table].fields])
     return out
 
 
@@ -97,15 +157,25 @@ def query_or_empty(spark: SparkSession, sql: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def mart_ready(spark: SparkSession, table: str) -> bool:
-    """S12 + O4: the mart exists and a one-row read succeeds."""
-    if not spark.catalog.tableExists(table):
-        return False
-    return len(spark.table(table).limit(1).take(1)) > 0
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet folder at ``path``, or None when there is none."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
 
+def mart_ready(spark: SparkSession, path: str) -> bool:
+    """S12 + O4: the stored mart exists and a one-row read succeeds."""
+    mart = read_or_none(spark, path)
+    return mart is not None and len(mart.limit(1).take(1)) > 0
 
-def readiness(spark: SparkSession, table: str) -> DataFrame:
-    """S12 as a DataFrame: one row per readable row of a LIMIT 1 read."""
-    from pyspark.sql import functions as F
 
-    return spark.table(table).limit(1).select(F.lit(True).alias("ready"))
+def readiness(spark: SparkSession, marts: dict[str, str]) -> DataFrame:
+    """S12 as a DataFrame: (mart, ready) for each named path."""
+    rows = [(name, mart_ready(spark, path)) for name, path in marts.items()]
+    return spark.createDataFrame(rows, "mart string, ready boolean")

@@ -8,14 +8,19 @@ response, A2 interaction stats) are maintained incrementally:
   Parquet file becomes part of the next micro-batch);
 * each micro-batch is reduced to one partial row per case (min / count /
   max / sum), shuffled on ``case_id`` like any aggregation, and written with
-  ``foreachBatch`` to ``<table>/batch_id=<n>`` in the shared checkpoint
-  folder.  Overwriting the batch's own folder makes a replayed batch
-  idempotent, so the output is exactly-once together with the query's
-  checkpoint;
+  ``foreachBatch`` to ``<table>/batches/batch_id=<n>``.  Overwriting the
+  batch's own folder makes a replayed batch idempotent, so the output is
+  exactly-once together with the query's checkpoint in ``<table>/checkpoint``;
 * readers merge the partials (min of mins, sum of counts, ...), which gives
   the batch model's result.  The "state" is the partial table itself, so it
-  never has to fit in a state store, and ``compact`` folds many batches into
-  one snapshot.
+  never has to fit in a state store;
+* ``compact`` folds all batches so far into ``<table>/snapshots/upto=<n>``.
+  From then on readers take the newest complete snapshot and the batches
+  after it, and the folded batches are removed.
+
+The registered streams keep one table per input under the shared checkpoint
+folder: a later call, in this or another session, reads only files that are
+new since the last one.
 
 Late data needs no watermark: the aggregates are over a case's whole
 history (no window ever closes), and min / max / sum / count are
@@ -26,12 +31,14 @@ batches their last bits can differ from a single-pass average.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casekit.operators.staging import stg_case_events, stg_interactions
 from casekit.operators.timings import FIRST_RESPONSE_EVENT
-from casekit.plans.pipeline import scratch_path
+from casekit.session import checkpoint_dir
 from casekit.sources import bindings
 
 
@@ -52,57 +59,83 @@ def _partial_interactions(interactions: DataFrame) -> DataFrame:
     )
 
 
-def run_partials(stream: DataFrame, reduce, table_path: str, checkpoint: str,
-                 available_now: bool = True):
-    """Start a stream that appends per-batch partial aggregates under ``table_path``."""
+def run_partials(stream: DataFrame, reduce, table_path: str, available_now: bool = True):
+    """Start a stream that adds per-batch partial aggregates to ``table_path``."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        reduce(batch).write.mode("overwrite").parquet(f"{table_path}/batches/batch_id={batch_id}")
 
-    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(write_batch)
+    writer = writer.option("checkpointLocation", f"{table_path}/checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
+def _numbered(spark: SparkSession, folder: str) -> dict[int, object]:
+    """Complete ``<name>=<n>`` folders under ``folder``: n -> Hadoop path."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    done = [f.getPath() for f in fs.listStatus(root)
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    return {int(p.getName().split("=")[1]): p for p in done}
+
+
+def partials(spark: SparkSession, table_path: str) -> DataFrame:
+    """All partial rows: the newest snapshot and the batches after it."""
+    snapshots = _numbered(spark, f"{table_path}/snapshots")
+    upto = max(snapshots, default=-1)
+    paths = [snapshots[upto]] if snapshots else []
+    paths += [p for n, p in sorted(_numbered(spark, f"{table_path}/batches").items()) if n > upto]
+    return spark.read.parquet(*[p.toString() for p in paths])
+
+
 def first_response_current(spark: SparkSession, table_path: str) -> DataFrame:
     """A1 from the partial table: earliest first-response per case."""
-    return (
-        spark.read.parquet(table_path)
-        .groupBy("case_id")
-        .agg(F.expr("min(first_response_at) AS first_response_at"))
-    )
+    return _merge_first_response(partials(spark, table_path))
 
 
 def interaction_stats_current(spark: SparkSession, table_path: str) -> DataFrame:
     """A2 from the partial table: touches, last touch, mean duration per case."""
-    return (
-        spark.read.parquet(table_path)
-        .groupBy("case_id")
-        .agg(
-            F.expr("sum(n) AS interaction_count"),
-            F.expr("max(last_at) AS last_interaction_at"),
-            F.expr("sum(dur_sum) / sum(dur_n) AS avg_duration_minutes"),
-        )
-    )
+    return _merge_interactions(partials(spark, table_path)).selectExpr(
+        "case_id", "n AS interaction_count", "last_at AS last_interaction_at",
+        "dur_sum / dur_n AS avg_duration_minutes")
+
+
+def _merge_first_response(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("case_id").agg(F.expr("min(first_response_at) AS first_response_at"))
 
 
-def compact(spark: SparkSession, table_path: str, reduce) -> str:
-    """Fold all batches of a partial table into one snapshot (returns its folder).
+def _merge_interactions(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("case_id").agg(
+        F.expr("sum(n) AS n"), F.expr("max(last_at) AS last_at"),
+        F.expr("sum(dur_sum) AS dur_sum"), F.expr("sum(dur_n) AS dur_n"))
 
-    ``reduce`` is the partial aggregation of the table; applying it to the
-    union of the batches re-aggregates partials into one row per case (min,
-    max and sums are associative), so the snapshot is itself a valid batch.
+
+def compact(spark: SparkSession, table_path: str, merge) -> int:
+    """Fold everything so far into one snapshot and remove what it replaces.
+
+    ``merge`` is the table's merge of partial rows; the snapshot is written
+    first, so a failure leaves the old batches in use.  Run it between runs of
+    the stream.  Returns the last batch folded in.
     """
-    out = scratch_path(spark, "compacted")
-    reduce_partials = {
-        _partial_first_response: lambda df: df.groupBy("case_id").agg(
-            F.expr("min(first_response_at) AS first_response_at")),
-        _partial_interactions: lambda df: df.groupBy("case_id").agg(
-            F.expr("sum(n) AS n"), F.expr("max(last_at) AS last_at"),
-            F.expr("sum(dur_sum) AS dur_sum"), F.expr("sum(dur_n) AS dur_n")),
-    }[reduce]
-    reduce_partials(spark.read.parquet(table_path)).write.parquet(f"{out}/batch_id=0")
-    return out
+    snapshots = _numbered(spark, f"{table_path}/snapshots")
+    batches = _numbered(spark, f"{table_path}/batches")
+    upto = max([*snapshots, *batches], default=-1)
+    if upto > max(snapshots, default=-1):
+        merge(partials(spark, table_path)).write.mode("overwrite").parquet(
+            f"{table_path}/snapshots/upto={upto}")
+        for n, p in [*batches.items(), *snapshots.items()]:
+            if n <= upto:
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return upto
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The lasting partial table of an input."""
+    source = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark).rstrip('/')}/casekit-streams/{source}/{name}"
 
 
 def stream_case_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,20 +151,18 @@ def stream_case_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_first_response(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the event stream to the end of its input and read the merged A1."""
-    table = scratch_path(spark, "stream-first-response")
+    """Run the event stream over its new files and read the merged A1."""
+    table = _table(spark, sf_dir, "first-response")
     events = stg_case_events(bindings.case_events_from(
         bindings.read_stream(spark, sf_dir, "events", max_files_per_trigger)))
-    q = run_partials(events, _partial_first_response, table, f"{table}/_checkpoint")
-    q.awaitTermination()
+    run_partials(events, _partial_first_response, table).awaitTermination()
     return first_response_current(spark, table)
 
 
 def stream_interaction_stats(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the interaction stream to the end of its input and read the merged A2."""
-    table = scratch_path(spark, "stream-interactions")
+    """Run the interaction stream over its new files and read the merged A2."""
+    table = _table(spark, sf_dir, "interactions")
     inter = stg_interactions(bindings.interactions_from(
         bindings.read_stream(spark, sf_dir, "lineitem", max_files_per_trigger)))
-    q = run_partials(inter, _partial_interactions, table, f"{table}/_checkpoint")
-    q.awaitTermination()
+    run_partials(inter, _partial_interactions, table).awaitTermination()
     return interaction_stats_current(spark, table)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 
@@ -11,6 +14,8 @@ from casekit.plans.pipeline import build_all
 from casekit.sources import files
 from tests import fixture_cases as fx
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture(scope="module")
 def models(spark):
@@ -82,8 +87,7 @@ def test_caseload_and_over_capacity(models):
         1: (0, 0.0), 2: (2, 2.0), 3: (1, None), 4: (0, 0.0)}
     over = reports.over_capacity(models["mart_advocate_caseload"]).collect()
     assert [r.advocate_id for r in over] == [2]
-    names = reports.over_capacity_names(models["mart_advocate_caseload"]).collect()
-    assert [(r.team, r.names) for r in names] == [("resolution", "Bo Chan")]
+    assert [(r.team, r.name) for r in over] == [("resolution", "Bo Chan")]
 
 
 EXPECTED_BOTTLENECKS = {
@@ -172,11 +176,14 @@ def test_event_log(models):
 def test_table_helpers(spark, models):
     from pyspark.sql import types as T
 
-    from casekit.plans.pipeline import persist_layers
+    from casekit.plans.pipeline import layer_path, persist_layers, scratch_path
 
-    tables = persist_layers(spark, {"mart_ops_kpis": models["mart_ops_kpis"]}, prefix="golden")
-    assert files.mart_ready(spark, tables["mart_ops_kpis"])
-    assert not files.mart_ready(spark, "golden_marts.no_such_mart")
+    location = scratch_path(spark, "golden")
+    rows = persist_layers(spark, {"mart_ops_kpis": models["mart_ops_kpis"]}, "golden", location)
+    assert rows == {"mart_ops_kpis": 3}
+    tables = {"mart_ops_kpis": "golden_marts.mart_ops_kpis"}
+    assert files.mart_ready(spark, layer_path(location, "golden", "mart_ops_kpis"))
+    assert not files.mart_ready(spark, layer_path(location, "golden", "mart_bottlenecks"))
     empty = files.table_or_empty(spark, "golden_marts.no_such_mart",
                                  T.StructType([T.StructField("case_type", T.StringType())]))
     assert empty.count() == 0 and empty.columns == ["case_type"]
@@ -194,14 +201,14 @@ def test_table_helpers(spark, models):
 
 def test_persisted_layers_read_the_previous_layer(spark):
     """A full refresh stores every model; marts are computed from the stored fact."""
-    from casekit.plans.pipeline import persist_layers
+    from casekit.plans.pipeline import persist_layers, scratch_path
 
     m = build_all(spark, fx.raw_frames(spark), as_of=fx.AS_OF)
-    tables = persist_layers(spark, m, prefix="layered")
-    assert len(tables) == 11
+    rows = persist_layers(spark, m, "layered", scratch_path(spark, "layered"))
+    assert len(rows) == 11 and rows["fct_case_lifecycle"] == 5
     plan = m["mart_ops_kpis"]._jdf.queryExecution().optimizedPlan().toString()
     assert "fct_case_lifecycle" in plan or "layered_marts" in plan
-    got = {r.case_type: r.total_cases for r in spark.table(tables["mart_ops_kpis"]).collect()}
+    got = {r.case_type: r.total_cases for r in spark.table("layered_marts.mart_ops_kpis").collect()}
     assert got == {"billing_dispute": 1, "claim_denial": 2, "prior_authorization": 2}
 
 
@@ -222,18 +229,41 @@ def test_default_clock_is_now(spark):
 
 
 def test_command_line_run_and_report(spark, tmp_path, capsys):
-    """`python -m casekit run` stores the layers; `report` reads them back."""
+    """`run` stores the layers, twice over the same place; `report` reads them back."""
     from casekit.__main__ import main, report
 
-    fx.write_csv_files(str(tmp_path))
-    assert main(["run", "--raw", str(tmp_path), "--as-of", fx.AS_OF, "--prefix", "cli"], spark) == 0
-    out = capsys.readouterr().out
-    assert "mart_ops_kpis\tcli_marts.mart_ops_kpis" in out
-    h = report(spark, "exec_headline", "cli").collect()[0]
+    raw, layers = str(tmp_path / "raw"), str(tmp_path / "layers")
+    os.mkdir(raw)
+    fx.write_csv_files(raw)
+    for _ in range(2):
+        assert main(["run", "--raw", raw, "--location", layers, "--as-of", fx.AS_OF, "--prefix", "cli"], spark) == 0
+    assert "mart_ops_kpis\t3" in capsys.readouterr().out
+    h = report(spark, "exec_headline", layers, "cli").collect()[0]
     assert (h.active_cases, h.avg_days_to_resolution, h.stale_cases) == (3, 7.5, 2)
-    u = report(spark, "open_by_urgency", "cli").collect()
+    u = report(spark, "open_by_urgency", layers, "cli").collect()
     assert [(r.urgency, r.open_cases) for r in u] == [("high", 1), ("medium", 1), ("low", 1)]
-    assert main(["report", "kpi_table", "--prefix", "cli"], spark) == 0
+    assert main(["report", "kpi_table", "--location", layers, "--prefix", "cli"], spark) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 4
+
+
+def test_layers_outlive_the_process(tmp_path):
+    """`run` and `report` as two processes, as the README shows them; a rerun replaces."""
+    raw, layers, out = (str(tmp_path / n) for n in ("raw", "layers", "out"))
+    os.mkdir(raw)
+    fx.write_csv_files(raw)
+    env = dict(os.environ, PYTHONPATH=ROOT, PYSPARK_SUBMIT_ARGS="--master local[2] --driver-memory 1g "
+               "--conf spark.driver.host=127.0.0.1 --conf spark.ui.enabled=false pyspark-shell")
+
+    def casekit(*args):
+        return subprocess.run([sys.executable, "-m", "casekit", *args], cwd=tmp_path, env=env, check=True,
+                              capture_output=True, text=True, timeout=300).stdout.splitlines()
+
+    for buckets in ("2", "3"):
+        casekit("run", "--raw", raw, "--location", layers, "--as-of", fx.AS_OF, "--buckets", buckets)
+    got = casekit("report", "kpi_table", "--location", layers)
+    assert got[0].startswith("case_type,total_cases") and len(got) == 4
+    casekit("report", "caseload_table", "--location", layers, "--output", out)
+    assert any(n.endswith(".csv") for n in os.listdir(out))
 
 
 def test_command_line_reads_parquet_raw(spark, tmp_path):
@@ -243,17 +273,18 @@ def test_command_line_reads_parquet_raw(spark, tmp_path):
     for table, df in fx.raw_frames(spark).items():
         df.write.parquet(str(tmp_path / f"{table}.parquet"))
     assert set(RAW_FILES) == set(fx.raw_frames(spark))
+    layers = str(tmp_path / "layers")
     assert main(["run", "--raw", str(tmp_path), "--format", "parquet", "--as-of", fx.AS_OF,
-                 "--prefix", "cliparquet", "--buckets", "4"], spark) == 0
-    kpis = {r.case_type: r.total_cases for r in report(spark, "kpi_table", "cliparquet").collect()}
+                 "--location", layers, "--prefix", "cliparquet", "--buckets", "4"], spark) == 0
+    kpis = {r.case_type: r.total_cases for r in report(spark, "kpi_table", layers, "cliparquet").collect()}
     assert kpis == {"billing_dispute": 1, "claim_denial": 2, "prior_authorization": 2}
 
 
-def test_report_without_stored_layers_says_so(spark):
+def test_report_without_stored_layers_says_so(spark, tmp_path):
     import pytest as _pytest
 
     from casekit.__main__ import REPORTS, report
 
     assert len(REPORTS) >= 15                      # D1–D15 (+ metric text, reopen rate)
     with _pytest.raises(SystemExit, match="run the pipeline first"):
-        report(spark, "kpi_table", "never_built")
+        report(spark, "kpi_table", str(tmp_path / "never_built"))

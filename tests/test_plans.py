@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from casekit.plans import catalogue
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,7 +54,7 @@ def test_scans_are_pruned(spark):
     assert "json_tuple" not in plan            # unused metadata is not parsed
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {
+@pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - {
     "csv_round_trip", "table_round_trip", "mart_ready", "pipeline_all",
     "stream_first_response", "stream_interaction_stats", "stream_case_timings"}))
 def test_no_python_udf_in_plans(spark, name):
@@ -65,13 +66,13 @@ def test_no_python_udf_in_plans(spark, name):
 def test_bucketed_staging_makes_the_fact_shuffle_free(spark, no_broadcast):
     """Stored, bucketed staging tables co-locate every case_id join."""
     from casekit.plans.catalogue import models as build_models
-    from casekit.plans.pipeline import build_all, persist_layers
+    from casekit.plans.pipeline import persist_layers, scratch_path
 
     m = build_models(spark, SF)
     staged = {k: m[k] for k in ["stg_cases", "stg_case_events", "stg_interactions", "stg_feedback"]}
-    tables = persist_layers(spark, staged, prefix="bucketed", buckets=8)
+    persist_layers(spark, staged, "bucketed", scratch_path(spark, "bucketed"), buckets=8)
     no_broadcast()
-    stored = {k: spark.table(t) for k, t in tables.items()}
+    stored = {k: spark.table(f"bucketed_staging.{k}") for k in staged}
     from casekit.operators.lifecycle import case_lifecycle
     from casekit.operators.timings import case_timings
 
