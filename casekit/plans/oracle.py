@@ -24,7 +24,7 @@ _DOCUMENT = f"""CASE WHEN o_orderkey % 11 = 0 THEN NULL
              || ',"intake_source":"phone"'
              || ',"barriers":[' || CASE WHEN o_orderkey % 13 = 0 THEN '"none"' ELSE array_to_string(
                     list_transform(range(CAST(1 + o_orderkey % 3 AS INTEGER)),
-                        lambda i: '"' || {_BARRIERS}[1 + CAST((o_orderkey // 3 + 2 * i) % 5 AS INTEGER)] || '"'), ',') END
+                        lambda i: '"' || {_BARRIERS}[1 + CAST((o_orderkey // 3 + (1 + o_orderkey // 15 % 4) * i) % 5 AS INTEGER)] || '"'), ',') END
              || '],"support_flags":[' || CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN '"language"'
                     WHEN 2 THEN '"transportation"' ELSE '"language","transportation"' END
              || '],"submitted_documents":[' || CASE WHEN o_orderkey % 3 = 1 THEN '"id_card"' ELSE '' END || ']}}' END"""

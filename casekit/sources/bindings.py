@@ -93,7 +93,7 @@ def _metadata_json_sql(k: str) -> str:
     """
     domain = ", ".join(f"'{b}'" for b in META_BARRIERS)
     barriers = (f"array_join(transform(sequence(0, CAST({k} % 3 AS INT)), i -> concat('\"', "
-                f"element_at(array({domain}), CAST(1 + ({k} div 3 + 2 * i) % 5 AS INT)), '\"')), ',')")
+                f"element_at(array({domain}), CAST(1 + ({k} div 3 + (1 + {k} div 15 % 4) * i) % 5 AS INT)), '\"')), ',')")
     flags = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(META_SUPPORT_FLAGS))
     return (
         f"CASE WHEN {k} % 11 = 0 THEN NULL "

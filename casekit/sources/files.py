@@ -87,10 +87,13 @@ def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool =
     and keep files small.
     """
     text = _csv_text(spark, path, table, multi_line)
+    # Spark wants a data column read along with the corrupt record, also where
+    # a query (a count) needs none.
+    whole = f"length(concat('.', coalesce(`{text.columns[0]}`, ''))) > 0"
     if strict:
-        keep = f"CASE WHEN {CORRUPT} IS NOT NULL THEN raise_error(concat('broken row: ', {CORRUPT})) IS NULL ELSE true END"
+        keep = f"CASE WHEN {CORRUPT} IS NOT NULL THEN raise_error(concat('broken row: ', {CORRUPT})) IS NULL ELSE {whole} END"
     else:
-        keep = f"{CORRUPT} IS NULL"
+        keep = f"{CORRUPT} IS NULL AND {whole}"
     return text.where(keep).selectExpr(*[
         f"{_cell(f.name, f.dataType.simpleString(), strict)} AS `{f.name}`"
         for f in text_timestamps(schemas.RAW[table]).fields])
