@@ -11,8 +11,12 @@ confirmed give components.  Buckets of up to three members are then complete;
 in larger ones that still hold several components, members of different
 components are compared too (in blocks, so a hot bucket spreads over many
 tasks).  Pairs inside one component need no comparison: they cannot change
-the result.  Candidates must agree in enough min-hashes, and every link is
-confirmed on the full shingle sets made from the whole texts.
+the result.  Of the others only those are compared that share one of their
+rarest shingles, as two sets of the needed similarity must (prefix filter):
+a copy that was changed too much for any link has none to share, so a large
+group of copies costs no comparison of all with all.  Candidates must agree in
+enough min-hashes, and every link is confirmed on the full shingle sets made
+from the whole texts.
 
 Defined results: a null or empty text, or one without words, has an empty set
 (n_shingles 0) and is linked with nothing.  Fewer words than a shingle: the
@@ -194,7 +198,45 @@ def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.where(f"{a} <> {b}").selectExpr(f"least({a}, {b}) AS x", f"greatest({a}, {b}) AS y")
 
 
-def _across(keys: DataFrame, buckets: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
+def _prefixes(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int,
+              percent: int) -> DataFrame:
+    """(rep, n, skip, prefix): the shingles of which linked sets must share one.
+
+    Sets of n and m shingles at the threshold share ``ceil(percent * n / 100)``
+    or more, so they meet in the first ``n - ceil(...) + 1`` shingles of any
+    common order.  The order is rarest first among ``ids``; the ``skip``
+    shingles that only this set has come first and meet nobody.  Sets without
+    a shared shingle in their prefix are left out.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reps, texts = batch.column("rep"), [t or b"" for t in batch.column("body").to_pylist()]
+            for lo, hi in slices([len(t) for t in texts], SLICE_BYTES):
+                sets, bounds = shingle_sets(texts[lo:hi], k)
+                yield pa.RecordBatch.from_arrays(
+                    [reps.slice(lo, hi - lo),
+                     pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(sets.view(np.int64)))],
+                    names=["rep", "s"])
+
+    sets = stored(
+        docs.selectExpr(f"cast(`{id_col}` as bigint) AS rep", f"cast(`{text_col}` as binary) AS body")
+        .join(sized(ids), "rep").mapInArrow(explode, "rep bigint, s array<bigint>"), "candidate-sets")
+    single = sets.select("rep", F.explode("s").alias("sh"))
+    common = stored(
+        single.groupBy("sh").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "common-shingles")
+    shared = (
+        single.join(common, "sh").groupBy("rep")
+        .agg(F.array_sort(F.collect_list(F.struct("f", "sh"))).alias("c"))  # one text's shingles
+        .join(sets.selectExpr("rep", "size(s) AS n"), "rep"))
+    # Room left in the prefix after the shingles of this set alone.
+    room = f"(n - cast(ceil({percent} * n / 100) as int) + 1) - (n - size(c))"
+    return shared.where(f"{room} > 0").selectExpr(
+        "rep", "n", "n - size(c) AS skip", f"slice(c, 1, {room}).sh AS prefix")
+
+
+def _across(keys: DataFrame, buckets: DataFrame, comps: DataFrame, reps: DataFrame, docs: DataFrame,
+            id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """Pairs of different components that meet in a bucket of four or more."""
     member = (
         keys.join(sized(buckets.where("c > 3")), "key")
@@ -210,12 +252,15 @@ def _across(keys: DataFrame, buckets: DataFrame, comps: DataFrame, reps: DataFra
     mixed = stored(
         mixed.groupBy("c", "h1", "h2").agg(F.min("key").alias("key"))
         .selectExpr("key", f"cast(ceil(c / {BLOCK}) as int) AS blocks"), "mixed-buckets")
+    met = stored(member.join(sized(mixed), "key"), "mixed-members")
+    ids = stored(met.select("rep").distinct(), "mixed-ids")
+    prefixes = stored(_prefixes(ids, docs, id_col, text_col, k, percent), "prefixes")
     rows = (
-        member.join(sized(mixed), "key")
-        .join(reps.select("rep", "sig"), "rep")
+        met.join(prefixes, "rep").join(reps.select("rep", "sig"), "rep")
         .withColumn("b", F.expr("cast(pmod(xxhash64(rep, 3L), blocks) as int)"))
         .withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .selectExpr("key", "least(b, o) AS p", "greatest(b, o) AS q", "b", "rep", "comp", "sig"))
+        .selectExpr("key", "least(b, o) AS p", "greatest(b, o) AS q", "b", "rep", "comp", "sig",
+                    "n", "skip", "prefix"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -227,24 +272,39 @@ def _across(keys: DataFrame, buckets: DataFrame, comps: DataFrame, reps: DataFra
             rep = np.array([r[1] for r in held], dtype=np.int64)
             comp = np.array([r[2] for r in held], dtype=np.int64)
             sig = np.frombuffer(b"".join(r[3] for r in held), "<u2").reshape(-1, N_HASHES)
+            n, skip = (np.array([r[c] for r in held], dtype=np.int64) for c in (4, 5))
+            having: dict[int, list[tuple[int, int]]] = {}
+            for i, r in enumerate(held):
+                for at, token in enumerate(r[6]):
+                    having.setdefault(token, []).append((i, at))
+            posts = {t: np.array(x).T for t, x in having.items() if len(x) > 1}
             # Every wanted pair has a member outside the largest component.
             names, size = np.unique(comp, return_counts=True)
-            order = np.argsort(comp == names[size.argmax()], kind="stable")
-            block, rep, comp, sig = block[order], rep[order], comp[order], sig[order]
+            largest = comp == names[size.argmax()]
+            met_by = np.full(len(held), -1)
             xs, ys = [], []
-            for i in range(len(rep) - int(size.max())):
-                ok = comp[i + 1:] != comp[i]
-                if p != q:
-                    ok &= block[i + 1:] != block[i]
-                other = np.flatnonzero(ok) + i + 1
-                other = other[(sig[other] == sig[i]).sum(axis=1) >= MIN_AGREE]
-                xs.append(np.minimum(rep[i], rep[other]))
-                ys.append(np.maximum(rep[i], rep[other]))
+            for i in np.flatnonzero(~largest).tolist():
+                for at, token in enumerate(held[i][6]):
+                    if token not in posts:
+                        continue
+                    other, other_at = posts[token]
+                    # The first shingle two sets share bounds what they share.
+                    new = (met_by[other] != i) & (comp[other] != comp[i]) & (largest[other] | (other > i))
+                    if p != q:
+                        new &= block[other] != block[i]
+                    other, other_at = other[new], other_at[new]
+                    met_by[other] = i
+                    most = np.minimum(n[i] - skip[i] - at, n[other] - skip[other] - other_at)
+                    other = other[most * (100 + percent) >= percent * (n[i] + n[other])]
+                    other = other[(sig[other] == sig[i]).sum(axis=1) >= MIN_AGREE]
+                    xs.append(np.minimum(rep[i], rep[other]))
+                    ys.append(np.maximum(rep[i], rep[other]))
             xs, ys = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (xs, ys))
             return pa.RecordBatch.from_arrays([pa.array(xs), pa.array(ys)], names=["x", "y"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "p", "q", "b", "rep", "comp", "sig")]
+            cols = [batch.column(c).to_pylist()
+                    for c in ("key", "p", "q", "b", "rep", "comp", "sig", "n", "skip", "prefix")]
             for row in zip(*cols):
                 if row[:3] != group:
                     if held:
@@ -277,7 +337,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     links = confirmed(stored(_agreeing(stars, reps), "pairs"), docs, id_col, text_col, k, percent)
     comps = stored(components(links), "components")
     across = stored(
-        _across(keys, buckets, comps, reps).join(stars, ["x", "y"], "left_anti"), "across")
+        _across(keys, buckets, comps, reps, docs, id_col, text_col, k, percent).join(stars, ["x", "y"], "left_anti"), "across")
     if not across.isEmpty():
         links = links.union(confirmed(across, docs, id_col, text_col, k, percent))
         comps = stored(components(links), "components")
