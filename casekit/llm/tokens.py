@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,10 +45,11 @@ SHARD_SIZE = 4096  # sequences
 KEY = 0x5EED
 NO_ID = -(1 << 63)
 PACK_BYTES = 8 << 20  # a task's buffered records before they are sent
-CACHED_WORDS = 500_000
+CACHED_WORDS = 600_000
 
-_UNSAFE = re.compile(r" \s|\s |^ | $")
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
+# White space other than the space and the line break.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
 class Tokenizer(dict):
@@ -67,16 +69,23 @@ class Tokenizer(dict):
             "file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.bpe.encode_ordinary(text), dtype="<u2").tobytes()
+        return struct.pack(f"<{len(n := self.bpe.encode_ordinary(text))}H", *n)
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = out = self.ids(" " + word)
+        out = self.ids(" " + word)
+        if len(self) < CACHED_WORDS:  # frequent words come early and stay
+            self[word] = out
         return out
 
+    @staticmethod
+    def words(text: str) -> list[str]:
+        """The text cut before every space between two non-spaces."""
+        plain = not (text.startswith(" ") or text.endswith(" ") or "  " in text or " \n" in text
+                     or "\n " in text or any(c in text for c in _OTHER_SPACE))
+        return text.split(" ") if plain else _SPACE.split(text)
+
     def encode(self, text: str) -> bytes:
-        words = _SPACE.split(text) if _UNSAFE.search(text) else text.split(" ")
+        words = self.words(text)
         return self.ids(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
 
@@ -135,6 +144,13 @@ def _scan(docs: DataFrame) -> DataFrame:
         "xxhash64(_metadata.file_path) AS f", "_metadata.row_index AS r")
 
 
+def _binary(data: bytes, sizes: np.ndarray) -> pa.Array:
+    """Binary values of the given sizes that lie one after another."""
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
 def _counter(path: str):
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = tokenizer(path).encode
@@ -228,11 +244,10 @@ def write_shards(docs: DataFrame, out: str, path: str = TOKENIZER, seq_len: int
                                           for c in ("shard", "raw", "body"))):
                 data = codec.decompress(body, decompressed_size=raw, asbytes=True)
                 n = raw // (8 + size)
-                slots = np.frombuffer(data[:8 * n], dtype=np.int64)
-                records = [data[8 * n + i * size:8 * n + (i + 1) * size] for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, shard, np.int32)), pa.array(slots),
-                     pa.array(records, pa.binary())], names=["shard", "slot", "record"])
+                    [pa.array(np.full(n, shard, np.int32)),
+                     pa.array(np.frombuffer(data[:8 * n], dtype=np.int64)),
+                     _binary(data[8 * n:], np.full(n, size))], names=["shard", "slot", "record"])
 
     shards = -(-total // shard_size)
     (
@@ -271,11 +286,12 @@ def read_slots(spark: SparkSession, path: str, first: int = 0, last: int | None
                 doc = np.ascontiguousarray(data[:, :8]).view("<i8").ravel()
                 seq = np.ascontiguousarray(data[:, 8:12]).view("<i4").ravel()
                 used = np.ascontiguousarray(data[:, 12:16]).view("<i4").ravel()
-                ids = [row[16:16 + 2 * n].tobytes() for row, n in zip(data[:, :size], used.tolist())]
+                filled = np.arange(2 * seq_len) < 2 * used[:, None]
+                ids = data[:, 16:size][filled].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slot), pa.array(np.full(len(slot), shard, np.int32)),
                      pa.array(doc, mask=doc == NO_ID), pa.array(seq), pa.array(used),
-                     pa.array(ids, pa.binary())],
+                     _binary(ids, 2 * used)],
                     names=["slot", "shard", "doc_id", "seq_no", "n_tokens", "ids"])
 
     return files.mapInArrow(cut, schema)
