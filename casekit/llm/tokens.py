@@ -1,21 +1,21 @@
 """Operator 4: token ids as fixed-stride shards in training order.
 
 Every document becomes a token stream (its ids and one end id), cut into
-sequences of ``seq_len`` ids.  Sequences are numbered 0..N-1 in file and row
-order, and a keyed Feistel permutation with cycle-walking gives each number
-its global slot.  Slots are dealt by range: partition s holds exactly the
-slots of shard s and writes them as records of one fixed stride, so a reader
-finds slot k at ``(k % shard_size) * stride`` of shard ``k // shard_size`` and
-can stop and resume anywhere.
+sequences of ``seq_len`` ids.  A sequence's number is counted in file and row
+order over what every document could need at most (a token is a byte or
+more), so texts are tokenised only once.  A keyed Feistel permutation with
+cycle-walking turns the numbers into places; the sequences in order of place
+have the global slots 0..N-1.  Places are dealt by range: partition s holds
+``shard_span`` of them and writes its sequences in order as records of one
+fixed stride.  ``manifest`` has each shard's first slot, so a reader finds
+slot k at ``(k - first) * stride`` of its shard and can stop and resume
+anywhere.
 
 A record is doc_id (int64), seq_no and n_tokens (int32), ``seq_len`` ids
 (uint16, padded with the end id) and a newline, all little-endian.  Shards are
 written by Spark's text writer (one line per record) and its committer, so a
 lost task leaves nothing half-written.
 
-The counting pass keeps counts only, and the writing pass tokenises again:
-storing all tokens in between would cost more disk than the shards.
-
 Defined results: a null or empty text gives one sequence holding only the end
 id.  A null doc_id is stored as the smallest int64 and read back as null.
 Repeated rows are separate sequences.  An empty table gives no shards.  Extra
@@ -41,7 +41,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END_ID = 50256
 SEQ_LEN = 256
-SHARD_SIZE = 4096  # sequences
+SHARD_SPAN = 8192  # places of a shard
 KEY = 0x5EED
 NO_ID = -(1 << 63)
 PACK_BYTES = 8 << 20  # a task's buffered records before they are sent
@@ -151,25 +151,13 @@ def _binary(data: bytes, sizes: np.ndarray) -> pa.Array:
         pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
 
-def _counter(path: str):
-    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = tokenizer(path).encode
-        for batch in batches:
-            yield pa.array([len(encode(t)) // 2 + 1 for t in batch.to_pylist()], pa.int64())
-
-    count.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(count, returnType="bigint")
-
-
-def numbering(docs: DataFrame, path: str = TOKENIZER, seq_len: int = SEQ_LEN) -> tuple[DataFrame, int]:
-    """((f, r, start) with the first sequence number of each row, and N).
+def numbering(docs: DataFrame, seq_len: int = SEQ_LEN) -> tuple[DataFrame, int]:
+    """((f, r, start) with the first number of each row, and how many there are).
 
     Running totals go over blocks of 4096 rows, then inside each block.
     """
-    counts = stored(
-        _scan(docs).select("f", "r", _counter(path)("body").alias("n"))
-        .selectExpr("f", "r", "r div 4096 AS b", f"(n + {seq_len - 1}) div {seq_len} AS s"),
-        "token-counts")
+    counts = stored(_scan(docs).selectExpr(
+        "f", "r", "r div 4096 AS b", f"octet_length(body) div {seq_len} + 1 AS s"), "token-bounds")
     blocks = counts.groupBy("f", "b").agg(F.sum("s").alias("s"))
     blocks = stored(blocks.selectExpr(
         "f", "b", "s", "sum(s) OVER (ORDER BY f, b) - s AS base"), "token-blocks")
@@ -181,11 +169,11 @@ def numbering(docs: DataFrame, path: str = TOKENIZER, seq_len: int = SEQ_LEN) ->
 
 
 def write_shards(docs: DataFrame, out: str, path: str = TOKENIZER, seq_len: int = SEQ_LEN,
-                 shard_size: int = SHARD_SIZE, key: int = KEY) -> int:
-    """Write all sequences under ``out``; returns their number."""
-    starts, total = numbering(docs, path, seq_len)
+                 shard_span: int = SHARD_SPAN, key: int = KEY) -> bool:
+    """Write all sequences under ``out``; false if there are none."""
+    starts, total = numbering(docs, seq_len)
     if not total:
-        return 0
+        return False
     order = Feistel(total, key)
     size = 16 + 2 * seq_len
     end = np.array([END_ID], dtype="<u2").tobytes()
@@ -198,15 +186,15 @@ def write_shards(docs: DataFrame, out: str, path: str = TOKENIZER, seq_len: int
         weight = 0
 
         def flush() -> pa.RecordBatch:
-            slots = order(np.concatenate(index))
+            places = order(np.concatenate(index))
             record = np.frombuffer(b"".join(held), dtype=np.uint8).reshape(-1, size)
-            by_slot = np.argsort(slots, kind="stable")
-            slots, record = slots[by_slot], record[by_slot]
-            shards = slots // shard_size
+            by_place = np.argsort(places, kind="stable")
+            places, record = places[by_place], record[by_place]
+            shards = places // shard_span
             cut = np.flatnonzero(np.diff(shards, prepend=-1))
             bodies, sizes = [], []
-            for a, b in zip(cut, [*cut[1:], len(slots)]):
-                raw = slots[a:b].tobytes() + record[a:b].tobytes()
+            for a, b in zip(cut, [*cut[1:], len(places)]):
+                raw = places[a:b].tobytes() + record[a:b].tobytes()
                 sizes.append(len(raw))
                 bodies.append(codec.compress(raw, asbytes=True))
             return pa.RecordBatch.from_arrays(
@@ -247,23 +235,33 @@ def write_shards(docs: DataFrame, out: str, path: str = TOKENIZER, seq_len: int
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, shard, np.int32)),
                      pa.array(np.frombuffer(data[:8 * n], dtype=np.int64)),
-                     _binary(data[8 * n:], np.full(n, size))], names=["shard", "slot", "record"])
+                     _binary(data[8 * n:], np.full(n, size))], names=["shard", "place", "record"])
 
-    shards = -(-total // shard_size)
+    shards = -(-total // shard_span)
     (
         _scan(docs).join(sized(starts), ["f", "r"]).select("doc_id", "body", "start")
         .mapInArrow(pack, "shard int, raw int, body binary")
         .repartitionById(shards, "shard")
-        .mapInArrow(unpack, "shard int, slot bigint, record binary")
-        .sortWithinPartitions("shard", "slot")
+        .mapInArrow(unpack, "shard int, place bigint, record binary")
+        .sortWithinPartitions("shard", "place")
         .selectExpr("shard", "cast(record as string) AS value")
         .write.partitionBy("shard").option("lineSep", "\n").text(out)
     )
-    return total
+    return True
+
+
+def manifest(spark: SparkSession, path: str, seq_len: int = SEQ_LEN) -> DataFrame:
+    """(shard, first, n): the first slot and number of sequences of each shard.
+
+    Read from the files' lengths: one row per shard, none of their contents.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    sizes = files.groupBy("shard").agg((F.sum("length") / (17 + 2 * seq_len)).cast("bigint").alias("n"))
+    return sizes.selectExpr("shard", "sum(n) OVER (ORDER BY shard) - n AS first", "n")
 
 
 def read_slots(spark: SparkSession, path: str, first: int = 0, last: int | None = None,
-               seq_len: int = SEQ_LEN, shard_size: int = SHARD_SIZE) -> DataFrame:
+               seq_len: int = SEQ_LEN) -> DataFrame:
     """(slot, shard, doc_id, seq_no, n_tokens, ids binary) for slots first..last-1.
 
     Only the shards that hold the range are opened; ``first`` is where an
@@ -271,16 +269,20 @@ def read_slots(spark: SparkSession, path: str, first: int = 0, last: int | None
     """
     size, stride = 16 + 2 * seq_len, 17 + 2 * seq_len
     schema = "slot bigint, shard int, doc_id bigint, seq_no int, n_tokens int, ids binary"
-    files = spark.read.format("binaryFile").load(path).select("shard", "content")
-    files = files.where(f"shard >= {first // shard_size}")
+    wanted = manifest(spark, path, seq_len).where(f"first + n > {first}")
     if last is not None:
-        files = files.where(f"shard <= {(last - 1) // shard_size}")
+        wanted = wanted.where(f"first < {last}")
+    wanted = stored(wanted.select("shard", "first"), "token-manifest")
+    files = (
+        spark.read.format("binaryFile").load(path).select("shard", "content")
+        .join(sized(wanted), "shard").select("shard", "first", "content"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
+            for shard, start, content in zip(batch.column("shard").to_pylist(), batch.column("first").to_pylist(),
+                                             batch.column("content")):
                 data = np.frombuffer(content.as_buffer(), dtype=np.uint8).reshape(-1, stride)
-                slot = np.arange(len(data), dtype=np.int64) + shard * shard_size
+                slot = np.arange(len(data), dtype=np.int64) + start
                 keep = slot >= first if last is None else (slot >= first) & (slot < last)
                 data, slot = data[keep], slot[keep]
                 doc = np.ascontiguousarray(data[:, :8]).view("<i8").ravel()
@@ -298,16 +300,16 @@ def read_slots(spark: SparkSession, path: str, first: int = 0, last: int | None
 
 
 def materialise(docs: DataFrame, path: str = TOKENIZER, seq_len: int = SEQ_LEN,
-                shard_size: int = SHARD_SIZE, key: int = KEY) -> DataFrame:
+                shard_span: int = SHARD_SPAN, key: int = KEY) -> DataFrame:
     """Write the shards to the shared folder and read every slot back:
     (slot, shard, doc_id, seq_no, n_tokens, ids_sha256)."""
     spark = docs.sparkSession
     prepare(spark, "64")  # rows are packs and whole shards, a few MB each
     out = scratch_path(spark, "token-shards")
-    if not write_shards(docs, out, path, seq_len, shard_size, key):
+    if not write_shards(docs, out, path, seq_len, shard_span, key):
         return spark.createDataFrame(
             [], "slot bigint, shard int, doc_id bigint, seq_no int, n_tokens int, ids_sha256 string")
-    return read_slots(spark, out, 0, None, seq_len, shard_size).selectExpr(
+    return read_slots(spark, out, 0, None, seq_len).selectExpr(
         "slot", "shard", "doc_id", "seq_no", "n_tokens", "sha2(ids, 256) AS ids_sha256")
 
 
