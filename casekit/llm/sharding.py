@@ -5,7 +5,8 @@ aggregated per slot (a table of at most ``VIRTUAL_SLOTS`` rows, whatever the
 input), and a versioned slot-to-shard map is laid over them: version 0 deals
 the slots largest first to the lightest shard, later versions move only the
 slots a rebalance needs.  Records never look at the map until they are
-written, so an edit moves slots, not single records.
+written, so an edit moves slots, not single records.  The query stores version
+0 and the version with one more shard, and gives each record's place in both.
 
 Defined results: a null text has no bytes; its size is the fixed record
 overhead and its crc32 is that of the empty text.  A null doc_id hashes by
@@ -19,9 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casekit.llm.common import stored, table
+from casekit.plans.pipeline import scratch_path
 
 VIRTUAL_SLOTS = 8192
 OVERHEAD = 16
+MAP = "version int, vslot bigint, shard int, bytes bigint, n bigint"
 
 
 def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -102,11 +105,16 @@ def store_map(slot_map: DataFrame, path: str) -> None:
 
 def latest_map(spark, path: str) -> DataFrame:
     """The newest stored version."""
-    history = spark.read.parquet(path)
+    history = spark.read.schema(MAP).parquet(path)
     newest = history.agg(F.max("version").alias("version"))
     return history.join(F.broadcast(newest), "version")  # one row
 
 
+def map_version(spark, path: str, version: int) -> DataFrame:
+    """One stored version."""
+    return spark.read.schema(MAP).parquet(path).where(f"version = {version}")
+
+
 def assign(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
     """Records with ``shard`` and ``slot``, the gapless position in the shard.
 
@@ -130,10 +138,22 @@ def assign(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 def shard_documents(docs: DataFrame, shards: int = 40, virtual_slots: int = VIRTUAL_SLOTS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, size, text_crc32, vslot, shard, slot) under the law ``bytes``."""
+    """(doc_id, size, text_crc32, vslot, shard, slot, rebalanced_shard) under the law ``bytes``.
+
+    ``rebalanced_shard`` is the record's shard by the newest version of the
+    map, where one more shard has taken its part of the slots.
+    """
+    spark = docs.sparkSession
     recs = stored(records(docs, id_col, text_col, virtual_slots), "shard-records")
-    slot_map = stored(initial_map(slot_bytes(recs), shards), "slot-map")
-    return assign(recs, slot_map)
+    path = scratch_path(spark, "slot-map")
+    store_map(initial_map(slot_bytes(recs), shards), path)
+    store_map(add_shard(latest_map(spark, path), shards), path)
+    # By number: Spark takes reads of one folder for equal and would reuse the
+    # newest version for an older listing.
+    first = map_version(spark, path, 0)
+    newest = latest_map(spark, path).selectExpr("vslot", "cast(shard as int) AS rebalanced_shard")
+    # At most VIRTUAL_SLOTS rows: a proven bound for the broadcast.
+    return assign(recs, first).join(F.broadcast(newest), "vslot")
 
 
 def op10_sharding(spark, sf_dir: str) -> DataFrame:
@@ -141,4 +161,4 @@ def op10_sharding(spark, sf_dir: str) -> DataFrame:
     out = shard_documents(table(spark, sf_dir, "documents"), 40)
     return out.selectExpr(
         "doc_id", "size", "text_crc32", "'bytes' AS law", "shard", "slot",
-        "cast(null as int) AS grown_shard", "vslot")
+        "cast(null as int) AS grown_shard", "vslot", "rebalanced_shard")

@@ -65,3 +65,14 @@ def test_a_new_shard_only_takes(spark, awkward):
     moved = [r for r in new if r.shard != old[r.vslot]]
     assert moved and all(r.shard == 6 for r in moved)
     assert spark.read.parquet(path).selectExpr("count(distinct version)").first()[0] == 2
+
+
+def test_the_query_gives_the_next_version_of_the_map(spark):
+    got = entry.queries()["op10_sharding"](spark, "/root/testdata/sf0.01").toPandas()
+    assert got.shard.between(0, 39).all() and got.rebalanced_shard.between(0, 40).all()
+    moved = got[got["shard"] != got.rebalanced_shard]
+    assert len(moved) and (moved.rebalanced_shard == 40).all()
+    assert (got.groupby("vslot").rebalanced_shard.nunique() == 1).all()
+    fair = got["size"].sum() / 41
+    old, new = (got.groupby(c)["size"].sum() for c in ("shard", "rebalanced_shard"))
+    assert (new.drop(40) >= old.clip(upper=fair) - 1).all()  # none gives below the fair share
