@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casekit.llm import decontaminate, langid, lm, mixing, neardup, quality, sharding, tokens, topk, warc
+from casekit.llm import decontaminate, langid, lm, mixing, neardup, quality, runs, sharding, tokens, topk, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_language_id": langid.op8_language_id,
         "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
+        "op12_periodic_runs": runs.op12_periodic_runs,
     }
 
 
