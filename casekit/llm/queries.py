@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casekit.llm import decontaminate, langid, lm, mixing, neardup, quality, runs, sharding, tokens, topk, warc
+from casekit.llm import decontaminate, hardneg, langid, lm, mixing, neardup, quality, runs, sharding, tokens, topk, vecdup, warc
 
 
 def queries() -> dict:
@@ -17,7 +17,9 @@ def queries() -> dict:
         "op8_language_id": langid.op8_language_id,
         "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
+        "op11_hard_negatives": hardneg.op11_hard_negatives,
         "op12_periodic_runs": runs.op12_periodic_runs,
+        "op13_vector_duplicates": vecdup.op13_vector_duplicates,
     }
 
 
@@ -29,4 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_topk": topk.ORACLE,
         "op7_mixing": mixing.ORACLE,
         "op9_warc": warc.ORACLE,
+        "op11_hard_negatives": hardneg.ORACLE,
+        "op13_vector_duplicates": vecdup.ORACLE,
     }
