@@ -8,6 +8,10 @@ slots a rebalance needs.  Records never look at the map until they are
 written, so an edit moves slots, not single records.  The query stores version
 0 and the version with one more shard, and gives each record's place in both.
 
+A record hashes by its id.  Records that repeat an id are told apart by the
+text, and equal records by a row number given once, when the records are
+stored: a hot id or row spreads over all slots like any other.
+
 Defined results: a null text has no bytes; its size is the fixed record
 overhead and its crc32 is that of the empty text.  A null doc_id hashes by
 the text instead.  Repeated rows are separate records.  An empty table gives
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casekit.llm.common import stored, table
+from casekit.llm.common import sized, stored, table
 from casekit.plans.pipeline import scratch_path
 
 VIRTUAL_SLOTS = 8192
@@ -29,19 +33,30 @@ MAP = "version int, vslot bigint, shard int, bytes bigint, n bigint"
 
 def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             virtual_slots: int = VIRTUAL_SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, vslot): one row per record.
+    """(doc_id, size, text_crc32, vslot): one row per record, stored.
 
-    The slot comes from the id's md5, so a hot text (one text holding a third
-    of all rows) still spreads over all slots.
+    The slot comes from the md5 of the id, for repeated ids of id, text
+    checksum and size, and for equal records of their row number, too.
     """
     text = f"encode(coalesce(`{text_col}`, ''), 'UTF-8')"
-    key = f"coalesce(cast(`{id_col}` as string), `{text_col}`, '')"
-    return docs.selectExpr(
+    rows = stored(docs.selectExpr(
         f"`{id_col}` AS doc_id",
         f"cast(octet_length({text}) + {OVERHEAD} as bigint) AS size",
         f"crc32({text}) AS text_crc32",
-        f"cast(conv(substr(md5({key}), 1, 8), 16, 10) as bigint) % {virtual_slots} AS vslot",
-    )
+        "monotonically_increasing_id() AS __row"), "shard-rows")
+    same = ["__id", "text_crc32", "size"]
+    rows = rows.withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    # Counted map-side first, so a hot id costs a row a task.
+    kinds = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("__n"))
+    ids = kinds.groupBy("__id").agg(F.sum("__n").alias("__rows"), F.max("__n").alias("__most"))
+    again = stored(ids.where("__rows > 1").select("__id", "__most"), "shard-repeats")
+    key = ("concat_ws('|', __id, if(__most IS NOT NULL OR doc_id IS NULL, concat(text_crc32, '|', size), ''), "
+           "if(__most > 1, cast(__row as string), ''))")
+    return stored(
+        rows.join(sized(again), "__id", "left").selectExpr(
+            "doc_id", "size", "text_crc32",
+            f"cast(conv(substr(md5({key}), 1, 8), 16, 10) as bigint) % {virtual_slots} AS vslot"),
+        "shard-records")
 
 
 def slot_bytes(recs: DataFrame) -> DataFrame:
@@ -78,23 +93,53 @@ def initial_map(slots: DataFrame, shards: int) -> DataFrame:
 def add_shard(slot_map: DataFrame, new_shard: int) -> DataFrame:
     """Next version of the map, with one more shard.
 
-    Each old shard gives slots to the new one until it is down to the new fair
-    share; no slot moves between old shards.  Returns the whole map with
-    ``version`` raised by one.
+    The fair share is found by water-filling: slots larger than the share of
+    what is left are set aside with a shard each.  Slots go to the new shard
+    largest first, as long as it stays within the fair share and the shard
+    that gives does not fall below it.  Where slots are too coarse for that and
+    the new shard has less than half its share, shards also give slots that
+    leave them at least as full as the new one.  No slot moves between old
+    shards.  Returns the whole map with ``version`` raised by one.
     """
-    w = Window.partitionBy("shard")
-    before = F.coalesce(
-        F.sum("bytes").over(w.orderBy("bytes", "vslot").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0))
-    # The map is bounded by VIRTUAL_SLOTS, so one task may hold its total.
-    total = F.sum("bytes").over(Window.partitionBy("version"))
+    left = f"named_struct('bytes', cast(-sum_neg as bigint), 'open', {new_shard + 1}, 'go', true)"
+    fair = f"""
+        aggregate(slots, {left},
+          (a, s) -> if(a.go AND -s.neg * a.open > a.bytes,
+            named_struct('bytes', a.bytes + s.neg, 'open', a.open - 1, 'go', true),
+            named_struct('bytes', a.bytes, 'open', a.open, 'go', false)),
+          a -> a.bytes / a.open)"""
+    load = (f"transform(sequence(0, {new_shard - 1}), i -> "
+            "aggregate(slots, 0L, (a, s) -> if(s.shard = i, a - s.neg, a)))")
+
+    def deal(start: str, moves: str) -> str:
+        """One pass over the slots: which of them move, and the loads after it."""
+        now = "(NOT a.moved[s.i] AND (" + moves + "))"
+        return f"""
+        aggregate(transform(slots, (s, i) -> named_struct('i', i, 'b', -s.neg, 'shard', s.shard)), {start},
+          (a, s) -> named_struct(
+            'load', transform(a.load, (v, i) -> if(i = s.shard AND {now}, v - s.b, v)),
+            'taken', a.taken + if({now}, s.b, 0L),
+            'moved', transform(a.moved, (m, i) -> if(i = s.i, m OR {now}, m))))"""
+
+    start = ("named_struct('load', load, 'taken', 0L, 'moved', transform(slots, s -> false))")
+    fine = "a.taken + s.b <= fair AND a.load[s.shard] - s.b >= fair"
+    coarse = "a.taken < fair / 2 AND a.taken + s.b <= a.load[s.shard] - s.b"
+    # The map is bounded by VIRTUAL_SLOTS, so one task may hold it; a null
+    # version (an empty map) gives no rows.
+    listed = slot_map.groupBy("version").agg(
+        F.expr("array_sort(collect_list(named_struct('neg', -bytes, 'vslot', vslot, 'shard', shard, 'n', n)))"
+               " AS slots"),
+        F.expr("sum(-bytes) AS sum_neg"))
+    dealt = (
+        listed.selectExpr("version", "slots", f"{fair} AS fair", f"{load} AS load")
+        .selectExpr("version", "slots", "fair", f"{deal(start, fine)} AS a")
+        .selectExpr("version", "slots", f"{deal('a', coarse)} AS a")
+    )
     return (
-        slot_map.withColumn("__excess", F.sum("bytes").over(w) - total / (new_shard + 1))
-        .withColumn("__before", before)
-        .selectExpr(
-            "version + 1 AS version", "vslot",
-            f"if(__before + bytes <= __excess, {new_shard}, shard) AS shard",
-            "bytes", "n")
+        dealt.selectExpr("version", "explode(arrays_zip(slots, a.moved)) AS e")
+        .selectExpr("version + 1 AS version", "e.slots.vslot AS vslot",
+                    f"if(e.moved, {new_shard}, e.slots.shard) AS shard",
+                    "-e.slots.neg AS bytes", "e.slots.n AS n")
     )
 
 
@@ -144,7 +189,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, virtual_slots: int = VIRT
     map, where one more shard has taken its part of the slots.
     """
     spark = docs.sparkSession
-    recs = stored(records(docs, id_col, text_col, virtual_slots), "shard-records")
+    recs = records(docs, id_col, text_col, virtual_slots)
     path = scratch_path(spark, "slot-map")
     store_map(initial_map(slot_bytes(recs), shards), path)
     store_map(add_shard(latest_map(spark, path), shards), path)
