@@ -10,11 +10,14 @@ ancestors' other children only when all siblings are full.
 A leaf's stream is epoch 0, epoch 1, ... of its documents, each epoch in its
 own seeded order; the leaf takes the first ``budget`` tokens of that stream.
 The cut is found by narrowing two bytes of the order key at a time over
-partial sums, so no task ever sorts a whole leaf, however hot.
+partial sums, so no task ever sorts a whole leaf, however hot.  Rows of equal
+key (repeated ids) are ordered by their tokens; rows equal in both are
+interchangeable and are numbered, task by task, only where the cut falls.
 
 Defined results: null lang or source counts as the empty string.  A null or
 empty text has no tokens and is never taken.  Rows with equal doc_id in one
-leaf share their order key and are taken together.  An empty table gives an
+leaf share their order key and are separate documents: the budget ends inside
+one of them.  An empty table gives an
 empty result.  Integer division may leave up to one token per child unused.
 Extra columns are kept by ``select`` and ignored by the plan.
 """
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casekit.llm.common import stored, table
+from casekit.llm.common import sized, stored, table
 
 TREE = ["domain", "lang", "source"]
 SEED = 17
@@ -124,10 +127,16 @@ def mixture_plan(docs: DataFrame, percent: int = PERCENT, max_epochs: int = MAX_
                  seed: int = SEED) -> DataFrame:
     """One row per leaf: tokens, budget, whole epochs and the cut of the last.
 
-    ``cut_key`` is the order key of the document the budget ends in and
-    ``cut_tokens`` how many of its tokens belong to the prefix.
+    ``cut_key`` and ``cut_n`` are the order key and the tokens of the rows the
+    budget ends in, and ``cut_tokens`` how many tokens of them, one row after
+    the other, belong to the prefix.
     """
-    units = stored(leaf_tokens(docs, domain), "mix-units")
+    return plan_of(stored(leaf_tokens(docs, domain), "mix-units"), percent, max_epochs, weights, seed)
+
+
+def plan_of(units: DataFrame, percent: int = PERCENT, max_epochs: int = MAX_EPOCHS,
+            weights: dict[str, str] | None = None, seed: int = SEED) -> DataFrame:
+    """The plan (see ``mixture_plan``) of stored units."""
     leaves = units.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens"))
     plan = leaf_budgets(stored(leaves, "mix-leaves"), percent, max_epochs, weights)
     plan = stored(plan.selectExpr(
@@ -146,62 +155,84 @@ def mixture_plan(docs: DataFrame, percent: int = PERCENT, max_epochs: int = MAX_
             .join(edge, [*TREE, "__p"])
             .select(*TREE, "key", "n_tokens", "rem", F.col("__before").alias("before"))
         )
-    last = keyed.groupBy(*TREE, "rem", "before", "key").agg(F.sum("n_tokens").alias("s"))
-    w = Window.partitionBy(*TREE).orderBy("key")
+    last = keyed.groupBy(*TREE, "rem", "before", "key", "n_tokens").agg(F.sum("n_tokens").alias("s"))
+    w = Window.partitionBy(*TREE).orderBy("key", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
         last.withColumn("__upto", F.col("before") + F.sum("s").over(w))
         .where("__upto - s < rem AND rem <= __upto")
-        .select(*TREE, F.col("key").alias("cut_key"),
+        .select(*TREE, F.col("key").alias("cut_key"), F.col("n_tokens").alias("cut_n"),
                 (F.col("rem") - F.col("__upto") + F.col("s")).alias("cut_tokens"))
     )
     return stored(
-        plan.join(cuts, TREE, "left").fillna({"cut_key": "", "cut_tokens": 0}), "mix-cuts")
+        plan.join(cuts, TREE, "left").fillna({"cut_key": "", "cut_n": 0, "cut_tokens": 0}), "mix-cuts")
 
 
 def _key(seed: int, epoch: str, doc_id: str) -> str:
     return f"md5(concat('{seed}|', cast({epoch} as string), '|', coalesce(cast({doc_id} as string), '')))"
 
 
-def taken(units: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
-    """Units with the tokens each gives to the mixture (0: not taken).
-
-    The plan is one row per leaf and the join is on the leaf; a hot leaf is
-    split by adaptive execution, or the plan is broadcast if it is small.
+def _with_cut(rows: DataFrame, tokens: str, cols: dict[str, str], plan: DataFrame, seed: int) -> DataFrame:
+    """Rows with the plan's columns and ``__mix_part``, the tokens (SQL
+    ``tokens``) of the last epoch's prefix that are theirs; rows with no tokens
+    in the mixture are left out.  Added columns begin with ``__mix_``.
     """
-    return (
-        units.join(plan, TREE)
-        .withColumn("__key", F.expr(_key(seed, "full_epochs", "doc_id")))
-        .withColumn("cut_part", F.expr(
-            "CASE WHEN __key < cut_key THEN n_tokens WHEN __key = cut_key "
-            "THEN least(n_tokens, cut_tokens) ELSE 0 END"))
-        .withColumn("tokens_taken", F.expr("full_epochs * n_tokens + cut_part"))
-        .drop("__key")
+    p = plan.select(*[F.col(c).alias(f"__mix_{c}") for c in [*TREE, "full_epochs", "cut_key", "cut_n", "cut_tokens"]])
+    leaf = [f"__mix_{c}" for c in TREE]
+    # The plan is one row per leaf; adaptive execution splits a hot leaf, or
+    # broadcasts the plan if it measures small.
+    keyed = (
+        rows.withColumns({f"__mix_{n}": F.expr(e) for n, e in cols.items()}).join(p, leaf)
+        .withColumn("__mix_key", F.expr(_key(seed, "__mix_full_epochs", "doc_id")))
+    )
+    at_key = "__mix_key = __mix_cut_key"
+    inside = f"__mix_key < __mix_cut_key OR ({at_key} AND ({tokens}) < __mix_cut_n)"
+    on_cut = f"{at_key} AND ({tokens}) = __mix_cut_n"
+    clear = (
+        keyed.where(f"NOT ({on_cut}) AND (__mix_full_epochs > 0 OR {inside}) AND ({tokens}) > 0")
+        .withColumn("__mix_part", F.expr(f"if({inside}, ({tokens}), 0L)"))
+    )
+    # The rows the budget ends in, a leaf's all alike in key and tokens: each
+    # task numbers its own, after those of the tasks before it.
+    cut = stored(keyed.where(on_cut).withColumn("__mix_row", F.expr("monotonically_increasing_id()"))
+                 .withColumn("__mix_task", F.expr("shiftright(__mix_row, 33)")), "mix-cut")
+    tasks = cut.groupBy(*leaf, "__mix_task").agg(F.count(F.lit(1)).alias("__mix_n"))
+    tasks = tasks.withColumn("__mix_base", F.expr(
+        f"sum(__mix_n) OVER (PARTITION BY {', '.join(leaf)} ORDER BY __mix_task) - __mix_n"))
+    place = f"__mix_base + row_number() OVER (PARTITION BY {', '.join([*leaf, '__mix_task'])} ORDER BY __mix_row) - 1"
+    numbered = (
+        cut.join(sized(stored(tasks, "mix-tasks")), [*leaf, "__mix_task"])
+        .withColumn("__mix_place", F.expr(place))
+        .withColumn("__mix_part", F.expr(
+            "greatest(0L, least(__mix_cut_n, __mix_cut_tokens - __mix_place * __mix_cut_n))"))
+        .where("__mix_full_epochs > 0 OR __mix_part > 0")
     )
+    columns = [F.col(f"`{c}`") for c in rows.columns] + [
+        F.col(c) for c in [*leaf, "__mix_full_epochs", "__mix_part"]]
+    return clear.select(*columns).union(numbered.select(*columns))
+
+
+def taken(units: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
+    """Units with the tokens each gives to the mixture (0: left out)."""
+    rows = _with_cut(units, "n_tokens", {c: c for c in TREE}, plan, seed)
+    return rows.selectExpr(
+        *units.columns, "__mix_full_epochs AS full_epochs", "cast(__mix_part as bigint) AS cut_part",
+        "cast(__mix_full_epochs * n_tokens + __mix_part as bigint) AS tokens_taken")
 
 
 def select(docs: DataFrame, plan: DataFrame, domain: str = DOMAIN, seed: int = SEED) -> DataFrame:
     """The documents with tokens in the mixture, with their own columns only."""
-    cols = _leaf_columns(docs, domain)
-    p = plan.select(*[F.col(c).alias(f"__mix_{c}") for c in TREE],
-                    F.col("full_epochs").alias("__mix_full"), F.col("cut_key").alias("__mix_cut"))
-    key = _key(seed, "__mix_full", "doc_id")
-    return (
-        docs.withColumns({f"__mix_{n}": F.expr(e) for n, e in cols.items()})
-        .join(p, [f"__mix_{c}" for c in TREE])
-        .where(f"({TOKENS.format(text='`text`')}) > 0 AND (__mix_full > 0 OR {key} <= __mix_cut)")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    tokens = TOKENS.format(text="`text`")
+    rows = _with_cut(docs, tokens, _leaf_columns(docs, domain), plan, seed)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, percent: int = PERCENT, max_epochs: int = MAX_EPOCHS,
+        weights: dict[str, str] | None = None, domain: str = DOMAIN, seed: int = SEED) -> DataFrame:
     """Per document taken: leaf, tokens and how many of them the mixture uses."""
-    domain = options.get("domain", DOMAIN)
-    seed = options.get("seed", SEED)
-    plan = mixture_plan(docs, **options)
-    return (
-        taken(leaf_tokens(docs, domain), plan, seed).where("tokens_taken > 0")
-        .select("doc_id", *TREE, "n_tokens", "full_epochs", "cut_part", "tokens_taken")
-    )
+    units = stored(leaf_tokens(docs, domain), "mix-units")
+    plan = plan_of(units, percent, max_epochs, weights, seed)
+    return taken(units, plan, seed).select(
+        "doc_id", *TREE, "n_tokens", "full_epochs", "cut_part", "tokens_taken")
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
@@ -239,7 +270,8 @@ k AS (SELECT u.*, full_epochs, rem,
     md5('{SEED}|' || full_epochs::VARCHAR || '|' || coalesce(doc_id::VARCHAR, '')) AS key
   FROM u JOIN plan USING (domain, lang, source)),
 c AS (SELECT *, greatest(0, least(n_tokens, rem - (sum(n_tokens) OVER
-    (PARTITION BY domain, lang, source ORDER BY key) - n_tokens)))::BIGINT AS cut_part FROM k)
+    (PARTITION BY domain, lang, source ORDER BY key, n_tokens
+     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens)))::BIGINT AS cut_part FROM k)
 SELECT doc_id, domain, lang, source, n_tokens, full_epochs, cut_part,
   (full_epochs * n_tokens + cut_part)::BIGINT AS tokens_taken
 FROM c WHERE full_epochs * n_tokens + cut_part > 0

@@ -43,7 +43,7 @@ def test_budgets_equal_the_recursion(spark):
 
 
 def test_a_leafs_prefix_is_cut_exactly(spark, awkward):
-    docs = spark.read.parquet(f"{awkward}/documents.parquet").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    docs = spark.read.parquet(f"{awkward}/documents.parquet")
     plan = mixing.mixture_plan(docs)
     by_leaf = {tuple(r[c] for c in mixing.TREE): r for r in plan.collect()}
     taken = {}
@@ -61,3 +61,29 @@ def test_stage_keeps_columns_and_takes_the_same_documents(spark, awkward):
     assert kept.columns == docs.columns
     units = mixing.taken(mixing.leaf_tokens(docs), plan).where("tokens_taken > 0")
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, (r.doc_id for r in units.collect())))
+
+
+def test_a_third_of_a_leaf_on_one_id(spark, tmp_path):
+    """The budget is kept, in the query's rows and in the stage, whatever row it ends in."""
+    path = str(tmp_path / "docs")
+    spark.range(0, 3000, 1, 7).selectExpr(
+        "if(id % 3 = 0, 7, id) AS doc_id", "concat(repeat('w ', cast(1 + id % 4 as int)), id) AS text",
+        "'en' AS lang", "'one' AS source").write.parquet(path)
+    docs = spark.read.parquet(path)
+    for percent, epochs in ((30, 1), (55, 1), (130, 2)):
+        plan = mixing.mixture_plan(docs, percent=percent, max_epochs=epochs)
+        row = plan.first()
+        rows = mixing.mix(docs, percent=percent, max_epochs=epochs).collect()
+        assert sum(r.tokens_taken for r in rows) == row.budget
+        assert sum(0 < r.cut_part < r.n_tokens for r in rows) <= 1
+        kept = mixing.select(docs, plan).select("doc_id", "text").collect()
+        assert sorted((r.doc_id, len(r.text.split())) for r in kept) == sorted((r.doc_id, r.n_tokens) for r in rows)
+        assert epochs == 2 or len({r.text for r in kept}) == len(kept)
+    key = mixing._key(mixing.SEED, "0", "doc_id")
+    at = docs.selectExpr("doc_id", f"{key} AS k", "size(split(trim(text), ' ')) AS n").collect()
+    below = sum(r.n for r in at if r.k < next(x.k for x in at if x.doc_id == 7))
+    total = sum(r.n for r in at)
+    percent = 100 * (below + sum(r.n for r in at if r.doc_id == 7) // 2) // total
+    rows = mixing.mix(docs, percent=percent, max_epochs=1).collect()
+    assert 0 < sum(r.doc_id == 7 for r in rows) < 1000  # the budget ends inside the hot id
+    assert sum(r.tokens_taken for r in rows) == total * percent // 100
