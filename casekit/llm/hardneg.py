@@ -42,7 +42,7 @@ from casekit.llm.common import prepare, stored, table
 BLOCK = 4096
 ANCHOR_BLOCK = 256
 SWEEP = 4  # row blocks a task takes for one block of anchors
-LEAF = 32
+LEAF = 64
 FANOUT = 8
 ANY = 1 << 62  # beyond every score
 
@@ -108,40 +108,66 @@ class Tree:
             return [(la <= label) & (label <= lb) for *_, la, lb in self.levels]
         return [(la != label) | (lb != label) for *_, la, lb in self.levels]
 
-    def search(self, row: int, q: np.ndarray, own: int, label: int, same: bool, bounds, low: int, high: int,
-               k: int, best: list[tuple[int, int]], leaves: dict[int, np.ndarray]) -> None:
-        """Add this tree's rows to ``best``, the up to ``k`` best (-score, id)."""
+    def search(self, row: int, own: int, label: int, same: bool, bounds, windows: list[Found], k: int,
+               leaves: Leaves) -> None:
+        """Add this tree's rows to the anchor's ``windows``, all in one descent."""
         fits = self.fitting(label, same)
-        top = len(self.levels) - 1
+        high = max(w.high for w in windows)
+        need = min(w.need(k) for w in windows)
         queue: list[tuple[float, int, int]] = []
 
-        def push(level: int, nodes: range) -> None:
-            lower, upper = bounds[level][0][row], bounds[level][1][row]
-            for node in nodes:
-                u = upper[node]
-                if (fits[level][node] and u >= low and lower[node] <= high
-                        and (len(best) < k or u >= -best[-1][0])):
-                    heapq.heappush(queue, (-u, level, node))
+        def push(level: int, a: int, b: int) -> None:
+            lower, upper = bounds[level][0][row, a:b], bounds[level][1][row, a:b]
+            good = fits[level][a:b] & (upper >= need) & (lower <= high)
+            for i in np.flatnonzero(good).tolist():
+                heapq.heappush(queue, (-upper[i], level, a + i))
 
-        push(top, range(len(self.levels[top][0])))
+        push(len(self.levels) - 1, 0, len(self.levels[-1][0]))
         while queue:
             u, level, node = heapq.heappop(queue)
-            if len(best) == k and -u < -best[-1][0]:
-                break  # nothing left in the queue can reach the k-th score
+            if -u < need:
+                break  # nothing left in the queue can reach a window's k-th score
             if level:
-                push(level - 1, range(node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level - 1][0]))))
+                push(level - 1, node * FANOUT, (node + 1) * FANOUT)
                 continue
-            a, b = node * LEAF, (node + 1) * LEAF
-            score = leaves.get(node)
-            if score is None:
-                score = leaves[node] = self.v[a:b] @ q
-            good = (self.labels[a:b] == label) == same
-            good &= (score >= low) & (score <= high) & (self.ids[a:b] != own)
-            if len(best) == k:
-                good &= score >= -best[-1][0]
-            for i in np.flatnonzero(good).tolist():
-                insort(best, (-int(score[i]), int(self.ids[a + i])))
-                del best[k:]
+            score = leaves.scores(node)[row]
+            for i in np.flatnonzero((score >= need) & (score <= high)).tolist():
+                at = node * LEAF + i
+                if (self.labels[at] == label) == same and self.ids[at] != own:
+                    for w in windows:
+                        w.add(int(score[i]), int(self.ids[at]), k)
+            need = min(w.need(k) for w in windows)
+
+
+class Leaves:
+    """Scores of a leaf's rows, worked out for a block of anchors at once when
+    the first of them reaches the leaf."""
+
+    def __init__(self, tree: Tree, q: np.ndarray) -> None:
+        self.tree, self.q = tree, q
+        self.read: dict[int, np.ndarray] = {}
+
+    def scores(self, node: int) -> np.ndarray:
+        if node not in self.read:
+            self.read[node] = self.q @ self.tree.v[node * LEAF:(node + 1) * LEAF].T
+        return self.read[node]
+
+
+class Found:
+    """The best (-score, id) inside a window of scores so far."""
+
+    def __init__(self, low: int, high: int) -> None:
+        self.low, self.high = low, high
+        self.best: list[tuple[int, int]] = []
+
+    def need(self, k: int) -> int:
+        """The least score that can still enter (a tie may, by its id)."""
+        return self.low if len(self.best) < k else max(self.low, -self.best[-1][0])
+
+    def add(self, score: int, row_id: int, k: int) -> None:
+        if self.low <= score <= self.high:
+            insort(self.best, (-score, row_id))
+            del self.best[k:]
 
 
 def row_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -217,10 +243,10 @@ def _search(blocks: DataFrame, anchors: DataFrame, same: bool, k: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
-        best: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        best: dict[int, list[Found]] = {}
 
         def emit():
-            flat = [(a, w, i, -s) for (a, w), rows in best.items() for s, i in rows]
+            flat = [(a, w, i, -s) for a, found in best.items() for w, f in enumerate(found) for s, i in f.best]
             columns = list(zip(*flat)) or [[]] * 4
             return pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()),
@@ -241,17 +267,14 @@ def _search(blocks: DataFrame, anchors: DataFrame, same: bool, k: int,
                 if np.abs(q_v).max() * np.abs(c_v).max() * dim >= 2.0 ** 53:
                     raise OverflowError("quantised components too large for exact scores")
                 tree = Tree(flat["c_ids"], flat["c_labels"], c_v)
-                bounds = tree.bounds(q_v)
-                windows = get["q_scores"].as_py()
+                bounds, leaves = tree.bounds(q_v), Leaves(tree, q_v)
+                scores = get["q_scores"].as_py()
                 for i, akey in enumerate(flat["q_keys"].tolist()):
-                    leaves: dict[int, np.ndarray] = {}
-                    own, label = int(flat["q_ids"][i]), int(flat["q_labels"][i])
-                    for w, score in enumerate([0] if same else windows[i]):
-                        low, high = (-ANY, ANY) if same else (
-                            -(-low_pct * score // 100), high_pct * score // 100)
-                        if low <= high:
-                            tree.search(i, q_v[i], own, label, same, bounds, low, high, k,
-                                        best.setdefault((akey, w), []), leaves)
+                    if akey not in best:
+                        best[akey] = [Found(-ANY, ANY)] if same else [
+                            Found(-(-low_pct * x // 100), high_pct * x // 100) for x in scores[i]]
+                    tree.search(i, int(flat["q_ids"][i]), int(flat["q_labels"][i]), same, bounds,
+                                best[akey], k, leaves)
         if best:
             yield emit()
 

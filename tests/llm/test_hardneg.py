@@ -24,18 +24,19 @@ def test_the_tree_never_loses_a_result(seed, n, dim, n_labels, k, same, low, wid
     q = v[: max(1, n // 10)]
     bounds = tree.bounds(q)
     for row in range(len(q)):
-        best: list = []
-        tree.search(row, q[row], int(ids[row]), int(labels[row]), same, bounds, low, low + width, k, best, {})
+        windows = [hardneg.Found(low, low + width), hardneg.Found(low - 9, low + 5)]
+        tree.search(row, int(ids[row]), int(labels[row]), same, bounds, windows, k, hardneg.Leaves(tree, q))
         s = v @ q[row]
-        want = sorted((-int(s[j]), int(ids[j])) for j in range(n)
-                      if j != row and (labels[j] == labels[row]) == same and low <= s[j] <= low + width)
-        assert best == want[:k]
+        for w in windows:
+            want = sorted((-int(s[j]), int(ids[j])) for j in range(n)
+                          if j != row and (labels[j] == labels[row]) == same and w.low <= s[j] <= w.high)
+            assert w.best == want[:k]
 
 
 def test_boxes_bound_every_score_and_prune():
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 6)) * 200
-    v = np.floor(np.concatenate([c + rng.normal(size=(32, 6)) for c in centres]))
+    v = np.floor(np.concatenate([c + rng.normal(size=(hardneg.LEAF, 6)) for c in centres]))
     labels = np.zeros(len(v), np.int64)
     order = hardneg.str_order(labels, v)
     tree = hardneg.Tree(np.arange(len(v)), labels, v[order])
@@ -43,9 +44,9 @@ def test_boxes_bound_every_score_and_prune():
     for node in range(lower.shape[1]):
         part = s[:, node * hardneg.LEAF:(node + 1) * hardneg.LEAF]
         assert (lower[:, node] <= part.min(axis=1)).all() and (part.max(axis=1) <= upper[:, node]).all()
-    leaves: dict = {}
-    tree.search(0, v[0], -1, 0, True, tree.bounds(v[:5]), -hardneg.ANY, hardneg.ANY, 5, [], leaves)
-    assert len(leaves) < 0.5 * lower.shape[1]  # clustered rows: most leaves are never read
+    leaves = hardneg.Leaves(tree, v[:5])
+    tree.search(0, -1, 0, True, tree.bounds(v[:5]), [hardneg.Found(-hardneg.ANY, hardneg.ANY)], 5, leaves)
+    assert len(leaves.read) < 0.5 * lower.shape[1]  # clustered rows: most leaves are never read
 
 
 def slow(rows, positives=5, negatives=5):
