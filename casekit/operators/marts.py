@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casekit.functions.exact import exact_avg_sql, int_avg_sql
 from casekit.functions.exprs import count_where_sql, pct_sql, ratio_sql, round2_sql
 
 # Status domains used by the reference's marts and dashboard.
@@ -37,13 +38,13 @@ def ops_kpis(fact: DataFrame) -> DataFrame:
         "count(1) AS total_cases",
         f"{active} AS active_cases",
         f"{active} AS open_backlog",
-        f"{round2_sql('avg(hours_to_first_response)')} AS avg_hours_to_first_response",
-        f"{round2_sql('avg(days_to_resolution)')} AS avg_days_to_resolution",
+        f"{round2_sql(exact_avg_sql('hours_to_first_response'))} AS avg_hours_to_first_response",
+        f"{round2_sql(int_avg_sql('days_to_resolution'))} AS avg_days_to_resolution",
         f"{round2_sql(pct_sql(count_where_sql('escalation_flag'), 'count(1)'))} AS escalation_rate_pct",
         f"{round2_sql(pct_sql(count_where_sql('reopen_flag'), count_where_sql(IS_CLOSED)))} AS reopen_rate_pct",
         f"{round2_sql(pct_sql(count_where_sql('sla_breach_flag'), 'count(1)'))} AS sla_breach_rate_pct",
-        f"{round2_sql('avg(interaction_count)')} AS avg_interactions_per_case",
-        f"{round2_sql('avg(csat_score)')} AS avg_csat",
+        f"{round2_sql(int_avg_sql('interaction_count'))} AS avg_interactions_per_case",
+        f"{round2_sql(exact_avg_sql('csat_score'))} AS avg_csat",
         f"{count_where_sql('stale_case_flag')} AS stale_cases_count",
     ))
 
@@ -123,8 +124,8 @@ def bottlenecks(fact: DataFrame) -> DataFrame:
     """The three bottleneck analyses in one six-column table (UNION ALL)."""
     agg = _bottleneck_rows(fact).groupBy("analysis_type", "group_key").agg(*_agg(
         "count(1) AS case_count",
-        "avg(days_to_resolution) AS _days",
-        "avg(csat_score) AS _csat",
+        f"{int_avg_sql('days_to_resolution')} AS _days",
+        f"{exact_avg_sql('csat_score')} AS _csat",
         f"{pct_sql(count_where_sql('sla_breach_flag'), 'count(1)')} AS _sla",
     ))
     return agg.selectExpr(
@@ -154,8 +155,8 @@ def bottleneck_branch(fact: DataFrame, analysis_type: str) -> DataFrame:
     is_case_type = analysis_type == CASE_TYPE
     agg = fact.filter(where).groupBy(F.expr(key)).agg(*_agg(
         "count(1) AS case_count",
-        "avg(days_to_resolution) AS _days",
-        "avg(csat_score) AS _csat",
+        f"{int_avg_sql('days_to_resolution')} AS _days",
+        f"{exact_avg_sql('csat_score')} AS _csat",
         f"{pct_sql(count_where_sql('sla_breach_flag'), 'count(1)')} AS _sla",
     ))
     return agg.selectExpr(

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casekit.functions.exact import exact_avg_sql, int_avg_sql
 from casekit.functions.exprs import count_where_sql, fmt_number_sql, pct_sql
 from casekit.operators.marts import IS_OPEN
 
@@ -31,9 +32,9 @@ def exec_headline(fact: DataFrame) -> DataFrame:
     """One row of headline numbers (unrounded, as the page computes them)."""
     return fact.agg(*_agg(
         f"{count_where_sql(IS_OPEN)} AS active_cases",
-        "avg(days_to_resolution) AS avg_days_to_resolution",
+        f"{int_avg_sql('days_to_resolution')} AS avg_days_to_resolution",
         f"{pct_sql(count_where_sql('sla_breach_flag'), 'count(1)')} AS sla_breach_rate_pct",
-        "avg(csat_score) AS avg_csat",
+        f"{exact_avg_sql('csat_score')} AS avg_csat",
         f"{count_where_sql('stale_case_flag')} AS stale_cases",
     ))
 
@@ -111,7 +112,7 @@ def interaction_load(fact: DataFrame) -> DataFrame:
     return (
         fact.filter("case_type IS NOT NULL")
         .groupBy("case_type")
-        .agg(*_agg("avg(interaction_count) AS avg_interactions", "count(case_id) AS cases"))
+        .agg(*_agg(f"{int_avg_sql('interaction_count')} AS avg_interactions", "count(case_id) AS cases"))
         .orderBy("case_type")
     )
 
@@ -121,7 +122,7 @@ def missing_docs_vs_resolution(fact: DataFrame) -> DataFrame:
     return (
         fact.filter("resolved_at IS NOT NULL AND missing_docs IS NOT NULL")
         .groupBy("missing_docs")
-        .agg(*_agg("avg(days_to_resolution) AS avg_days_to_resolution",
+        .agg(*_agg(f"{int_avg_sql('days_to_resolution')} AS avg_days_to_resolution",
                    "count(days_to_resolution) AS case_count"))
         .orderBy("missing_docs")
     )
@@ -132,7 +133,7 @@ def handoffs_vs_csat(fact: DataFrame) -> DataFrame:
     return (
         fact.filter("csat_score IS NOT NULL AND handoff_count IS NOT NULL")
         .groupBy("handoff_count")
-        .agg(*_agg("avg(csat_score) AS avg_csat", "count(case_id) AS case_count"))
+        .agg(*_agg(f"{exact_avg_sql('csat_score')} AS avg_csat", "count(case_id) AS case_count"))
         .orderBy("handoff_count")
     )
 
@@ -142,7 +143,7 @@ def escalation_vs_sla(fact: DataFrame) -> DataFrame:
     return (
         fact.filter("escalation_flag IS NOT NULL")
         .groupBy("escalation_flag")
-        .agg(*_agg("avg(CAST(sla_breach_flag AS INT)) AS sla_breach_rate",
+        .agg(*_agg(f"{int_avg_sql('CAST(sla_breach_flag AS INT)')} AS sla_breach_rate",
                    "count(case_id) AS case_count"))
         .orderBy("escalation_flag")
     )
@@ -153,7 +154,7 @@ def case_type_delay(fact: DataFrame) -> DataFrame:
     return (
         fact.filter("days_to_resolution IS NOT NULL AND case_type IS NOT NULL")
         .groupBy("case_type")
-        .agg(F.expr("avg(days_to_resolution) AS avg_days_to_resolution"))
+        .agg(F.expr(f"{int_avg_sql('days_to_resolution')} AS avg_days_to_resolution"))
         .orderBy("case_type")
     )
 
@@ -168,7 +169,7 @@ def advocate_comparison(fact: DataFrame, stg_advocates: DataFrame) -> DataFrame:
     per_advocate = (
         fact.filter("days_to_resolution IS NOT NULL")
         .groupBy("advocate_id")
-        .agg(F.expr("avg(days_to_resolution) AS avg_days"))
+        .agg(F.expr(f"{int_avg_sql('days_to_resolution')} AS avg_days"))
     )
     a = stg_advocates.selectExpr("id AS advocate_id", "name", "team")
     return per_advocate.join(a, "advocate_id", "inner").select(

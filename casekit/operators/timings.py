@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casekit.functions.exact import exact_avg_sql
 from casekit.functions.exprs import days_between_sql, hours_between_sql
 
 FIRST_RESPONSE_EVENT = "first_response"
@@ -42,7 +43,7 @@ def interaction_stats(stg_interactions: DataFrame) -> DataFrame:
     return stg_interactions.groupBy("case_id").agg(
         F.expr("count(1) AS interaction_count"),
         F.expr("max(created_at) AS last_interaction_at"),
-        F.expr("avg(duration_minutes) AS avg_duration_minutes"),
+        F.expr(f"{exact_avg_sql('duration_minutes')} AS avg_duration_minutes"),
     )
 
 

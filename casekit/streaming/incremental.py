@@ -25,8 +25,8 @@ new since the last one.
 Late data needs no watermark: the aggregates are over a case's whole
 history (no window ever closes), and min / max / sum / count are
 associative, so an event arriving in any later batch folds into the same
-result.  Averages are kept as (sum, count) and divided on read; with several
-batches their last bits can differ from a single-pass average.
+result.  Averages are kept as exact integer sums (``functions.exact``) and
+divided on read, so any cut into batches gives the batch model's bits.
 """
 
 from __future__ import annotations
@@ -36,12 +36,17 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casekit.functions import exact
 from casekit.operators.staging import stg_case_events, stg_interactions
 from casekit.operators.timings import FIRST_RESPONSE_EVENT
 from casekit.session import checkpoint_dir
 from casekit.sources import bindings
 
 
+# The parts of the duration sum that a partial row holds.
+_DURATION = list(exact.partial_sqls("duration_minutes"))
+
+
 def _partial_first_response(events: DataFrame) -> DataFrame:
     return (
         events.filter(F.col("event_type") == FIRST_RESPONSE_EVENT)
@@ -54,8 +59,7 @@ def _partial_interactions(interactions: DataFrame) -> DataFrame:
     return interactions.groupBy("case_id").agg(
         F.expr("count(1) AS n"),
         F.expr("max(created_at) AS last_at"),
-        F.expr("sum(duration_minutes) AS dur_sum"),
-        F.expr("count(duration_minutes) AS dur_n"),
+        *[F.expr(f"sum({part}) AS dur_{name}") for name, part in exact.partial_sqls("duration_minutes").items()],
     )
 
 
@@ -100,7 +104,7 @@ def interaction_stats_current(spark: SparkSession, table_path: str) -> DataFrame
     """A2 from the partial table: touches, last touch, mean duration per case."""
     return _merge_interactions(partials(spark, table_path)).selectExpr(
         "case_id", "n AS interaction_count", "last_at AS last_interaction_at",
-        "dur_sum / dur_n AS avg_duration_minutes")
+        f"{exact.mean_sql({name: f'dur_{name}' for name in _DURATION})} AS avg_duration_minutes")
 
 
 def _merge_first_response(rows: DataFrame) -> DataFrame:
@@ -110,7 +114,7 @@ def _merge_first_response(rows: DataFrame) -> DataFrame:
 def _merge_interactions(rows: DataFrame) -> DataFrame:
     return rows.groupBy("case_id").agg(
         F.expr("sum(n) AS n"), F.expr("max(last_at) AS last_at"),
-        F.expr("sum(dur_sum) AS dur_sum"), F.expr("sum(dur_n) AS dur_n"))
+        *[F.expr(f"sum(dur_{name}) AS dur_{name}") for name in _DURATION])
 
 
 def compact(spark: SparkSession, table_path: str, merge) -> int:
