@@ -21,7 +21,7 @@ from casekit.operators.staging import metadata_reject_rows, metadata_rejects
 from casekit.operators.timings import first_response_min, interaction_stats
 from casekit.plans import oracle
 from casekit.plans.pipeline import LAYERS, StoredLayers, build_all, layer_path, persist_layers, scratch_path
-from casekit.sources import bindings, files
+from casekit.sources import bindings, files, sniff
 from casekit.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -546,6 +546,30 @@ def _q_csv_round_trip(spark, sf_dir):
     return out
 
 
+def _q_csv_types(spark, sf_dir):
+    """Write the six raw inputs as CSV and find the type of every column."""
+    folder = scratch_path(spark, "csv-types")
+    files.write_raw_tables(bindings.raw_tables(spark, sf_dir), folder)
+    found = None
+    for table, filename in files.RAW_FILES.items():
+        part = sniff.sniff(spark, f"{folder}/{filename}").selectExpr(
+            f"'{table}' AS raw_table", "position", "column_name", "type", "value_count")
+        found = part if found is None else found.union(part)
+    return found
+
+
+def _q_csv_quoted_lines(spark, sf_dir):
+    """Feedback texts with line breaks through CSV, every row read by many tasks."""
+    folder = scratch_path(spark, "csv-lines")
+    given = bindings.raw_tables(spark, sf_dir)["patient_feedback"].withColumn("feedback_text", F.expr(LINED_TEXT))
+    files.write_csv(given, folder)
+    return files.read_raw_csv(spark, folder, "patient_feedback", multi_line=True)
+
+
+# Every feedback text spread over lines, with quotes and a delimiter.
+LINED_TEXT = "concat('say \"', coalesce(feedback_text, '-'), '\",\nfor ', coalesce(nps_bucket, '-'), '\n\nend')"
+
+
 def _q_table_round_trip(spark, sf_dir):
     """The KPI mart through tables of a fresh catalog prefix, bucketed staging."""
     location, prefix = scratch_path(spark, "tables"), f"q{uuid.uuid4().hex[:12]}"
@@ -578,6 +602,8 @@ def source_queries() -> dict[str, Query]:
         "stream_interaction_stats": incremental.stream_interaction_stats,
         "stream_case_timings": incremental.stream_case_timings,
         "csv_round_trip": _q_csv_round_trip,
+        "csv_types": _q_csv_types,
+        "csv_quoted_lines": _q_csv_quoted_lines,
         "table_round_trip": _q_table_round_trip,
         "mart_ready": _q_mart_ready,
         "pipeline_all": _q_pipeline_all,
@@ -606,8 +632,13 @@ def source_oracle() -> dict[str, str]:
         # An empty text is an empty field, which reads back as NULL.
         "csv_round_trip": q("SELECT * REPLACE (nullif(s2, '') AS s2) FROM (" + " UNION ALL ".join(
             f"SELECT {_slots(t, 'VARCHAR', 'TIMESTAMP')} FROM raw_{t}" for t in RAW_SLOTS) + ")"),
-        "mart_ready": q("SELECT 'mart_ops_kpis' AS mart, EXISTS (SELECT 1 FROM ops_kpis) AS ready "
+        "mart_ready": q("SELECT 'mart_ops_kpis' AS mart, (SELECT COUNT(*) FROM ops_kpis) >= 0 AS ready "
                         "UNION ALL SELECT 'mart_never_stored', false"),
+        "csv_types": q(oracle.csv_types_sql()),
+        "csv_quoted_lines": q(
+            "SELECT * REPLACE ('say \"' || coalesce(feedback_text, '-') || '\",' || chr(10) || 'for ' || "
+            "coalesce(nps_bucket, '-') || chr(10) || chr(10) || 'end' AS feedback_text, "
+            "strftime(submitted_at, '%Y-%m-%dT%H:%M:%S.%f') AS submitted_at) FROM raw_patient_feedback"),
         "table_round_trip": q("SELECT * FROM ops_kpis"),
         "pipeline_all": q(counts),
     }

@@ -8,6 +8,8 @@ CTEs> <final SELECT>``; DuckDB skips CTEs a query does not reference.
 
 from __future__ import annotations
 
+from casekit import schemas
+
 AS_OF_TS = "TIMESTAMP '1998-06-15 12:30:00'"
 
 # The case document's text, concatenated as the binding does.
@@ -273,3 +275,22 @@ PRELUDE = "WITH " + ",".join([_RAW.replace("{_DOCUMENT}", _DOCUMENT), _STAGING,
 def q(final_select: str) -> str:
     """Prefix a final SELECT with every shared CTE."""
     return PRELUDE + final_select
+
+
+def csv_types_sql() -> str:
+    """Type of every raw column, from its values' text by DuckDB's own casts."""
+    rows = []
+    for table, schema in schemas.RAW.items():
+        for i, field in enumerate(schema.fields):
+            v = f"nullif(trim(CAST({field.name} AS VARCHAR)), '')"
+            rows.append(f"""
+SELECT '{table}' AS raw_table, {i} AS position, '{field.name}' AS column_name,
+  CASE WHEN count(v) = 0 THEN 'VARCHAR'
+       WHEN bool_and(lower(v) IN ('true', 'false', 't', 'f')) THEN 'BOOLEAN'
+       WHEN bool_and(TRY_CAST(v AS BIGINT) IS NOT NULL AND NOT regexp_matches(v, '[.eE]')) THEN 'BIGINT'
+       WHEN bool_and(TRY_CAST(v AS DOUBLE) IS NOT NULL) THEN 'DOUBLE'
+       WHEN bool_and(TRY_CAST(v AS DATE) IS NOT NULL AND length(v) <= 10) THEN 'DATE'
+       WHEN bool_and(TRY_CAST(v AS TIMESTAMP) IS NOT NULL) THEN 'TIMESTAMP' ELSE 'VARCHAR' END AS type,
+  count(v) AS value_count
+FROM (SELECT {v} AS v FROM raw_{table})""")
+    return " UNION ALL ".join(rows)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from casekit import schemas
+from casekit.sources import csvscan
 
 # The reference's raw registry (table -> file name).
 RAW_FILES = {
@@ -54,11 +55,13 @@ def text_timestamps(schema: T.StructType) -> T.StructType:
 
 def _csv_text(spark: SparkSession, path: str, table: str, multi_line: bool) -> DataFrame:
     """The CSV's cells as text under its own header names, plus ``CORRUPT``."""
-    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
+    reader = spark.read.options(**CSV_READ_OPTIONS)
     names = reader.csv(path).columns  # reads one header line
     missing = [f.name for f in schemas.RAW[table].fields if f.name not in names]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    if multi_line:
+        return csvscan.read_quoted_csv(spark, path, CORRUPT)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     return reader.schema(schema).csv(path)
 
@@ -82,9 +85,9 @@ def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool =
     broken row or cell that is not of its type; otherwise such rows are left
     out and such cells are NULL, and ``csv_rejects`` counts both.
 
-    ``multi_line`` allows line breaks inside quoted cells.  Files are then not
-    split, so each is read by one task: use it only where extracts have them,
-    and keep files small.
+    ``multi_line`` allows line breaks inside quoted cells; files are split
+    between tasks all the same (``sources.csvscan``), at the price of reading
+    them twice.
     """
     text = _csv_text(spark, path, table, multi_line)
     # Spark wants a data column read along with the corrupt record, also where
@@ -173,9 +176,19 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def mart_ready(spark: SparkSession, path: str) -> bool:
-    """S12 + O4: the stored mart exists and a one-row read succeeds."""
-    mart = read_or_none(spark, path)
-    return mart is not None and len(mart.limit(1).take(1)) > 0
+    """S12 + O4: the stored mart exists and a one-row read succeeds (no row is
+    needed: an empty mart is ready)."""
+    from py4j.protocol import Py4JError
+    from pyspark.errors import PySparkException
+
+    try:
+        mart = read_or_none(spark, path)
+        if mart is None:
+            return False
+        mart.limit(1).collect()
+    except (PySparkException, Py4JError):  # unreadable
+        return False
+    return True
 
 
 def readiness(spark: SparkSession, marts: dict[str, str]) -> DataFrame:
