@@ -6,9 +6,10 @@
     spark-submit --py-files casekit.zip casekit/__main__.py run --raw ... --location ...
 
 ``run`` reads the six raw tables (CSV extracts or Parquet), builds every
-layer and stores each model (one folder per layer and model, each layer
-reading the stored previous one); ``--buckets N`` stores the case-keyed
-staging tables bucketed by case id.  ``report`` reads the stored fact and
+layer and publishes all models as one new version (``plans.versions``): a
+failed run leaves the old one and is resumed by the next.  ``--buckets N``
+replaces tables in place instead, the case-keyed staging tables bucketed by
+case id.  ``report`` reads the stored fact and
 marts by location, in any later process, and gives every row of a report
 dataset: as CSV on standard output, or as files under ``--output``.
 """
@@ -22,6 +23,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from casekit.operators import marts, reports
+from casekit.plans import versions
 from casekit.plans.pipeline import StoredLayers, build_all, persist_layers
 from casekit.session import apply_conf, get_session
 from casekit.sources import files
@@ -51,12 +53,18 @@ def run(spark: SparkSession, raw_dir: str, location: str, fmt: str = "csv", as_o
         prefix: str = "casekit", buckets: int | None = None, multi_line: bool = False) -> dict[str, int]:
     """Full refresh: raw files -> every layer stored under ``location``; rows per model."""
     raw = files.read_raw_tables(spark, raw_dir, fmt, multi_line=multi_line)
-    return persist_layers(spark, build_all(spark, raw, as_of=as_of), prefix, location, buckets)
+    if buckets:  # bucketed tables belong to a catalog and are replaced in place
+        return persist_layers(spark, build_all(spark, raw, as_of=as_of), prefix, location, buckets)
+    done = versions.refresh(spark, raw, location, as_of)
+    return {name: m["rows"] for name, m in done["models"].items()}
 
 
 def report(spark: SparkSession, name: str, location: str, prefix: str = "casekit"):
     """A report dataset from the layers a ``run`` (of any process) stored."""
-    stored = StoredLayers(spark, location, prefix)
+    try:
+        stored = versions.Version(spark, location)
+    except FileNotFoundError:
+        stored = StoredLayers(spark, location, prefix)  # a bucketed run
     if "fct_case_lifecycle" not in stored:
         raise SystemExit(f"no stored fact under {location}: run the pipeline first")
     return REPORTS[name](spark, stored)

@@ -20,7 +20,8 @@ response, A2 interaction stats) are maintained incrementally:
 
 The registered streams keep one table per input under the shared checkpoint
 folder: a later call, in this or another session, reads only files that are
-new since the last one.
+new since the last one.  A file that was read and has changed or gone since
+(another length or modification time) starts the table anew.
 
 Late data needs no watermark: the aggregates are over a case's whole
 history (no window ever closes), and min / max / sum / count are
@@ -32,6 +33,8 @@ divided on read, so any cut into batches gives the batch model's bits.
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +43,7 @@ from casekit.functions import exact
 from casekit.operators.staging import stg_case_events, stg_interactions
 from casekit.operators.timings import FIRST_RESPONSE_EVENT
 from casekit.session import checkpoint_dir
-from casekit.sources import bindings
+from casekit.sources import bindings, storage
 
 
 # The parts of the duration sum that a partial row holds.
@@ -136,10 +139,23 @@ def compact(spark: SparkSession, table_path: str, merge) -> int:
     return upto
 
 
+# Partial table -> the input table it is kept from.
+SOURCES = {"first-response": "events", "interactions": "lineitem"}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """The lasting partial table of an input."""
+    """The lasting partial table of an input: a new one when a file it has read
+    is not as it was."""
     source = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
-    return f"{checkpoint_dir(spark).rstrip('/')}/casekit-streams/{source}/{name}"
+    base = f"{checkpoint_dir(spark).rstrip('/')}/casekit-streams/{source}/{name}"
+    now = {f: list(s) for f, s in storage.input_states(spark, bindings.read_table(spark, sf_dir, SOURCES[name])).items()}
+    known = json.loads(storage.read_text(spark, f"{base}/_inputs") or '{"files": {}}')
+    same = all(now.get(f) == s for f, s in known["files"].items())
+    generation = known.get("generation") if same else None
+    generation = generation or uuid.uuid4().hex
+    storage.replace_text(
+        spark, f"{base}/_inputs", json.dumps({"generation": generation, "files": now}), uuid.uuid4().hex)
+    return f"{base}/{generation}"
 
 
 def stream_case_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
