@@ -70,9 +70,13 @@ def advocate_caseload(stg_advocates: DataFrame, fact: DataFrame) -> DataFrame:
     it has measured it.  Grouping by the five advocate columns afterwards
     keeps the reference's result when the dimension has repeated rows.
     """
-    per_advocate = fact.groupBy("advocate_id").agg(
+    return caseload_of(stg_advocates, fact.groupBy("advocate_id").agg(
         F.expr(f"{count_where_sql(f'{IS_ACTIVE} AND case_id IS NOT NULL')} AS active")
-    )
+    ))
+
+
+def caseload_of(stg_advocates: DataFrame, per_advocate: DataFrame) -> DataFrame:
+    """M10 from (advocate_id, active): every advocate with its count and ratio."""
     a = stg_advocates.selectExpr("id AS advocate_id", "name", "team", "specialty", "capacity")
     active = "coalesce(sum(active), 0L)"
     return (
@@ -96,7 +100,7 @@ HANDOFF_BUCKET = (
 )
 
 
-def _bottleneck_rows(fact: DataFrame) -> DataFrame:
+def _bottleneck_rows(fact: DataFrame, *more: str) -> DataFrame:
     """Tag each fact row with the (analysis, key) groups it belongs to.
 
     One scan of the fact feeds all three analyses: each row is expanded to
@@ -114,7 +118,7 @@ def _bottleneck_rows(fact: DataFrame) -> DataFrame:
         f"named_struct('analysis_type', '{CASE_TYPE}', 'group_key', case_type, 'keep', true)))"
     )
     return (
-        fact.selectExpr("days_to_resolution", "csat_score", "sla_breach_flag", tags)
+        fact.selectExpr("days_to_resolution", "csat_score", "sla_breach_flag", *more, tags)
         .filter("keep")
         .drop("keep")
     )
@@ -128,15 +132,20 @@ def bottlenecks(fact: DataFrame) -> DataFrame:
         f"{exact_avg_sql('csat_score')} AS _csat",
         f"{pct_sql(count_where_sql('sla_breach_flag'), 'count(1)')} AS _sla",
     ))
-    return agg.selectExpr(
+    return agg.selectExpr(*bottleneck_columns("case_count", "_days", "_csat", "_sla"))
+
+
+def bottleneck_columns(count: str, days: str, csat: str, sla: str) -> tuple[str, ...]:
+    """M11's six columns from a group's count, means and breach share."""
+    return (
         "analysis_type",
         f"CASE WHEN analysis_type = '{MISSING_DOCS}' THEN "
         "CASE WHEN group_key = 'true' THEN 'missing_docs' ELSE 'docs_complete' END "
         "ELSE group_key END AS segment",
-        "case_count",
-        f"{round2_sql('_days')} AS avg_days_to_resolution",
-        f"CAST(CASE WHEN analysis_type <> '{CASE_TYPE}' THEN {round2_sql('_csat')} END AS DOUBLE) AS avg_csat",
-        f"CAST(CASE WHEN analysis_type = '{CASE_TYPE}' THEN {round2_sql('_sla')} END AS DOUBLE) AS sla_breach_pct",
+        f"{count} AS case_count",
+        f"{round2_sql(days)} AS avg_days_to_resolution",
+        f"CAST(CASE WHEN analysis_type <> '{CASE_TYPE}' THEN {round2_sql(csat)} END AS DOUBLE) AS avg_csat",
+        f"CAST(CASE WHEN analysis_type = '{CASE_TYPE}' THEN {round2_sql(sla)} END AS DOUBLE) AS sla_breach_pct",
     )
 
 

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from casekit.functions import derive
 from casekit.functions.exprs import text_to_int_sql
 from casekit.functions.json import json_field_text_sql, text_array_sql
-from casekit.operators import eventlog, marts, reports
+from casekit.operators import clocks, eventlog, marts, reports
 from casekit.operators.lifecycle import feedback_duplicates
 from casekit.operators.staging import metadata_reject_rows, metadata_rejects
 from casekit.operators.timings import first_response_min, interaction_stats
-from casekit.plans import oracle, versions
-from casekit.plans.pipeline import LAYERS, build_all, layer_path, persist_layers, scratch_path
+from casekit.plans import maintain, oracle, versions
+from casekit.plans.pipeline import LAYERS, build_all, layer_path, materialize, persist_layers, scratch_path
 from casekit.session import checkpoint_dir
 from casekit.sources import bindings, files, sniff
 from casekit.streaming import incremental
@@ -544,6 +544,29 @@ def _q_csv_round_trip(spark, sf_dir):
     return out
 
 
+# A year of daily clocks.
+CLOCK_START, CLOCKS = "1998-01-01 12:30:00", 365
+# The clock the maintained marts' state was built with, before the changes.
+EARLIER = "1998-03-01 09:00:00"
+
+
+def _q_flags_over_year(spark, sf_dir):
+    return clocks.flag_counts(models(spark, sf_dir)["fct_case_lifecycle"], CLOCK_START, CLOCKS)
+
+
+def _maintained(mart: maintain.Mart) -> Query:
+    """A mart kept by the fact's changes between two clocks, over stored facts."""
+
+    def run(spark, sf_dir):
+        raw = bindings.raw_tables(spark, sf_dir)
+        old, new = (materialize(spark, build_all(spark, raw, as_of=clock)["fct_case_lifecycle"], "fact")
+                    for clock in (EARLIER, bindings.AS_OF))
+        state = materialize(spark, mart.state(old), "state")
+        return mart.finish(maintain.maintain(mart, state, maintain.fact_changes(old, new)))
+
+    return run
+
+
 def _q_csv_types(spark, sf_dir):
     """Write the six raw inputs as CSV and find the type of every column."""
     folder = scratch_path(spark, "csv-types")
@@ -602,6 +625,9 @@ def source_queries() -> dict[str, Query]:
         "stream_case_timings": incremental.stream_case_timings,
         "csv_round_trip": _q_csv_round_trip,
         "csv_types": _q_csv_types,
+        "flags_over_year": _q_flags_over_year,
+        "maintained_ops_kpis": _maintained(maintain.OPS_KPIS),
+        "maintained_bottlenecks": _maintained(maintain.BOTTLENECKS),
         "csv_quoted_lines": _q_csv_quoted_lines,
         "table_round_trip": _q_table_round_trip,
         "mart_ready": _q_mart_ready,
@@ -634,6 +660,9 @@ def source_oracle() -> dict[str, str]:
         "mart_ready": q("SELECT 'mart_ops_kpis' AS mart, (SELECT COUNT(*) FROM ops_kpis) >= 0 AS ready "
                         "UNION ALL SELECT 'mart_never_stored', false"),
         "csv_types": q(oracle.csv_types_sql()),
+        "flags_over_year": q(oracle.flags_sql(CLOCK_START, CLOCKS)),
+        "maintained_ops_kpis": q("SELECT * FROM ops_kpis"),
+        "maintained_bottlenecks": q("SELECT * FROM bottlenecks"),
         "csv_quoted_lines": q(
             "SELECT * REPLACE ('say \"' || coalesce(feedback_text, '-') || '\",' || chr(10) || 'for ' || "
             "coalesce(nps_bucket, '-') || chr(10) || chr(10) || 'end' AS feedback_text, "

@@ -292,5 +292,19 @@ SELECT '{table}' AS raw_table, {i} AS position, '{field.name}' AS column_name,
        WHEN bool_and(TRY_CAST(v AS DATE) IS NOT NULL AND length(v) <= 10) THEN 'DATE'
        WHEN bool_and(TRY_CAST(v AS TIMESTAMP) IS NOT NULL) THEN 'TIMESTAMP' ELSE 'VARCHAR' END AS type,
   count(v) AS value_count
-FROM (SELECT {v} AS v FROM raw_{table})""")
+FROM (SELECT {v} AS v FROM raw_{table}) WHERE v IS NOT NULL""")
     return " UNION ALL ".join(rows)
+
+
+def flags_sql(start: str, clocks: int) -> str:
+    """The fact's flags at every clock, each clock against every row."""
+    return f"""
+SELECT clock, case_type,
+  count(*) FILTER (WHERE CASE WHEN resolved_at IS NOT NULL THEN days_to_resolution > 7
+    ELSE date_diff('day', created_at::DATE, clock::DATE) > 7 END) AS late_cases,
+  count(*) FILTER (WHERE resolved_at IS NULL
+    AND date_diff('hour', coalesce(last_interaction_at, created_at), clock) > 48) AS stale_cases,
+  count(*) FILTER (WHERE created_at <= clock AND (resolved_at IS NULL OR resolved_at > clock)) AS open_cases
+FROM case_lifecycle,
+  (SELECT TIMESTAMP '{start}' + to_days(CAST(i AS INTEGER)) AS clock FROM range({clocks}) AS r(i)) AS c
+GROUP BY ALL"""
