@@ -158,7 +158,8 @@ def training_windows(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray
 
     About ``SAMPLE_DOCS`` documents of each language (fewer when there are
     very many languages), taken by hash of the id at a rate set from the
-    language's count; of each, windows at hashed places over its whole length.
+    language's count, one document of a repeated id; of each, windows at hashed
+    places over its whole length.
     """
     labelled = docs.where(
         "lang IS NOT NULL AND text IS NOT NULL AND crc32(cast(doc_id as string)) % 5 <> 0")
@@ -171,7 +172,9 @@ def training_windows(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray
     picked = (
         labelled.join(sized(rates), "lang")
         .where("pmod(xxhash64(doc_id, 'lang'), 1000000) < __rate * 1000000")
-        .selectExpr("lang", "cast(text as binary) AS body", "xxhash64(doc_id) AS h"))
+        .selectExpr("lang", "cast(text as binary) AS body", "xxhash64(doc_id) AS h")
+        # One document an id, picked map-side: a hot id doesn't fill the sample.
+        .groupBy("lang", "h").agg(F.expr("min(struct(xxhash64(body) AS k, body)).body AS body")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

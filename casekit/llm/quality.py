@@ -177,7 +177,8 @@ class LineCRF:
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LineCRF | None:
     """Fit on a sample of about ``sample_docs`` labelled training documents.
 
-    The sample is a share of the labels by hash of the id; of each document up
+    The sample is a share of the labels by hash of the id, one document and one
+    label of each kind of a repeated id; of each document up
     to ``SAMPLE_LINES`` lines in a row from a hashed place are gathered, as
     numbers, so the driver's share is bounded however long the texts are.
     """
@@ -188,9 +189,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
         return None
     share = min(1.0, sample_docs / known)
     ids = stored(usable.where(f"pmod(xxhash64(doc_id, 'quality'), 1000000) < {share} * 1000000")
-                 .selectExpr("doc_id", "cast(quality as int) AS quality"), "quality-sample")
+                 .selectExpr("doc_id", "cast(quality as int) AS quality").distinct(), "quality-sample")
     picked = docs.join(sized(ids), "doc_id").selectExpr(
         "quality", "xxhash64(doc_id) AS h", "coalesce(cast(text as binary), binary('')) AS body")
+    # One document an id, picked map-side: a hot id doesn't fill the sample.
+    picked = picked.groupBy("quality", "h").agg(F.expr("min(struct(xxhash64(body) AS k, body)).body AS body"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import zlib
 
 import numpy as np
 import pytest
@@ -124,3 +125,33 @@ def test_held_out_quality(spark):
     assert (held.predicted == held.quality).mean() > 0.93
     good, bad = held[held.quality == 1].score, held[held.quality == 0].score
     assert (good.values[:, None] > bad.values[None, :]).mean() > 0.97
+
+
+def test_a_hot_id_does_not_fill_the_samples(spark):
+    """A third of all rows on one id, with many texts: one document of it is taken."""
+    hot = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 and _taken(spark, i))
+    docs = spark.range(0, 6000, 1, 6).selectExpr(
+        f"if(id % 3 = 0, {hot}, id + 100000) AS doc_id", "concat(repeat('word ', 400), id) AS text", "'en' AS lang")
+    _, x, y = langid.training_windows(docs)
+    ids = docs.selectExpr("doc_id").distinct().count()
+    assert 0 < len(x) <= langid.SAMPLE_WINDOWS * min(ids, 3 * langid.SAMPLE_DOCS) and len(x) == len(y)
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS quality")
+    gathered = []
+
+    class Fit(quality.LineCRF):
+        def fit(self, chains, marks):
+            gathered.append((len(chains), max(map(len, chains))))
+            return super().fit(chains, marks)
+
+    keep, quality.LineCRF = quality.LineCRF, Fit
+    try:
+        quality.train(docs, labels, sample_docs=3000)
+    finally:
+        quality.LineCRF = keep
+    (n, lines), = gathered
+    assert n <= ids and lines <= quality.SAMPLE_LINES
+
+
+def _taken(spark, i: int) -> bool:
+    return spark.range(1).selectExpr(
+        f"pmod(xxhash64({i}L, 'lang'), 1000000) < 60000 AND pmod(xxhash64({i}L, 'quality'), 1000000) < 400000").first()[0]
