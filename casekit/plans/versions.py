@@ -112,8 +112,12 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], location: str, as
     ``on_written`` is told each model that was written (after its ledger entry).
     """
     location = location.rstrip("/")
-    models = build_all(spark, dict(raw), as_of, sla_days, stale_hours)
     prints = fingerprints(spark, raw, as_of, sla_days, stale_hours)
+    current = _newest(spark, location)
+    if current and all(m["fingerprint"] == prints[n] and storage.exists(spark, f"{m['path']}/_SUCCESS")
+                       for n, m in current["models"].items()):
+        return {**current, "models": {n: {**m, "reused": True} for n, m in current["models"].items()}}
+    models = build_all(spark, dict(raw), as_of, sla_days, stale_hours)
     done: dict[str, dict] = {}
 
     def store(name: str) -> None:
@@ -141,9 +145,6 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], location: str, as
         for name in step:
             # Later models read the stored rows: lineage is cut at every step.
             models.use(name, spark.read.schema(models[name].schema).parquet(done[name]["path"]))
-    current = _newest(spark, location)
-    if current and all(current["models"][n]["path"] == done[n]["path"] for n in Models.NAMES):
-        return {**current, "models": {n: done[n] for n in Models.NAMES}}
     numbers = [int(n.split(".")[0]) for n in storage.names(spark, f"{location}/_manifests") if n.endswith(".json")]
     version = max(numbers, default=0) + 1
     manifest = {"version": version, "time": time.time(), "models": {n: done[n] for n in Models.NAMES}}
