@@ -11,9 +11,15 @@ from pyspark.sql import functions as F
 
 from casekit.plans.pipeline import scratch_path
 
-# Rows per Arrow batch sent to Python: documents average a few kB but may hold
-# megabytes, so batches are kept short and memory follows the longest text.
-ARROW_ROWS = "512"
+# Limits of an Arrow batch sent to Python: documents average a few kB but may
+# hold megabytes, and rows of some stages are packs of many records, so a batch
+# ends at either limit and memory follows the longest row.  One pair of limits
+# for all stages: results are lazy, and a later query must not change how an
+# unread one runs.
+ARROW_CONF = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
+}
 
 # ASCII white space as the contracts define it: 0x20 and 0x09-0x0D.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
@@ -26,9 +32,10 @@ NON_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 BROADCAST_ROWS = 1_000_000
 
 
-def prepare(spark: SparkSession, rows: str = ARROW_ROWS) -> SparkSession:
-    """Session settings of the Python stages (idempotent)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings of the Python stages, the same for all (idempotent)."""
+    for key, value in ARROW_CONF.items():
+        spark.conf.set(key, value)
     return spark
 
 

@@ -316,7 +316,7 @@ LABEL = "if(vec_id % 7 = 0, (label + 1) % 10, label)"
 
 def op11_hard_negatives(spark, sf_dir: str) -> DataFrame:
     """Contract query: anchors are the rows whose id is divisible by 100."""
-    prepare(spark, "4")  # a row is a pair of blocks, a few MB
+    prepare(spark)
     rows = usable_rows(table(spark, sf_dir, "embeddings"), label=LABEL)
     return hard_negatives(rows, rows.where("id % 100 = 0"))
 

@@ -1,7 +1,8 @@
 """Operator 3: exact top-k inner-product search, columnar branch and bound.
 
 Vectors are quantised to integers.  Queries and candidates are packed into
-bounded blocks (``BLOCK`` vectors each, chosen by hash); every query block
+bounded blocks (about ``BLOCK`` vectors each, chosen by a hash of id and row
+number, so repeated rows of an id spread as well); every query block
 meets every candidate block in one task, never a pair of rows in a join.  In
 a task the candidate block lies in vertical layout (dimension x vector).
 Scores accumulate one block of dimensions at a time; after each, what the
@@ -53,7 +54,7 @@ def _packed(rows: DataFrame, blocks: int, prefix: str) -> DataFrame:
     vectors.
     """
     return (
-        rows.withColumn("b", F.expr(f"cast(pmod(xxhash64(id), {blocks}) as int)"))
+        rows.withColumn("b", F.expr(f"cast(pmod(xxhash64(id, row), {blocks}) as int)"))
         .withColumn("dim", F.size("v"))
         .groupBy("dim", "b")
         .agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("r"))
@@ -107,8 +108,9 @@ def bounded_topk(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
 def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
          vec_col: str = "embedding", scale: int = 256, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score) for every row of ``queries``."""
-    cand = stored(quantised(vectors, id_col, vec_col, scale), "topk-candidates")
-    ask = stored(quantised(queries, id_col, vec_col, scale), "topk-queries")
+    number = F.monotonically_increasing_id()
+    cand = stored(quantised(vectors, id_col, vec_col, scale).withColumn("row", number), "topk-candidates")
+    ask = stored(quantised(queries, id_col, vec_col, scale).withColumn("row", number), "topk-queries")
     # Two counts and the blocks they need: plain numbers, whatever the size.
     c_blocks = max(1, -(-cand.count() // block))
     q_blocks = max(1, -(-ask.count() // block))
@@ -153,7 +155,7 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_
 
 def op3_exact_topk(spark, sf_dir: str) -> DataFrame:
     """Contract query: 5 best for every vector whose id is divisible by 50."""
-    prepare(spark, "4")  # a row is a pair of blocks, a few MB
+    prepare(spark)
     vectors = table(spark, sf_dir, "embeddings")
     return topk(vectors, vectors.where("vec_id % 50 = 0"), 5)
 

@@ -65,7 +65,7 @@ def slow(rows, positives=5, negatives=5):
 
 @pytest.mark.parametrize("block,anchor_block", [(4096, 256), (7, 2)])
 def test_blocks_of_any_size_equal_brute_force(spark, block, anchor_block):
-    prepare(spark, "4")
+    prepare(spark)
     rng = np.random.default_rng(6)
     rows = [(i * 10, int(rng.integers(0, 3)), rng.integers(0, 6, 5).tolist()) for i in range(150)]
     rows += [(2000 + i, 1, rows[0][2]) for i in range(60)]  # one vector in a third of the rows
@@ -76,7 +76,7 @@ def test_blocks_of_any_size_equal_brute_force(spark, block, anchor_block):
 
 
 def test_unusable_rows_take_no_part(spark):
-    prepare(spark, "4")
+    prepare(spark)
     nan = float("nan")
     rows = [(100, 0, [0.5, 0.5]), (1, 0, [0.5, 0.4]), (2, 1, [0.4, 0.5]), (3, None, [0.45, 0.5]), (4, 1, None),
             (5, 1, [0.45, None]), (6, 1, [0.45, nan]), (7, 0, [0.5, 0.45]), (None, 1, [0.45, 0.5]),
