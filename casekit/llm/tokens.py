@@ -45,6 +45,7 @@ SHARD_SPAN = 8192  # places of a shard
 KEY = 0x5EED
 NO_ID = -(1 << 63)
 PACK_BYTES = 8 << 20  # a task's buffered records before they are sent
+TASK_BYTES = 64 << 20  # records, at most, that a writing task sorts
 CACHED_WORDS = 600_000
 
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -237,11 +238,13 @@ def write_shards(docs: DataFrame, out: str, path: str = TOKENIZER, seq_len: int
                      pa.array(np.frombuffer(data[:8 * n], dtype=np.int64)),
                      _binary(data[8 * n:], np.full(n, size))], names=["shard", "place", "record"])
 
-    shards = -(-total // shard_span)
+    # A task writes neighbouring shards, so tasks grow with bytes, not shards.
+    per_task = max(1, TASK_BYTES // (shard_span * size))
+    tasks = -(-total // (shard_span * per_task))
     (
         _scan(docs).join(sized(starts), ["f", "r"]).select("doc_id", "body", "start")
         .mapInArrow(pack, "shard int, raw int, body binary")
-        .repartitionById(shards, "shard")
+        .repartitionById(tasks, F.expr(f"cast(shard div {per_task} as int)"))
         .mapInArrow(unpack, "shard int, place bigint, record binary")
         .sortWithinPartitions("shard", "place")
         .selectExpr("shard", "cast(record as string) AS value")
@@ -304,7 +307,7 @@ def materialise(docs: DataFrame, path: str = TOKENIZER, seq_len: int = SEQ_LEN,
     """Write the shards to the shared folder and read every slot back:
     (slot, shard, doc_id, seq_no, n_tokens, ids_sha256)."""
     spark = docs.sparkSession
-    prepare(spark, "64")  # rows are packs and whole shards, a few MB each
+    prepare(spark)
     out = scratch_path(spark, "token-shards")
     if not write_shards(docs, out, path, seq_len, shard_span, key):
         return spark.createDataFrame(

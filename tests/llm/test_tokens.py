@@ -62,3 +62,14 @@ def test_same_slots_in_any_partitioning(spark, awkward):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert results[0] == results[1]
+
+
+def test_a_task_writes_several_shards(spark, awkward, monkeypatch):
+    docs = spark.read.parquet(f"{awkward}/documents.parquet")
+    results = []
+    for task_bytes in (1, 1 << 20):
+        monkeypatch.setattr(tokens, "TASK_BYTES", task_bytes)
+        out = scratch_path(spark, "shards")
+        assert tokens.write_shards(docs, out, seq_len=64, shard_span=300)
+        results.append(sorted(map(str, tokens.read_slots(spark, out, 0, None, 64).collect())))
+    assert results[0] == results[1]
