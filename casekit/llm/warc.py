@@ -241,10 +241,11 @@ def merge_runs(captures: DataFrame, rows_per_range: int = 20_000) -> DataFrame:
     """Captures of all runs in global order, with ``position`` from 0.
 
     ``captures`` is a stored table.  Ranges are cut by the whole sort key, so
-    a host or URL with a third of all captures spans many ranges.
+    a host or URL with a third of all captures spans many ranges, and so do
+    repeated captures of one page.
     """
     n = max(1, -(-captures.count() // rows_per_range))
-    key = ["urlkey", "ts", "page_id"]
+    key = ["urlkey", "ts", "page_id", "run", "seq"]
     ranged = (
         captures.repartitionByRange(n, *key)
         .withColumn("range_no", F.spark_partition_id())
