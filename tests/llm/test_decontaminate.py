@@ -98,3 +98,48 @@ def test_clean_documents_stay(spark, awkward):
             want.append(r.doc_id)
     got = [r.doc_id for r in kept.collect() if not (r.text and len(r.text) > 60_000)]
     assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_passes_over_blocks_equal_one_pass(spark, awkward):
+    from casekit.llm.common import table
+
+    docs, bench = table(spark, awkward, "documents"), table(spark, awkward, "benchmark")
+    results = []
+    for size in (dc.BLOCK_BYTES, 60):
+        rows = dc.with_hits(docs, bench, block_bytes=size).selectExpr(
+            "doc.doc_id", "doc.text", "h.n_words", "h.n_hit", "h.spans", "h.items").collect()
+        hit = [{p for s in r.spans for p in range(s.lo, s.hi)} for r in rows]
+        assert all(len(words) == r.n_hit for words, r in zip(hit, rows))
+        results.append(sorted(str((r.doc_id, r.text, r.n_words, sorted(words), r["items"]))
+                              for words, r in zip(hit, rows)))
+    assert results[0] == results[1] and len(results[0]) == docs.count()
+    assert dc.benchmark_tables(bench, block_bytes=60).count() > 5
+
+
+def test_long_and_repeated_items_are_dealt_in_pieces(spark):
+    n = 3 * dc.PIECE_WINDOWS + 5
+    long = " ".join(f"w{i}" for i in range(n))
+    bench = spark.createDataFrame(
+        [("long", long)] * 40 + [("long", f"other text {i}") for i in range(40)] + [("short", "Two words")],
+        "item_id string, text string")
+    edge = dc.PIECE_WINDOWS  # a passage over the border of two pieces
+    docs = spark.createDataFrame(
+        [(1, " ".join(f"W{i}" for i in range(edge - 20, edge + 30))), (2, long), (3, "two, words and other text 7"),
+         (4, " ".join(f"w{i}" for i in range(edge, edge + 12))), (5, None)], "doc_id bigint, text string")
+    want = [(1, 50, 50, ["long"]), (2, n, n, ["long"]), (3, 6, 5, ["long", "short"]), (4, 12, 0, []), (5, 0, 0, [])]
+    for size in (dc.BLOCK_BYTES, 20_000):
+        tables = dc.benchmark_tables(bench, block_bytes=size)
+        got = dc.with_hits(docs, bench, block_bytes=size).selectExpr(
+            "doc.doc_id", "h.n_words", "h.n_hit", "h.items").collect()
+        assert sorted(map(tuple, got)) == want
+    # Repeated rows of an item are searched for once, and no block has them all.
+    sizes = [len(r.matcher) for r in tables.select("matcher").collect()]
+    assert len(sizes) > 1
+
+
+def test_rows_with_any_column_names_pass_through_blocks(spark):
+    docs = spark.createDataFrame([("a b", 1, 2, 3), ("x", 4, 5, 6), ("x", 4, 5, 6)],
+                                 "text string, row int, body int, h int")
+    bench = spark.createDataFrame([("i", "a b"), ("j", "q r s"), ("k", "t u v")], "item_id string, text string")
+    got = dc.with_hits(docs, bench, block_bytes=3).selectExpr("doc.*", "h.n_hit AS hit").collect()
+    assert sorted(map(tuple, got)) == [("a b", 1, 2, 3, 2), ("x", 4, 5, 6, 0), ("x", 4, 5, 6, 0)]
