@@ -2,6 +2,7 @@
 
     python -m casekit run --raw /shared/raw --location /shared/layers --as-of "2024-03-01 12:30:00"
     python -m casekit report exec_headline --location /shared/layers
+    python -m casekit case 4711 --location /shared/layers
     # on a cluster:
     spark-submit --py-files casekit.zip casekit/__main__.py run --raw ... --location ...
 
@@ -11,7 +12,8 @@ failed run leaves the old one and is resumed by the next.  ``--buckets N``
 replaces tables in place instead, the case-keyed staging tables bucketed by
 case id.  ``report`` reads the stored fact and
 marts by location, in any later process, and gives every row of a report
-dataset: as CSV on standard output, or as files under ``--output``.
+dataset: as CSV on standard output, or as files under ``--output``.  ``case``
+gives the fact's rows of a few cases and opens only the files that may hold them.
 """
 
 from __future__ import annotations
@@ -86,6 +88,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--location", required=True, help="folder given to run")
     p.add_argument("--prefix", default="casekit")
     p.add_argument("--output", default=None, help="write CSV files there instead of printing")
+    c = sub.add_parser("case", help="print the stored fact's rows of a few cases")
+    c.add_argument("ids", nargs="+", type=int)
+    c.add_argument("--location", required=True, help="folder given to run")
     args = ap.parse_args(argv)
 
     spark = apply_conf(spark) if spark is not None else get_session()
@@ -95,8 +100,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for name, n in rows.items():
             print(f"{name}\t{n}")
     else:
-        df = report(spark, args.name, args.location, args.prefix)
-        if args.output:
+        if args.cmd == "case":
+            df = versions.Version(spark, args.location).clustered("fct_case_lifecycle").equal("case_id", *args.ids)
+        else:
+            df = report(spark, args.name, args.location, args.prefix)
+        if getattr(args, "output", None):
             files.write_csv(df, args.output)
         else:
             out = csv.writer(sys.stdout)

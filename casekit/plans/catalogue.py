@@ -44,8 +44,8 @@ def stored_models(spark: SparkSession, sf_dir: str) -> versions.Version:
     """
     source = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
     location = f"{checkpoint_dir(spark).rstrip('/')}/casekit-layers/{source}"
-    versions.refresh(spark, bindings.raw_tables(spark, sf_dir), location, bindings.AS_OF)
-    return versions.Version(spark, location)
+    manifest = versions.refresh(spark, bindings.raw_tables(spark, sf_dir), location, bindings.AS_OF)
+    return versions.Version(spark, location, manifest)
 
 
 def _stored(name: str, fn: Callable[[DataFrame], DataFrame] = lambda df: df) -> Query:
@@ -68,6 +68,11 @@ def _q_caseload(spark, sf_dir):
     return models(spark, sf_dir)["mart_advocate_caseload"]
 
 
+def _stale_rows(spark, sf_dir):
+    """Every stale row of the fact, from the files that hold some."""
+    return stored_models(spark, sf_dir).clustered("fct_case_lifecycle").equal("stale_case_flag", True)
+
+
 def _q_open_by_urgency(spark, sf_dir):
     return reports.open_by_urgency(spark, stored_models(spark, sf_dir)["fct_case_lifecycle"])
 
@@ -114,7 +119,8 @@ def core_queries() -> dict[str, Query]:
         "bottleneck_table": _stored("mart_bottlenecks"),
         "caseload_table": _stored("mart_advocate_caseload"),
         "open_by_urgency": _q_open_by_urgency,
-        "stale_cases": _report(reports.stale_cases),
+        "stale_cases": lambda spark, sf_dir: reports.stale_cases(_stale_rows(spark, sf_dir)),
+        "stale_case_rows": _stale_rows,
         "over_capacity": _stored("mart_advocate_caseload", reports.over_capacity),
         "escalation_distribution": _report(reports.escalation_distribution),
         "interaction_load": _report(reports.interaction_load),
@@ -173,6 +179,7 @@ def core_oracle() -> dict[str, str]:
             "  WHERE status IN ('open', 'in_progress', 'pending_docs', 'escalated') "
             "  GROUP BY urgency) n ON n.urgency = d.urgency ORDER BY d.position"
         ),
+        "stale_case_rows": q(f"SELECT {_FACT_COLS} FROM case_lifecycle WHERE stale_case_flag"),
         "stale_cases": q(
             "SELECT case_id, case_type, urgency, status, created_at, last_interaction_at "
             "FROM case_lifecycle WHERE stale_case_flag ORDER BY case_id LIMIT 50"

@@ -19,10 +19,14 @@ The pointer names the newest version.  ``expire`` removes versions before the
 last few and the folders only they use; a folder or ledger entry of a run that
 has not published is kept for ``grace`` seconds, so it may be resumed.
 
+The fact also gets a copy clustered by stale flag and case (``plans.clustered``),
+written beside the marts and published with its version: look-ups of a case and
+the stale list read a part of it.
+
     <location>/_pointer             name of the newest manifest
     <location>/_manifests/<v>.json  versions, numbered upwards
     <location>/_ledger/<fp>.json    folder and rows of a finished model
-    <location>/data/<model>-<id>/   Parquet
+    <location>/data/<model>-<id>/   Parquet, and the clustered copies
 """
 
 from __future__ import annotations
@@ -39,11 +43,13 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casekit.functions import exact, exprs
 from casekit.functions import json as json_functions
 from casekit.operators import lifecycle, marts, staging, timings
 from casekit.operators.lifecycle import SLA_DAYS, STALE_HOURS
+from casekit.plans import clustered
 from casekit.plans.pipeline import Models, build_all
 from casekit.sources import storage
 
@@ -64,6 +70,8 @@ MODULES: dict[str, list[ModuleType]] = {
 # Models that may be written at the same time: all their inputs are stored.
 STEPS = [[n for n in Models.NAMES if n in staging.STAGING], ["int_case_timings"], ["fct_case_lifecycle"],
          [n for n in Models.NAMES if n.startswith("mart_")]]
+# Clustered copies: model -> (cluster columns, columns with Bloom filters).
+COPIES = {"fct_case_lifecycle": (["stale_case_flag", "case_id"], ["case_id"])}
 WRITERS = 3  # models written at once; Spark shares its executors among them
 
 
@@ -100,7 +108,22 @@ def _entry(spark: SparkSession, location: str, fingerprint: str) -> dict | None:
     """The ledger's entry, if its folder is whole."""
     text = storage.read_text(spark, f"{location}/_ledger/{fingerprint}.json")
     entry = json.loads(text) if text else None
-    return entry if entry and storage.exists(spark, f"{entry['path']}/_SUCCESS") else None
+    return entry if entry and "schema" in entry and storage.exists(spark, f"{entry['path']}/_SUCCESS") else None
+
+
+def _copy_print(name: str, prints: Mapping[str, str]) -> str:
+    return _digest(prints[name], COPIES[name], inspect.getsource(clustered))
+
+
+def _prints_of(manifest: dict) -> dict[str, str]:
+    return {**{n: m["fingerprint"] for n, m in manifest["models"].items()},
+            **{f"copy {n}": c["fingerprint"] for n, c in manifest.get("copies", {}).items()}}
+
+
+def _whole(manifest: dict) -> list[str]:
+    """The marks of every folder of a version that was written to its end."""
+    marks = [f"{m['path']}/_SUCCESS" for m in manifest["models"].values()]
+    return marks + [f"{c['path']}/{clustered.STATISTICS}/_SUCCESS" for c in manifest.get("copies", {}).values()]
 
 
 def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], location: str, as_of: str | dt.datetime | None = None,
@@ -114,8 +137,8 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], location: str, as
     location = location.rstrip("/")
     prints = fingerprints(spark, raw, as_of, sla_days, stale_hours)
     current = _newest(spark, location)
-    if current and all(m["fingerprint"] == prints[n] and storage.exists(spark, f"{m['path']}/_SUCCESS")
-                       for n, m in current["models"].items()):
+    wanted = {**prints, **{f"copy {n}": _copy_print(n, prints) for n in COPIES}}
+    if current and wanted == _prints_of(current) and all(storage.exists(spark, m) for m in _whole(current)):
         return {**current, "models": {n: {**m, "reused": True} for n, m in current["models"].items()}}
     models = build_all(spark, dict(raw), as_of, sla_days, stale_hours)
     done: dict[str, dict] = {}
@@ -128,32 +151,52 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], location: str, as
             counted = Observation()
             df = models[name].observe(counted, F.count(F.lit(1)).alias("n"))
             df.write.parquet(path)
-            entry = {"model": name, "path": path, "rows": counted.get["n"], "fingerprint": prints[name]}
+            entry = {"model": name, "path": path, "rows": counted.get["n"], "fingerprint": prints[name],
+                     "schema": spark.read.parquet(path).schema.json()}
             storage.replace_text(spark, f"{location}/_ledger/{prints[name]}.json", json.dumps(entry), uuid.uuid4().hex)
         done[name] = {**entry, "reused": reused}
         if not reused and on_written:
             on_written(name)
 
+    copies: dict[str, dict] = {}
+
+    def copy(name: str) -> None:
+        fingerprint = _copy_print(name, prints)
+        entry = _entry(spark, location, fingerprint)
+        if entry is None or not storage.exists(spark, f"{entry['path']}/{clustered.STATISTICS}/_SUCCESS"):
+            path = f"{location}/data/{name}-clustered-{uuid.uuid4().hex}"
+            by, bloom = COPIES[name]
+            clustered.write(spark, done[name]["path"], _schema(done[name]), path, by, bloom)
+            entry = {"model": name, "path": path, "fingerprint": fingerprint, "schema": done[name]["schema"]}
+            storage.replace_text(spark, f"{location}/_ledger/{fingerprint}.json", json.dumps(entry), uuid.uuid4().hex)
+        copies[name] = entry
+
     for step in STEPS:
         for name in step:
             models[name]  # plans are built on this thread
         with ThreadPoolExecutor(WRITERS) as pool:
             # Leaving the block waits for all of the step, also if one fails.
             running = [pool.submit(store, name) for name in step]
+            # Copies of the step before are written beside this step's models.
+            running += [pool.submit(copy, n) for n in COPIES if n in done and n not in copies and n not in step]
         for r in running:
             r.result()
         for name in step:
             # Later models read the stored rows: lineage is cut at every step.
-            models.use(name, spark.read.schema(models[name].schema).parquet(done[name]["path"]))
+            models.use(name, spark.read.schema(_schema(done[name])).parquet(done[name]["path"]))
     numbers = [int(n.split(".")[0]) for n in storage.names(spark, f"{location}/_manifests") if n.endswith(".json")]
     version = max(numbers, default=0) + 1
-    manifest = {"version": version, "time": time.time(), "models": {n: done[n] for n in Models.NAMES}}
+    manifest = {"version": version, "time": time.time(), "models": {n: done[n] for n in Models.NAMES}, "copies": copies}
     name = f"{version:012d}.json"
     storage.replace_text(spark, f"{location}/_manifests/{name}", json.dumps(manifest), uuid.uuid4().hex)
     storage.replace_text(spark, f"{location}/_pointer", name, uuid.uuid4().hex)
     return manifest
 
 
+def _schema(entry: dict) -> StructType:
+    return StructType.fromJson(json.loads(entry["schema"]))
+
+
 def _newest(spark: SparkSession, location: str) -> dict | None:
     name = storage.read_text(spark, f"{location}/_pointer")
     text = storage.read_text(spark, f"{location}/_manifests/{name}") if name else None
@@ -163,11 +206,12 @@ def _newest(spark: SparkSession, location: str) -> dict | None:
 class Version(Mapping):
     """One whole version of the stored layers, by model name.
 
-    The pointer is read once, here; a refresh meanwhile changes nothing.
+    The pointer is read once, here (or was by the refresh whose manifest is
+    given); a refresh meanwhile changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, location: str) -> None:
-        manifest = _newest(spark, location.rstrip("/"))
+    def __init__(self, spark: SparkSession, location: str, manifest: dict | None = None) -> None:
+        manifest = manifest or _newest(spark, location.rstrip("/"))
         if manifest is None:
             raise FileNotFoundError(f"{location}: no layers were published here")
         self._spark, self.manifest = spark, manifest
@@ -177,7 +221,18 @@ class Version(Mapping):
         return self.manifest["version"]
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(self.manifest["models"][name]["path"])
+        entry = self.manifest["models"][name]
+        reader = self._spark.read
+        if "schema" in entry:  # not in versions of earlier releases; else no file is opened for it
+            reader = reader.schema(_schema(entry))
+        return reader.parquet(entry["path"])
+
+    def clustered(self, name: str) -> clustered.Clustered:
+        """The model's clustered copy, for look-ups."""
+        if name not in self.manifest.get("copies", {}):
+            raise FileNotFoundError(f"this version has no clustered copy of {name}: refresh the layers")
+        return clustered.Clustered(self._spark, self.manifest["copies"][name]["path"],
+                                   _schema(self.manifest["models"][name]), COPIES[name][0])
 
     def __iter__(self):
         return iter(self.manifest["models"])
@@ -186,6 +241,10 @@ class Version(Mapping):
         return len(self.manifest["models"])
 
 
+def _entries(manifest: dict) -> list[dict]:
+    return [*manifest["models"].values(), *manifest.get("copies", {}).values()]
+
+
 def expire(spark: SparkSession, location: str, keep: int = 2, grace: float = 7 * 86400) -> list[str]:
     """Remove all but the newest ``keep`` versions, and the folders and ledger
     entries only they use; the names of the folders removed.
@@ -196,13 +255,13 @@ def expire(spark: SparkSession, location: str, keep: int = 2, grace: float = 7 *
     location = location.rstrip("/")
     manifests = storage.names(spark, f"{location}/_manifests")
     kept = [json.loads(storage.read_text(spark, f"{location}/_manifests/{n}")) for n in manifests[-keep:]]
-    used = {m["path"].rsplit("/", 1)[-1] for v in kept for m in v["models"].values()}
+    used = {m["path"].rsplit("/", 1)[-1] for v in kept for m in _entries(v)}
     old = time.time() - grace
     removed = []
     folders = storage.names(spark, f"{location}/data")
     states = storage.file_states(spark, [f"{location}/data/{n}" for n in folders])
     published = {m["path"].rsplit("/", 1)[-1] for n in manifests[:-keep]
-                 for m in json.loads(storage.read_text(spark, f"{location}/_manifests/{n}"))["models"].values()}
+                 for m in _entries(json.loads(storage.read_text(spark, f"{location}/_manifests/{n}")))}
     for n in folders:
         unfinished = n not in published and states[f"{location}/data/{n}"][1] / 1000 > old
         if n not in used and not unfinished:

@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+FEW = 4
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -63,16 +66,25 @@ def replace_text(spark: SparkSession, path: str, text: str, unique: str) -> None
 
 
 def file_states(spark: SparkSession, files: list[str]) -> dict[str, tuple[int, int]]:
-    """path -> (length, modification time) of files, one listing a folder."""
+    """path -> (length, modification time) of files: one listing a folder, or
+    a look at each file where a folder has few of them."""
     folders: dict[str, set[str]] = {}
     for f in files:
         folders.setdefault(f.rsplit("/", 1)[0], set()).add(f)
     out = {}
     for folder, wanted in folders.items():
         p = _path(spark, folder)
-        by_name = {s.getPath().getName(): s for s in _fs(spark, p).listStatus(p)}
+        fs = _fs(spark, p)
+        if len(wanted) <= FEW:
+            for f in wanted:
+                # Paths come escaped from a plan.
+                q = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)) if "%" in f else _path(spark, f)
+                status = fs.getFileStatus(q) if fs.exists(q) else None
+                out[f] = (status.getLen(), status.getModificationTime()) if status else (-1, -1)
+            continue
+        by_name = {s.getPath().getName(): s for s in fs.listStatus(p)}
         for f in wanted:
-            # Paths come escaped from a plan; names are compared unescaped.
+            # Names are compared unescaped.
             status = by_name.get(_path(spark, f).getName()) or by_name.get(
                 spark._jvm.java.net.URI(f).getPath().rsplit("/", 1)[-1])
             out[f] = (status.getLen(), status.getModificationTime()) if status else (-1, -1)

@@ -1,0 +1,138 @@
+"""Clustered copies: whole, evenly dealt, and read in part by look-ups."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from casekit import __main__ as cli
+from casekit.plans import catalogue, clustered, versions
+from casekit.sources import bindings
+
+SF = "/root/testdata/sf0.01"
+BY = ["flag", "id"]
+
+
+def stored(spark, df, path):
+    df.write.parquet(path)
+    return path, spark.read.parquet(path).schema
+
+
+def copied(spark, tmp_path, df, file_bytes=20_000, name="t"):
+    """A stored table and its copy."""
+    source, schema = stored(spark, df, str(tmp_path / f"{name}-source"))
+    path = str(tmp_path / f"{name}-copy")
+    files = clustered.write(spark, source, schema, path, BY, ["id"], file_bytes, row_group_bytes=8_192)
+    return spark.read.parquet(source), clustered.Clustered(spark, path, schema, BY), files
+
+
+def numbers(spark, n):
+    """n rows: every seventh flagged, some flags and ids null, shuffled ids."""
+    return spark.range(n).repartition(7).selectExpr(
+        "CASE WHEN id % 101 <> 0 THEN id % 7 = 0 END AS flag",
+        f"CASE WHEN id % 997 <> 0 THEN (id * 7919) % {n} END AS id",
+        "concat('text ', sha2(CAST(id AS STRING), 256)) AS body", "id AS n")
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def scanned(df):
+    """Rows and files the scan below a plan gave out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    scan = leaves.head().metrics()
+    return scan.apply("numOutputRows").value(), scan.apply("numFiles").value()
+
+
+def test_a_copy_is_whole_and_in_order(spark, tmp_path):
+    table, copy, files = copied(spark, tmp_path, numbers(spark, 5_000))
+    whole = spark.read.schema(table.schema).parquet(copy._path)
+    assert rows(whole) == rows(table) and files > 3
+    stats = copy.statistics().collect()
+    assert sum(s.n_rows for s in stats) == 5_000 and len(stats) == files
+    # Files in order: each begins where the last one ended.
+    spans = [f.agg(F.min(F.struct(*BY)).alias("a"), F.max(F.struct(*BY)).alias("b")).first()
+             for f in (spark.read.parquet(n) for n in copy.files("true"))]
+
+    def key(r):
+        return [(v is not None, v) if v is not None else (False, 0) for v in r]
+
+    assert all(key(x.b) <= key(y.a) for x, y in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("values", [(17,), (17, 4_999, 123_456), (None,), (None, 3), ()])
+def test_look_ups_by_id(spark, tmp_path, values):
+    table, copy, _ = copied(spark, tmp_path, numbers(spark, 5_000))
+    known = [v for v in values if v is not None]
+    want = table.filter(F.col("id").isin(known) if known else F.lit(False))
+    if None in values:
+        want = want.union(table.filter("id IS NULL"))
+    assert rows(copy.equal("id", *values)) == rows(want)
+
+
+def test_look_ups_by_flag_and_range(spark, tmp_path):
+    table, copy, _ = copied(spark, tmp_path, numbers(spark, 5_000))
+    for flag in (True, False):
+        assert rows(copy.equal("flag", flag)) == rows(table.filter(F.col("flag") == flag))
+    assert rows(copy.equal("flag", None)) == rows(table.filter("flag IS NULL"))
+    assert rows(copy.between("id", 100, 180)) == rows(table.filter("id BETWEEN 100 AND 180"))
+    assert rows(copy.between("id", 9_000, 9_999)) == []
+    with pytest.raises(ValueError):
+        copy.equal("id", *range(11))
+
+
+def test_a_look_up_reads_as_much_of_a_long_table_as_of_a_short_one(spark, tmp_path):
+    read = {}
+    for n in (4_000, 40_000):
+        table, copy, files = copied(spark, tmp_path, numbers(spark, n), name=str(n))
+        read[n] = (*scanned(copy.equal("id", 1_234)), files)
+        flagged = table.filter("flag").count()
+        assert scanned(copy.equal("flag", True))[0] < 2 * flagged  # the rest is left out
+    assert read[40_000][2] > 5 * read[4_000][2]  # files of the copy
+    assert read[40_000][1] <= 4 and read[4_000][1] <= 4  # files opened: one for each flag, and where two flags meet
+    assert read[40_000][0] <= 2 * read[4_000][0] + 100  # rows read
+
+
+def test_a_third_of_all_rows_on_one_id(spark, tmp_path):
+    df = numbers(spark, 9_000).withColumn("id", F.expr("CASE WHEN n % 3 = 0 THEN 5 ELSE id END"))
+    df = df.withColumn("flag", F.lit(True))
+    table, copy, files = copied(spark, tmp_path, df)
+    counts = [s.n_rows for s in copy.statistics().collect()]
+    assert len(counts) == files > 10 and max(counts) < 3 * 9_000 / files  # no file has the id whole
+    assert rows(copy.equal("id", 5)) == rows(table.filter("id = 5"))
+
+
+def test_empty_and_repeated_rows(spark, tmp_path):
+    table, copy, _ = copied(spark, tmp_path, numbers(spark, 50).limit(0), name="empty")
+    assert rows(copy.equal("id", 3)) == [] and copy.equal("id", 3).columns == table.columns
+    same = spark.createDataFrame([(True, 1, "a", 1)] * 40 + [(None, None, None, None)] * 3,
+                                 "flag boolean, id long, body string, n long")
+    table, copy, _ = copied(spark, tmp_path, same, file_bytes=500, name="same")
+    assert rows(copy.equal("id", 1)) == rows(table.filter("id = 1")) and copy.equal("id", None).count() == 3
+
+
+def test_the_fact_of_a_version_by_case_and_by_flag(spark, tmp_path, capsys):
+    location = str(tmp_path)
+    raw = bindings.raw_tables(spark, SF)
+    first = versions.refresh(spark, raw, location, bindings.AS_OF)
+    layers = versions.Version(spark, location)
+    fact, copy = layers["fct_case_lifecycle"], layers.clustered("fct_case_lifecycle")
+    case = fact.agg(F.max("case_id")).first()[0]
+    assert rows(copy.equal("case_id", case)) == rows(fact.filter(F.col("case_id") == case))
+    assert rows(copy.equal("stale_case_flag", True)) == rows(fact.filter("stale_case_flag"))
+    assert cli.main(["case", str(case), "--location", location], spark) == 0
+    assert f"\n{case}," in capsys.readouterr().out
+    # Other flags, another copy; the same flags, the same copy.
+    versions.refresh(spark, raw, location, bindings.AS_OF, sla_days=1)
+    back = versions.refresh(spark, raw, location, bindings.AS_OF)
+    assert back["version"] == 3 and back["copies"] == first["copies"]
+    versions.expire(spark, location, keep=1, grace=0)
+    assert rows(versions.Version(spark, location).clustered("fct_case_lifecycle").equal("case_id", case))
+
+
+def test_the_registered_list_of_stale_rows(spark):
+    q = catalogue.queries()
+    assert rows(q["stale_case_rows"](spark, SF)) == rows(q["case_lifecycle"](spark, SF).filter("stale_case_flag"))
