@@ -29,6 +29,14 @@ def test_cached_words_give_the_tokenizers_ids():
         assert t.encode(text) == t.ids(text)
 
 
+def test_texts_leave_no_words_in_the_worker():
+    """A worker's memory must not follow the number of distinct words."""
+    t = tokens.Tokenizer(tokens.TOKENIZER)
+    text = " ".join(f"w{i}x" for i in range(20_000))
+    assert len(t.encode(text)) > 40_000 and len(t) == 0
+    assert t["w1x"] == t.ids(" w1x") and len(t) == 1  # single words are kept, for op5
+
+
 def test_round_trip_and_resume(spark, awkward):
     docs = spark.read.parquet(f"{awkward}/documents.parquet")
     out = scratch_path(spark, "shards")
