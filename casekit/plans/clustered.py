@@ -10,7 +10,9 @@ maximum and by Bloom filter.  Ranges of files do not overlap but for ties, so
 a look-up of one key opens the same number of files however long the table is;
 only the list of statistics, one row per file, grows.
 
-* The number of ranges comes from the table's bytes, never from its rows' keys.
+* The number of ranges comes from the table's bytes and rows, never from its
+  rows' keys: stored bytes say little of what a task sorts, as a table may be
+  stored in a tenth of that.
 * Rows of one key are spread over ranges by the row's place in the stored table
   (file and row number), so a key that holds a third of all rows fills as many
   files as its rows need, and no task gets more than its share.
@@ -30,7 +32,9 @@ from pyspark.sql.types import StructType
 
 from casekit.sources import storage
 
-FILE_BYTES = 128 << 20  # of the stored table, per range
+FILE_BYTES = 128 << 20  # of the stored table, per range at most
+SORT_BYTES = 128 << 20  # of the rows in memory, per range at most
+CELL_BYTES = 12  # of a value in memory, about
 ROW_GROUP_BYTES = 16 << 20
 STATISTICS = "_statistics"  # below the copy; names with _ are no data to Spark
 # More values than this are not pushed as a list to the scan.
@@ -52,11 +56,13 @@ def _statistics(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def write(spark: SparkSession, source: str, schema: StructType, path: str, by: list[str], bloom: list[str],
-          file_bytes: int = FILE_BYTES, row_group_bytes: int = ROW_GROUP_BYTES) -> int:
+          file_bytes: int = FILE_BYTES, row_group_bytes: int = ROW_GROUP_BYTES,
+          sort_bytes: int = SORT_BYTES) -> int:
     """Copy the Parquet table at ``source`` to ``path``; the number of files."""
     table = spark.read.schema(schema).parquet(source)
     total = sum(length for length, _ in storage.input_states(spark, table).values())
-    ranges = max(1, math.ceil(total / file_bytes))
+    sorted_bytes = table.count() * len(schema) * CELL_BYTES
+    ranges = max(1, math.ceil(total / file_bytes), math.ceil(sorted_bytes / sort_bytes))
     place = F.expr("struct(xxhash64(_metadata.file_path) AS f, _metadata.row_index AS r)")
     placed = table.select("*", place.alias("_place"))
     if ranges > 1:

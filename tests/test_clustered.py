@@ -26,6 +26,18 @@ def copied(spark, tmp_path, df, file_bytes=20_000, name="t"):
     return spark.read.parquet(source), clustered.Clustered(spark, path, schema, BY), files
 
 
+def test_well_packed_tables_are_dealt_by_their_rows(spark, tmp_path):
+    """A few stored bytes may be many rows: a task sorts its share of them."""
+    same = spark.range(40_000).selectExpr("id % 2 = 0 AS flag", "id div 1000 AS id", "'x' AS body", "1L AS n")
+    source, schema = stored(spark, same, str(tmp_path / "packed-source"))
+    path = str(tmp_path / "packed-copy")
+    files = clustered.write(spark, source, schema, path, BY, ["id"], sort_bytes=200_000)
+    copy = clustered.Clustered(spark, path, schema, BY)
+    assert files == 10 and copy.statistics().count() == 10
+    assert copy.statistics().agg({"n_rows": "max"}).first()[0] < 12_000
+    assert rows(spark.read.parquet(path)) == rows(same)
+
+
 def numbers(spark, n):
     """n rows: every seventh flagged, some flags and ids null, shuffled ids."""
     return spark.range(n).repartition(7).selectExpr(
