@@ -57,16 +57,32 @@ class Dialect:
 
 
 def fits_sql(cell: str) -> str:
-    """Bit mask of the types that the text ``cell`` fits; all for NULL or ''."""
+    """Bit mask of the types that the text ``cell`` fits; all for NULL or ''.
+
+    A cell meets only the tests its first character allows, and a shape rules
+    others out: digits alone are no date, and what has a date's shape no number.
+    A day has at most 10 characters and a line end, with a time 13 at least.
+    """
     x = f"trim({cell})"
-    bits = []
-    for i, name in enumerate(TYPES):
-        shape, kind = _SHAPES[name]
-        test = f"{x} RLIKE '{shape}'"
-        if kind:
-            test += f" AND try_cast({x} AS {kind}) IS NOT NULL"
-        bits.append(f"if({test}, {1 << i}, 0)")
-    return f"CASE WHEN {cell} IS NULL OR {x} = '' THEN {ALL} ELSE {' + '.join(bits)} END"
+    bit = {name: 1 << i for i, name in enumerate(TYPES)}
+
+    def shaped(name: str) -> str:
+        return f"{x} RLIKE '{_SHAPES[name][0]}'"
+
+    def casts(name: str) -> str:
+        return f"if(try_cast({x} AS {_SHAPES[name][1]}) IS NOT NULL, {bit[name]}, 0)"
+
+    first = f"ascii({x})"
+    double = f"if({shaped('DOUBLE')}, {casts('DOUBLE')}, 0)"
+    number = f"CASE WHEN {shaped('BIGINT')} THEN {casts('BIGINT')} + {casts('DOUBLE')} ELSE {double} END"
+    return (
+        f"CASE WHEN {cell} IS NULL OR {x} = '' THEN {ALL} "
+        f"WHEN {first} BETWEEN 48 AND 57 THEN CASE WHEN {shaped('TIMESTAMP')} "  # 0 to 9
+        f"THEN if(length({x}) < 13, {casts('DATE')}, 0) + {casts('TIMESTAMP')} ELSE {number} END "
+        f"WHEN {first} IN (43, 45, 46) THEN {number} "  # + - .
+        f"WHEN {first} IN (73, 78, 105, 110) THEN {double} "  # I N i n
+        f"WHEN {first} IN (70, 84, 102, 116) THEN if({shaped('BOOLEAN')}, {bit['BOOLEAN']}, 0) "  # F T f t
+        f"ELSE 0 END")
 
 
 def type_sql(mask: str, values: str) -> str:

@@ -24,6 +24,25 @@ def test_types(spark, cells, want):
     assert types_of(spark, cells) == want
 
 
+def test_text_cells_meet_no_shape_test(spark):
+    """Most cells of a table are told by their first character."""
+    sql = sniff.fits_sql("c")
+    assert "RLIKE" in sql
+    loud = sql.replace("trim(c) RLIKE", "raise_error('tested') IS NULL AND trim(c) RLIKE")
+    texts = spark.createDataFrame([("{\"a\": 1}",), ("call",), ("S12",), (" 'x",), ("é",), ("",), (None,)], "c string")
+    assert [r.m for r in texts.selectExpr(f"{loud} AS m").collect()] == [0] * 5 + [sniff.ALL] * 2
+
+
+@pytest.mark.parametrize("cell, types", [
+    ("1", ["BIGINT", "DOUBLE"]), ("+1", ["BIGINT", "DOUBLE"]), ("99999999999999999999", ["DOUBLE"]),
+    ("123e-5", ["DOUBLE"]), ("-.5", ["DOUBLE"]), ("NaN", ["DOUBLE"]), ("-inf", ["DOUBLE"]), ("in", []), ("T", ["BOOLEAN"]),
+    ("true\n", ["BOOLEAN"]), ("12\n", ["BIGINT", "DOUBLE"]), ("2024-1-2", ["DATE", "TIMESTAMP"]),
+    ("2024-01-02\r\n", ["DATE", "TIMESTAMP"]), ("2024-1-2 1:00", ["TIMESTAMP"]), ("2024-13-01", []), ("+", []), ("1.2.3", [])])
+def test_types_of_one_cell(spark, cell, types):
+    mask = spark.createDataFrame([(cell,)], "c string").selectExpr(f"{sniff.fits_sql('c')} AS m").first().m
+    assert [t for i, t in enumerate(sniff.TYPES) if mask >> i & 1] == types
+
+
 def test_dialects_and_typed_reading(spark, tmp_path):
     cases = {
         "comma": ("id,when,name\n1,2024-01-02,\"a,b\"\n2,2024-01-03,c\n", ",", True),
