@@ -21,7 +21,7 @@ from casekit.operators.lifecycle import feedback_duplicates
 from casekit.operators.staging import metadata_reject_rows, metadata_rejects
 from casekit.operators.timings import first_response_min, interaction_stats
 from casekit.plans import maintain, oracle, versions
-from casekit.plans.pipeline import LAYERS, build_all, layer_path, materialize, persist_layers, scratch_path
+from casekit.plans.pipeline import LAYERS, bucket_count, build_all, layer_path, materialize, persist_layers, scratch_path
 from casekit.session import checkpoint_dir
 from casekit.sources import bindings, files, sniff
 from casekit.streaming import incremental
@@ -601,7 +601,8 @@ LINED_TEXT = "concat('say \"', coalesce(feedback_text, '-'), '\",\nfor ', coales
 def _q_table_round_trip(spark, sf_dir):
     """The KPI mart through tables of a fresh catalog prefix, bucketed staging."""
     location, prefix = scratch_path(spark, "tables"), f"q{uuid.uuid4().hex[:12]}"
-    persist_layers(spark, models(spark, sf_dir), prefix, location, buckets=4)
+    buckets = bucket_count(spark, bindings.raw_tables(spark, sf_dir))
+    persist_layers(spark, models(spark, sf_dir), prefix, location, buckets)
     mart = spark.table(f"{prefix}_marts.mart_ops_kpis")
     kept = spark.read.schema(mart.schema).parquet(layer_path(location, prefix, "mart_ops_kpis"))
     for layer in LAYERS:  # external tables: their rows stay

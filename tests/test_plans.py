@@ -84,3 +84,22 @@ def test_bucketed_staging_makes_the_fact_shuffle_free(spark, no_broadcast):
     direct = m["fct_case_lifecycle"]
     assert fact.count() == direct.count()
     assert fact.exceptAll(direct).count() == 0 and direct.exceptAll(fact).count() == 0
+
+
+def test_buckets_grow_with_the_input_and_are_one_file_each(spark, monkeypatch):
+    """A task that joins a bucket of each table must not grow with the tables."""
+    from casekit.plans import pipeline
+    from casekit.sources import bindings
+
+    raw = bindings.raw_tables(spark, SF)
+    assert pipeline.bucket_count(spark, raw) == 4
+    monkeypatch.setattr(pipeline, "BUCKET_BYTES", 20_000)
+    buckets = pipeline.bucket_count(spark, raw)
+    assert buckets > 8
+    spread = catalogue.models(spark, SF)["stg_interactions"].repartition(5)
+    path = pipeline.scratch_path(spark, "bucket-files")
+    pipeline.persist_layers(spark, {"stg_interactions": spread}, "bucketfiles", path, buckets)
+    kept = spark.table("bucketfiles_staging.stg_interactions")
+    assert len(kept.inputFiles()) <= buckets and kept.exceptAll(spread).count() == 0
+    assert kept.count() == spread.count()
+    spark.sql("DROP DATABASE bucketfiles_staging CASCADE")
