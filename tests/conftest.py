@@ -14,3 +14,10 @@ def spark():
     checkpoint_dir(s)
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True, scope="module")
+def _own_cache(spark):
+    """Tables a module cached must not stand in for the next one's plans."""
+    yield
+    spark.catalog.clearCache()
