@@ -37,6 +37,17 @@ def test_texts_leave_no_words_in_the_worker():
     assert t["w1x"] == t.ids(" w1x") and len(t) == 1  # single words are kept, for op5
 
 
+def test_words_at_once_have_the_ids_of_single_words():
+    t = tokens.Tokenizer(tokens.TOKENIZER)
+    words = ["the", "thorrenly", "'s", "don't", "12ab!", "\x00", "\x1c", "\u00a0", "a\u00a0", "\u3000b", "c\u0085d",
+             "\u00e9t\u00e9", "\ufffd", "\u65e5\u672c", "x" * 5000, "--'re", "\u2028\u2028", "z"]
+    for some in (words, words[::-1], words[:1], [words[7]], []):
+        ids, n = t.words("".join(" " + w for w in some))
+        cut = np.split(ids, np.cumsum(n)[:-1]) if some else []
+        assert [x.tobytes() for x in cut] == [t.ids(" " + w) for w in some]
+    assert len(t) == 0  # none is kept
+
+
 def test_round_trip_and_resume(spark, awkward):
     docs = spark.read.parquet(f"{awkward}/documents.parquet")
     out = scratch_path(spark, "shards")
